@@ -1,0 +1,55 @@
+"""Exact group medians without collecting a group."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window, functions as F
+
+
+def exact_median(df: DataFrame, keys: list[str], value: str, accuracy: int = 20000) -> DataFrame:
+    """One row per key: ``keys``, ``n``, ``median`` (mean of the two middle values for an even count).
+
+    Pass 1 brackets the middle with a quantile sketch, whose rank error is at most ``n / accuracy``. Pass 2 counts
+    the rows below the bracket and the distinct values in it; only about ``4 / accuracy`` of a key's rows can be in
+    the bracket, and equal values are pre-aggregated, so no task holds a key. The middle ranks are then exact, and a
+    bracket that missed them raises an error.
+    """
+    present = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
+    margin = 2.0 / accuracy
+    bounds = present.groupBy(*keys).agg(
+        F.count("_v").alias("n"),
+        F.min("_v").alias("_min"),
+        F.max("_v").alias("_max"),
+        F.percentile_approx("_v", F.array(F.lit(0.5 - margin), F.lit(0.5 + margin)), F.lit(accuracy)).alias("_q"),
+    )
+    small = F.col("n") <= 10 * accuracy
+    bounds = bounds.select(
+        *keys, "n",
+        F.when(small, F.col("_min")).otherwise(F.col("_q")[0]).alias("_lo"),
+        F.when(small, F.col("_max")).otherwise(F.col("_q")[1]).alias("_hi"),
+    )
+    near = present.join(bounds, keys).filter(F.col("_v") <= F.col("_hi"))
+    counted = near.groupBy(
+        *keys, "n", F.when(F.col("_v") >= F.col("_lo"), F.col("_v")).alias("_v")
+    ).agg(F.count("*").alias("_c"))
+    # The NULL value stands for all rows below the bracket; it sorts first.
+    upto = F.sum("_c").over(
+        Window.partitionBy(*keys).orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    )
+    first_rank, last_rank = F.floor((F.col("n") + 1) / 2), F.floor((F.col("n") + 2) / 2)
+    inside = F.col("_v").isNotNull()
+    found = (
+        counted.withColumn("_upto", upto)
+        .groupBy(*keys, "n")
+        .agg(
+            F.min(F.when(inside & (F.col("_upto") >= first_rank), F.col("_v"))).alias("_a"),
+            F.min(F.when(inside & (F.col("_upto") >= last_rank), F.col("_v"))).alias("_b"),
+            F.max(F.when(~inside, F.col("_upto"))).alias("_below"),
+        )
+    )
+    hit = (F.coalesce(F.col("_below"), F.lit(0)) < first_rank) & F.col("_b").isNotNull()
+    return found.select(
+        *keys, "n",
+        F.when(hit, (F.col("_a") + F.col("_b")) / 2)
+        .otherwise(F.raise_error(F.lit("median bracket missed the middle rank")).cast("double"))
+        .alias("median"),
+    )
