@@ -6,16 +6,14 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from voltmart.session import materialize
 
-BROADCAST_ROWS = 100_000
-
-
 def join_small(df: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Join to a per-group table. It is computed and counted first: up to ``BROADCAST_ROWS`` rows it is broadcast, so
-    ``df`` is not shuffled onto a few group keys; beyond that it is an ordinary join with adaptive skew handling."""
-    small = materialize(small)
-    if small.count() <= BROADCAST_ROWS:
-        small = F.broadcast(small)
-    return df.join(small, keys, how)
+    """Join to a per-group table whose size nobody knows beforehand.
+
+    The table is written first. Its size on disk then decides: below ``spark.sql.autoBroadcastJoinThreshold`` Spark
+    broadcasts it and ``df`` is not shuffled onto a few group keys; above it is a sort-merge join with adaptive skew
+    handling.
+    """
+    return df.join(materialize(small), keys, how)
 
 
 def exact_quantile(df: DataFrame, keys: list[str], value: str, q: float = 0.5, accuracy: int = 20000) -> DataFrame:

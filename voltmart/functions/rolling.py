@@ -14,176 +14,166 @@ Moments are merged with the pairwise update of Chan, Golub and LeVeque (1979), s
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, Window, functions as F
 
 DAY = 86400
 
 
-def seconds(ts: str | Column) -> Column:
-    return F.col(ts).cast("long") if isinstance(ts, str) else ts.cast("long")
+def seconds(ts: str) -> str:
+    """SQL for the whole seconds of a timestamp (a number stays as it is)."""
+    return f"cast({ts} AS bigint)"
 
 
-def _moments(n: Column, mean: Column, m2: Column) -> Column:
-    return F.struct(
-        F.coalesce(n, F.lit(0)).cast("long").alias("n"),
-        F.coalesce(mean, F.lit(0.0)).cast("double").alias("mean"),
-        F.coalesce(m2, F.lit(0.0)).cast("double").alias("m2"),
+def merge_moments(a: str, b: str) -> str:
+    """SQL for the moments (n, mean, m2) of the union of two disjoint sets."""
+    n, delta = f"({a}.n + {b}.n)", f"({b}.mean - {a}.mean)"
+    return (
+        f"CASE WHEN {b}.n = 0 THEN {a} WHEN {a}.n = 0 THEN {b} ELSE named_struct('n', {n}, "
+        f"'mean', {a}.mean + {delta} * {b}.n / {n}, "
+        f"'m2', {a}.m2 + {b}.m2 + {delta} * {delta} * {a}.n * {b}.n / {n}) END"
     )
 
 
-def merge_moments(a: Column, b: Column) -> Column:
-    """Moments of the union of two disjoint sets."""
-    n = a["n"] + b["n"]
-    delta = b["mean"] - a["mean"]
+def _moments(n: str, mean: str, m2: str) -> str:
     return (
-        F.when(b["n"] == 0, a)
-        .when(a["n"] == 0, b)
-        .otherwise(
-            F.struct(
-                n.alias("n"),
-                (a["mean"] + delta * b["n"] / n).alias("mean"),
-                (a["m2"] + b["m2"] + delta * delta * a["n"] * b["n"] / n).alias("m2"),
-            )
-        )
+        f"named_struct('n', coalesce({n}, 0L), 'mean', coalesce({mean}, 0D), 'm2', coalesce({m2}, 0D))"
     )
 
 
-def _stddev(m: Column, ddof: int) -> Column:
+def _stddev(m: str, ddof: int) -> str:
     """Standard deviation, NULL below ``ddof + 1`` rows; rounding residue of a constant frame counts as 0."""
-    variance = m["m2"] / (m["n"] - ddof)
-    floor = F.pow(F.lit(1e-10) * (F.abs(m["mean"]) + 1e-10), 2)
-    return F.when(m["n"] > ddof, F.when(variance <= floor, F.lit(0.0)).otherwise(F.sqrt(variance)))
+    variance = f"({m}.m2 / ({m}.n - {ddof}))"
+    floor = f"power(1e-10 * (abs({m}.mean) + 1e-10), 2)"
+    return f"CASE WHEN {m}.n > {ddof} THEN CASE WHEN {variance} <= {floor} THEN 0D ELSE sqrt({variance}) END END"
 
 
 def rolling_stats(
     df: DataFrame,
     keys: list[str],
-    position: Column,
+    position: str,
     value: str,
     width: int,
     bucket: int,
     out: str,
-    data_position: Column | None = None,
+    data_position: str | None = None,
 ) -> DataFrame:
     """Add ``{out}_n``, ``{out}_avg``, ``{out}_std`` (sample), ``{out}_pstd`` over rows of the key in
     ``[position - width, position]``, both ends included, NULL values ignored.
 
-    ``bucket`` must divide ``width``. A group holds two buckets of one key, whatever the width is. Rows take part in
-    frames at ``data_position`` (default: ``position``), NULL meaning not at all.
+    ``position`` and ``data_position`` are SQL over ``df`` giving whole numbers. Rows take part in frames at
+    ``data_position`` (default: ``position``), NULL meaning not at all. ``bucket`` must divide ``width``. A group
+    holds two buckets of one key, whatever the width is.
     """
     if width % bucket:
         raise ValueError("bucket must divide width")
     lag = width // bucket
     payload = [c for c in df.columns if c not in keys]
     same = data_position is None
-    base = df.select(
+    base = df.selectExpr(
         *keys,
-        F.struct(*payload).alias("_row"),
-        position.cast("long").alias("_pos"),
-        (position if same else data_position).cast("long").alias("_dpos"),
-        F.col(value).cast("double").alias("_v"),
+        f"struct({', '.join(payload)}) AS _row",
+        f"cast({position} AS bigint) AS _pos",
+        f"cast({position if same else data_position} AS bigint) AS _dpos",
+        f"cast({value} AS double) AS _v",
     )
-    in_frame = F.col("_dpos").isNotNull() & F.col("_v").isNotNull()
-
-    def record(kind: int, at: Column, shift: int = 0) -> Column:
-        no_row = F.when(F.lit(False), F.col("_row"))
-        return F.struct(
-            F.lit(kind).alias("_kind"),
-            (F.floor(at / bucket) + (lag if shift else 0)).cast("long").alias("_b"),
-            (at + shift).cast("long").alias("_at"),
-            (F.col("_row") if kind in (0, 3) else no_row).alias("_r"),
-            (F.when(in_frame, F.col("_v")) if kind != 3 else F.lit(None).cast("double")).alias("_x"),
+    entering = "(_dpos IS NOT NULL AND _v IS NOT NULL)"
+
+    def record(kind: int, at: str, buckets: int = 0, shift: int = 0) -> str:
+        row = "_row" if kind in (0, 3) else "if(false, _row, NULL)"
+        x = "cast(NULL AS double)" if kind == 3 else f"if({entering}, _v, NULL)"
+        return (
+            f"named_struct('_kind', {kind}, '_b', floor({at} / {bucket}) + {buckets}, '_at', {at} + {shift}, "
+            f"'_r', {row}, '_x', {x})"
         )
 
     # kind 0: row that asks and enters, 1: row entering, 2: row about to leave, 3: row that only asks
-    tail = F.when(in_frame, record(2, F.col("_dpos"), width))
-    parts = [record(0, F.col("_pos")), tail] if same else [
-        record(3, F.col("_pos")), F.when(in_frame, record(1, F.col("_dpos"))), tail
+    records = [record(0, "_pos")] if same else [
+        record(3, "_pos"), f"if({entering}, {record(1, '_dpos')}, NULL)"
     ]
-    spread = base.select(*keys, F.explode(F.filter(F.array(*parts), lambda r: r.isNotNull())).alias("_e")).select(
-        *keys, "_e.*"
-    )
+    records.append(f"if({entering}, {record(2, '_dpos', lag, width)}, NULL)")
+    spread = base.selectExpr(
+        *keys, f"explode(filter(array({', '.join(records)}), e -> e IS NOT NULL)) AS _e"
+    ).select(*keys, "_e.*")
 
     if lag > 1:
-        # Totals of the whole buckets between the first and the last one of each frame.
-        enter_at = F.floor(F.col("_dpos") / bucket).cast("long")
-        ask_at = F.floor(F.col("_pos") / bucket).cast("long")
-        totals = base.filter(in_frame).groupBy(*keys, enter_at.alias("_b")).agg(
-            F.count("_v").alias("n"), F.avg("_v").alias("mean"), (F.var_pop("_v") * F.count("_v")).alias("m2")
-        )
-        if not same:
-            totals = totals.unionByName(
-                base.select(*keys, ask_at.alias("_b")).distinct().select(
-                    *keys, "_b", F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2")
-                )
-            ).groupBy(*keys, "_b").agg(F.max(F.struct("n", "mean", "m2")).alias("_t")).select(*keys, "_b", "_t.*")
-        between = Window.partitionBy(*keys).orderBy("_b").rangeBetween(-(lag - 1), -1)
-        empty = _moments(F.lit(0), F.lit(0.0), F.lit(0.0))
-        totals = totals.select(
-            *keys, "_b",
-            F.aggregate(
-                F.collect_list(_moments(F.col("n"), F.col("mean"), F.col("m2"))).over(between),
-                empty, merge_moments,
-            ).alias("_mid"),
-        )
-        spread = spread.join(totals, [*keys, "_b"], "left")
+        spread = spread.join(_between(base.filter(entering), base, keys, bucket, lag, same), [*keys, "_b"], "left")
 
-    group = Window.partitionBy(*keys, "_b")
-    so_far = group.orderBy("_at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    leaving = group.orderBy(F.col("_at").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    group = f"PARTITION BY {', '.join(keys)}, _b"
+    rows = "RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 
-    def running(kinds: tuple[int, ...], window) -> Column:
-        x = F.when(F.col("_kind").isin(*kinds), F.col("_x"))
-        n = F.count(x).over(window)
-        return _moments(n, F.avg(x).over(window), F.var_pop(x).over(window) * n)
+    def running(kinds: str, order: str) -> str:
+        x, over = f"if(_kind IN ({kinds}), _x, NULL)", f"OVER ({group} ORDER BY {order} {rows})"
+        n = f"count({x}) {over}"
+        return _moments(n, f"avg({x}) {over}", f"var_pop({x}) {over} * {n}")
 
-    stats = merge_moments(F.col("_head"), F.col("_tail"))
+    stats = spread.selectExpr(
+        "*", f"{running('0, 1', '_at')} AS _head", f"{running('2', '_at DESC')} AS _tail"
+    ).filter("_kind IN (0, 3)").selectExpr("*", f"{merge_moments('_head', '_tail')} AS _m")
     if lag > 1:
-        stats = F.when(F.col("_mid").isNull(), stats).otherwise(merge_moments(stats, F.col("_mid")))
-    return (
-        spread.withColumns({"_head": running((0, 1), so_far), "_tail": running((2,), leaving)})
-        .filter(F.col("_kind").isin(0, 3))
-        .withColumn("_m", stats)
-        .select(
-            *keys,
-            *[F.col(f"_r.{c}").alias(c) for c in payload],
-            F.col("_m.n").alias(f"{out}_n"),
-            F.when(F.col("_m.n") > 0, F.col("_m.mean")).alias(f"{out}_avg"),
-            _stddev(F.col("_m"), 1).alias(f"{out}_std"),
-            _stddev(F.col("_m"), 0).alias(f"{out}_pstd"),
+        stats = stats.selectExpr(
+            *keys, "_r", f"CASE WHEN _mid IS NULL THEN _m ELSE {merge_moments('_m', '_mid')} END AS _m"
         )
+    return stats.selectExpr(
+        *keys,
+        *[f"_r.{c} AS {c}" for c in payload],
+        f"_m.n AS {out}_n",
+        f"if(_m.n > 0, _m.mean, NULL) AS {out}_avg",
+        f"{_stddev('_m', 1)} AS {out}_std",
+        f"{_stddev('_m', 0)} AS {out}_pstd",
     )
 
 
-def with_running_count(
-    df: DataFrame, keys: list[str], ts: str, counted: Column, out: str, bucket: int = DAY
+def _between(entering: DataFrame, asking: DataFrame, keys: list[str], bucket: int, lag: int, same: bool) -> DataFrame:
+    """Per bucket the moments of the ``lag - 1`` whole buckets before it: one row per key and bucket."""
+    place = "_pos" if same else "_dpos"
+    # Buckets that only ask need a row too: with one position column they are among the grouped rows already.
+    totals = (asking if same else entering).groupBy(*keys, F.expr(f"floor({place} / {bucket})").alias("_b")).agg(
+        F.expr(_moments("count(_v)", "avg(_v)", "var_pop(_v) * count(_v)")).alias("_t")
+    )
+    if not same:
+        empty = F.expr(_moments("0L", "0D", "0D")).alias("_t")
+        asked = asking.select(*keys, F.expr(f"floor(_pos / {bucket})").alias("_b"), empty).distinct()
+        totals = totals.unionByName(asked).groupBy(*keys, "_b").agg(F.max("_t").alias("_t"))
+    over = f"OVER (PARTITION BY {', '.join(keys)} ORDER BY _b RANGE BETWEEN {lag - 1} PRECEDING AND 1 PRECEDING)"
+    return totals.selectExpr(*keys, "_b", f"collect_list(_t) {over} AS _l").selectExpr(
+        *keys, "_b", f"aggregate(_l, {_moments('0L', '0D', '0D')}, (a, b) -> {merge_moments('a', 'b')}) AS _mid"
+    )
+
+
+def with_running_counts(
+    df: DataFrame, keys: list[str], ts: str, counted: Mapping[str, str], bucket: int = DAY
 ) -> DataFrame:
-    """Add ``out``: how many earlier rows of the key (by ``ts``) have ``counted`` true; one task per key and bucket.
+    """For each ``out: condition`` (SQL) add ``out``: how many earlier rows of the key (by ``ts``) meet it.
 
-    ``ts`` must be unique per key for a defined result.
+    Runs as one task per key and bucket; the totals of earlier buckets come from a table with one row per key and
+    bucket. ``ts`` must be unique per key for a defined result.
     """
-    marked = df.withColumns({"_b": F.floor(seconds(ts) / bucket), "_c": counted.cast("long")})
-    starts = marked.groupBy(*keys, "_b").agg(F.sum("_c").alias("_n")).select(
-        *keys, "_b",
-        F.coalesce(
-            F.sum("_n").over(
-                Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-            ),
-            F.lit(0),
-        ).alias("_start"),
+    marked = df.selectExpr(
+        "*", f"floor({seconds(ts)} / {bucket}) AS _b",
+        *[f"cast({condition} AS bigint) AS _c_{out}" for out, condition in counted.items()],
     )
-    before = Window.partitionBy(*keys, "_b").orderBy(ts).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        marked.withColumn("_before", F.coalesce(F.sum("_c").over(before), F.lit(0)))
-        .join(starts, [*keys, "_b"])
-        .withColumn(out, F.col("_start") + F.col("_before"))
-        .select(*df.columns, out)
+    key_list = ", ".join(keys)
+    before = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    starts = (
+        marked.groupBy(*keys, "_b").agg(*[F.sum(f"_c_{out}").alias(f"_n_{out}") for out in counted])
+        .selectExpr(
+            *keys, "_b",
+            *[f"coalesce(sum(_n_{out}) OVER (PARTITION BY {key_list} ORDER BY _b {before}), 0L) AS _s_{out}"
+              for out in counted],
+        )
+    )
+    return marked.join(starts, [*keys, "_b"]).selectExpr(
+        *df.columns,
+        *[f"_s_{out} + coalesce(sum(_c_{out}) OVER (PARTITION BY {key_list}, _b ORDER BY {ts} {before}), 0L) AS {out}"
+          for out in counted],
     )
 
 
 def with_row_index(df: DataFrame, keys: list[str], ts: str, out: str = "_idx", bucket: int = DAY) -> DataFrame:
     """Add the 0-based position of each row in its key's series."""
-    return with_running_count(df, keys, ts, F.lit(1), out, bucket)
+    return with_running_counts(df, keys, ts, {out: "true"}, bucket)
 
 
 def with_row_chunks(df: DataFrame, keys: list[str], ts: str, halo: int, chunk: int = 4096) -> DataFrame:
@@ -194,12 +184,12 @@ def with_row_chunks(df: DataFrame, keys: list[str], ts: str, halo: int, chunk: i
     """
     if halo > chunk:
         raise ValueError("halo must not exceed chunk")
-    own = F.floor(F.col("_idx") / chunk)
-    copies = F.when(F.col("_idx") % chunk >= chunk - halo, F.array(own, own + 1)).otherwise(F.array(own))
+    own = f"floor(_idx / {chunk})"
+    copies = f"if(_idx % {chunk} >= {chunk - halo}, array({own}, {own} + 1), array({own}))"
     return (
         with_row_index(df, keys, ts)
-        .withColumn("_chunk", F.explode(copies))
-        .withColumn("_halo", F.col("_chunk") > own)
+        .selectExpr("*", f"explode({copies}) AS _chunk")
+        .selectExpr("*", f"_chunk > {own} AS _halo")
     )
 
 
@@ -208,4 +198,4 @@ def chunk_window(keys: list[str]):
 
 
 def drop_halo(df: DataFrame) -> DataFrame:
-    return df.filter(~F.col("_halo")).drop("_idx", "_chunk", "_halo")
+    return df.filter("NOT _halo").drop("_idx", "_chunk", "_halo")

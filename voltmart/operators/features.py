@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from voltmart.functions.rolling import (
-    chunk_window, drop_halo, rolling_stats, with_row_chunks, with_running_count,
+    chunk_window, drop_halo, rolling_stats, with_row_chunks, with_running_counts,
 )
 from voltmart.operators.silver import renewable_mw, z_score
+from voltmart.session import materialize
 
 STEPS_PER_HOUR = 4  # 15-minute rows
 
@@ -122,11 +123,18 @@ def local_features(prices: DataFrame, generation: DataFrame, load: DataFrame, hi
         .drop("_priced")
     )
 
-    out = anchored
-    for column in ("price", "generation"):
-        # Place of each value among the key's non-NULL values; a row looks back from the number of values before it.
-        out = with_running_count(out, ["zone"], "timestamp_utc", F.col(column).isNotNull(), "_before")
-        out = _history(out, column, history).drop("_before")
+    # Stored once: the running counts read it twice, and recomputing the joins costs more than writing their result.
+    # Place of each value among the key's non-NULL values; a row looks back from the number of values before it.
+    out = with_running_counts(
+        materialize(anchored), ["zone"], "timestamp_utc",
+        {f"_before_{c}": f"{c} IS NOT NULL" for c in ("price", "generation")},
+    )
+    for c in ("price", "generation"):
+        # places (before - history, before], as a frame with both ends
+        out = rolling_stats(
+            out, ["zone"], f"_before_{c}", c, history - 1, history - 1, f"_{c}",
+            data_position=f"if({c} IS NOT NULL, _before_{c} + 1, NULL)",
+        )
 
     def mean(c: str) -> Column:
         return F.coalesce(F.col(f"_{c}_avg"), F.lit(0.0))
@@ -159,14 +167,6 @@ def local_features(prices: DataFrame, generation: DataFrame, load: DataFrame, hi
     )
 
 
-def _history(df: DataFrame, column: str, history: int) -> DataFrame:
-    """Statistics of the ``history`` values before each row: places (before - history, before], frame both-inclusive."""
-    return rolling_stats(
-        df, ["zone"], F.col("_before"), column, history - 1, history - 1, f"_{column}",
-        data_position=F.when(F.col(column).isNotNull(), F.col("_before") + 1),
-    )
-
-
 # Candidate features in order.
 FEATURE_CANDIDATES = [
     "price_eur_mwh", "price_z_score", "generation_mw", "generation_volatility_ix", "abs_forecast_error_mw",

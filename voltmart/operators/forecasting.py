@@ -190,7 +190,7 @@ def fit_trend(
     def solve(group: pd.DataFrame) -> pd.DataFrame:
         n = int(group["n"].sum())
         if n < min_rows:
-            return pd.DataFrame({"zone": [], "n": [], "coef": [], "sigma": []})
+            return pd.DataFrame({"zone": "", "n": 0, "coef": [[]], "sigma": 0.0}).iloc[:0]
         both = np.sum(np.stack(group["products"].to_numpy()), axis=0).reshape(p + 1, p + 1)
         gram, moment, energy = both[:p, :p], both[:p, p], both[p, p]
         penalty = np.diag([0.0, 0.0] + [ridge * n] * (p - 2)) + np.eye(p) * 1e-9 * n

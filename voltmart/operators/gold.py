@@ -175,10 +175,11 @@ def corridor_prices(prices: DataFrame, corridors: Sequence[tuple[str, str]]) ->
         F.count_if(F.col("_side") == "a").alias("_na"),
         F.count_if(F.col("_side") == "b").alias("_nb"),
     )
-    once = F.assert_true(
-        (F.col("_na") <= 1) & (F.col("_nb") <= 1), F.lit("corridor prices must be unique per zone and timestamp")
+    duplicate = F.raise_error(F.lit("corridor prices must be unique per zone and timestamp")).cast("boolean")
+    both = F.when((F.col("_na") > 1) | (F.col("_nb") > 1), duplicate).otherwise(
+        (F.col("_na") == 1) & (F.col("_nb") == 1)
     )
-    return paired.filter(once.isNull() & (F.col("_na") == 1) & (F.col("_nb") == 1)).drop("_na", "_nb")
+    return paired.filter(both).drop("_na", "_nb")
 
 
 def price_spreads(prices: DataFrame, corridors: Sequence[tuple[str, str]] = SPREAD_CORRIDORS) -> DataFrame:

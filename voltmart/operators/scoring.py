@@ -145,14 +145,13 @@ def _grow(points: np.ndarray, seed: int) -> list[tuple[int, float, int, float]]:
 
 
 def tree_samples(
-    df: DataFrame, columns: Sequence[str], key: Sequence[str], trees: int, sample: int, seed: int
+    df: DataFrame, n: int, columns: Sequence[str], key: Sequence[str], trees: int, sample: int, seed: int
 ) -> DataFrame:
-    """(tree_id, features): about ``sample`` hash-chosen rows per tree, cut to ``sample``.
+    """(tree_id, features): about ``sample`` hash-chosen rows of the ``n`` per tree, cut to ``sample``.
 
     On a large table every row is drawn for at most one tree and nearly all are dropped in the scan. On a table too
     small for disjoint samples each row is offered to every tree.
     """
-    n = df.count()
     row_hash = F.xxhash64(F.lit(seed), *key)
     rate = 1.5 * trees * sample / max(n, 1)
     features = [F.col(c).cast("double").alias(c) for c in columns]
@@ -163,7 +162,7 @@ def tree_samples(
     else:
         share = min(1.0, 1.5 * sample / max(n, 1))
         offered = df.select(
-            F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).cast("long").alias("tree_id"), *features,
+            F.explode(F.sequence(F.lit(0).cast("long"), F.lit(trees - 1).cast("long"))).alias("tree_id"), *features,
             *[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)],
         ).withColumn("_h", F.xxhash64(F.lit(seed), "tree_id", *[f"_k{i}" for i in range(len(key))]))
         drawn = offered.filter(F.pmod("_h", F.lit(1_000_000_007)) < int(share * 1_000_000_007))
@@ -179,6 +178,7 @@ def fit_forest(
 ) -> Forest:
     """Grow the trees in parallel, one group of at most ``sample`` rows per tree; only the trees reach the driver."""
     columns = tuple(columns)
+    n = df.count()
 
     def grow(rows: pd.DataFrame) -> pd.DataFrame:
         tree = int(rows["tree_id"].iloc[0])
@@ -191,7 +191,7 @@ def fit_forest(
         return out
 
     nodes = (
-        tree_samples(df, columns, key, trees, sample, seed)
+        tree_samples(df, n, columns, key, trees, sample, seed)
         .groupBy("tree_id")
         .applyInPandas(grow, "tree_id long, node int, feature int, threshold double, left int, depth double")
         .toPandas()
@@ -207,7 +207,7 @@ def fit_forest(
     at = (nodes["tree_id"].map(ids).to_numpy(), nodes["node"].to_numpy())
     for name, array in arrays.items():
         array[at] = nodes[name].to_numpy()
-    return Forest(columns, min(sample, df.count()), **arrays)
+    return Forest(columns, min(sample, n), **arrays)
 
 
 def _forest_scores(forest: Forest, points: np.ndarray) -> np.ndarray:

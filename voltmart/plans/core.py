@@ -9,7 +9,7 @@ from voltmart.plans import market_views as views
 from voltmart.plans.registry import CTES, oracle, query, r, rounded
 from voltmart.schemas import ARBITRAGE_CORRIDORS, RULES, SPREAD_CORRIDORS
 
-LATEST = ("_ingest_ts", "generation_mw")
+LATEST = ("_ingest_ts",)
 
 # ---------------------------------------------------------------------------
 # Shared inputs in Spark and as SQL
@@ -52,7 +52,7 @@ CTES.update(
             sum(CASE WHEN is_renewable THEN generation_mw ELSE 0.0 END) OVER w / sum(generation_mw) OVER w * 100.0
             ELSE 0.0 END AS renewable_share_pct
             FROM (SELECT * FROM generation WHERE generation_mw IS NOT NULL QUALIFY row_number() OVER (
-                PARTITION BY zone, timestamp_utc, psr_type ORDER BY _ingest_ts DESC, generation_mw DESC) = 1)
+                PARTITION BY zone, timestamp_utc, psr_type ORDER BY _ingest_ts DESC) = 1)
             WINDOW w AS (PARTITION BY zone, timestamp_utc)""",
         "s_load_all": """SELECT *, abs(actual_load_mw - forecast_load_mw) AS abs_forecast_error_mw FROM load
             WHERE NOT (actual_load_mw IS NULL AND forecast_load_mw IS NULL)""",

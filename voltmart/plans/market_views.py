@@ -13,8 +13,24 @@ OTHER_PSR = "Fossil Hard coal"
 RENEWABLE_WORDS = ["ECONOMY", "LARGE", "SMALL"]
 
 
+# Declared, so that opening a table starts no schema job.
+TABLE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+              "o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def zone_of(number: Column) -> Column:
@@ -57,7 +73,9 @@ def generation(spark: SparkSession, sf_dir: str) -> DataFrame:
             psr_of(F.col("p_type")).alias("psr_type"),
             F.when(F.col("l_orderkey") % 89 != 0, F.col("l_quantity")).alias("generation_mw"),
             word.isin(*RENEWABLE_WORDS).alias("is_renewable"),
-            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("_ingest_ts"),
+            # order and line number, then quantity: line numbers repeat within an order
+            ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 64 + F.col("l_quantity").cast("long"))
+            .alias("_ingest_ts"),
         )
     )
 
@@ -113,7 +131,8 @@ SQL_VIEWS = {
         CASE WHEN event_id % 101 <> 0 THEN round(value * 2 - 20, 2) END AS price_eur_mwh FROM events""",
     "generation": f"""SELECT {_sql_zone('s_nationkey')} AS zone, {_sql_shift('l_shipdate', 'l_orderkey')} AS timestamp_utc,
         {_PSR} AS psr_type, CASE WHEN l_orderkey % 89 <> 0 THEN l_quantity END AS generation_mw,
-        {_WORD} IN ('ECONOMY', 'LARGE', 'SMALL') AS is_renewable, l_orderkey * 10 + l_linenumber AS _ingest_ts
+        {_WORD} IN ('ECONOMY', 'LARGE', 'SMALL') AS is_renewable,
+        (l_orderkey * 10 + l_linenumber) * 64 + CAST(l_quantity AS BIGINT) AS _ingest_ts
         FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey""",
     "load": f"""SELECT o_orderkey AS _ingest_ts, {_sql_zone('c_nationkey')} AS zone,
         {_sql_shift('o_orderdate', 'o_orderkey')} AS timestamp_utc,

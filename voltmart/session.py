@@ -44,6 +44,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the reliable checkpoint so that several passes do not recompute its plan."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once as Parquet to the shared folder, so that several passes do not recompute its plan.
+
+    Later passes read only the columns they need, and the table's size is known when joins are planned.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
