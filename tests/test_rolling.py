@@ -116,3 +116,10 @@ def test_exact_quantile_equals_numpy(spark, q):
 def test_exact_median_even_count(spark):
     df = spark.createDataFrame([("k", 1.0), ("k", 2.0), ("k", 10.0), ("k", 20.0)], "k string, v double")
     assert exact_median(df, ["k"], "v").first()["median"] == 6.0
+
+
+def test_rows_without_key_are_kept(spark):
+    rows = [(None, 10, 1.0), (None, 20, 2.0), ("z", 10, 3.0)]
+    df = spark.createDataFrame(rows, "zone string, t long, v double")
+    assert rolling_stats(df, ["zone"], "t", "v", 100, 10, "w").count() == 3
+    assert drop_halo(with_row_chunks(df, ["zone"], "t", 2, 4)).count() == 3

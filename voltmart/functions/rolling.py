@@ -164,7 +164,8 @@ def with_running_counts(
               for out in counted],
         )
     )
-    return marked.join(starts, [*keys, "_b"]).selectExpr(
+    # left: rows without a key have no series; they stay, with NULL counts
+    return marked.join(starts, [*keys, "_b"], "left").selectExpr(
         *df.columns,
         *[f"_s_{out} + coalesce(sum(_c_{out}) OVER (PARTITION BY {key_list}, _b ORDER BY {ts} {before}), 0L) AS {out}"
           for out in counted],
@@ -198,4 +199,4 @@ def chunk_window(keys: list[str]):
 
 
 def drop_halo(df: DataFrame) -> DataFrame:
-    return df.filter("NOT _halo").drop("_idx", "_chunk", "_halo")
+    return df.filter("NOT coalesce(_halo, false)").drop("_idx", "_chunk", "_halo")

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from voltmart.functions.quantile import join_small
 from voltmart.functions.rolling import (
     chunk_window, drop_halo, rolling_stats, with_row_chunks, with_running_counts,
 )
@@ -101,32 +102,34 @@ def local_features(prices: DataFrame, generation: DataFrame, load: DataFrame, hi
     and load takes its latest row per timestamp. History statistics use the ``history`` previous non-NULL values,
     the current one excluded. ``load`` needs ``_ingest_ts`` only if it holds several rows per timestamp.
     """
+    def arrival(df: DataFrame) -> Column:
+        return F.col("_ingest_ts").cast("long") if "_ingest_ts" in df.columns else F.lit(0).cast("long")
+
     keys = ["zone", "timestamp_utc"]
-    price = prices.filter(F.col("price_eur_mwh").isNotNull()).groupBy(*keys).agg(
-        F.max_by("price_eur_mwh", "_ingest_ts").alias("price") if "_ingest_ts" in prices.columns
-        else F.max("price_eur_mwh").alias("price")
-    )
-    gen = generation.filter(F.col("generation_mw").isNotNull()).groupBy(*keys).agg(
-        F.sum("generation_mw").alias("generation")
-    )
-    if "_ingest_ts" in load.columns:
-        newest = [F.max_by(c, "_ingest_ts").alias(c) for c in ("actual_load_mw", "forecast_load_mw")]
-    else:
-        newest = [F.max(c).alias(c) for c in ("actual_load_mw", "forecast_load_mw")]
-    loads = load.groupBy(*keys).agg(*newest, F.lit(True).alias("_has_load"))
-
-    merged = price.join(gen, keys, "full").join(loads, keys, "full")
-    priced = price.select("zone").distinct().withColumn("_priced", F.lit(True))
-    anchored = (
-        merged.join(priced, "zone", "left")
-        .filter(F.col("price").isNotNull() | F.col("_priced").isNull())
-        .drop("_priced")
+    parts = [
+        prices.filter(F.col("price_eur_mwh").isNotNull()).select(
+            *keys, F.col("price_eur_mwh").alias("price"), arrival(prices).alias("_price_no")
+        ),
+        generation.filter(F.col("generation_mw").isNotNull()).select(*keys, F.col("generation_mw").alias("generation")),
+        load.select(*keys, "actual_load_mw", "forecast_load_mw", arrival(load).alias("_load_no")),
+    ]
+    stacked = parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True)
+    # The three series meet in one aggregate: one shuffle, no join. Stored, because three passes read it.
+    merged = materialize(
+        stacked.groupBy(*keys).agg(
+            F.max_by("price", "_price_no").alias("price"),
+            F.sum("generation").alias("generation"),
+            F.max_by("actual_load_mw", "_load_no").alias("actual_load_mw"),
+            F.max_by("forecast_load_mw", "_load_no").alias("forecast_load_mw"),
+            (F.count("_load_no") > 0).alias("_has_load"),
+        )
     )
+    priced = merged.groupBy("zone").agg(F.max(F.col("price").isNotNull()).alias("_priced"))
+    anchored = join_small(merged, priced, ["zone"]).filter("price IS NOT NULL OR NOT _priced").drop("_priced")
 
-    # Stored once: the running counts read it twice, and recomputing the joins costs more than writing their result.
     # Place of each value among the key's non-NULL values; a row looks back from the number of values before it.
     out = with_running_counts(
-        materialize(anchored), ["zone"], "timestamp_utc",
+        anchored, ["zone"], "timestamp_utc",
         {f"_before_{c}": f"{c} IS NOT NULL" for c in ("price", "generation")},
     )
     for c in ("price", "generation"):
@@ -145,7 +148,7 @@ def local_features(prices: DataFrame, generation: DataFrame, load: DataFrame, hi
     error = F.when(
         F.col("_has_load"), F.coalesce(F.abs(F.col("actual_load_mw") - F.col("forecast_load_mw")), F.lit(0.0))
     ).otherwise(F.lit(0.0))
-    no_load = F.col("_has_load").isNull()
+    no_load = ~F.col("_has_load")
     return out.select(
         "zone", "timestamp_utc",
         F.to_date("timestamp_utc").alias("event_date"),

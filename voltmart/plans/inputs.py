@@ -17,8 +17,8 @@ from voltmart.sources import payloads, series, tables
 
 
 def _land_series_xml(spark: SparkSession, sf: str) -> str:
-    """Every generation reading as a one-point time series in XML documents, below a folder per country."""
-    rows = views.generation(spark, sf).withColumn(
+    """Every generation reading as a one-point time series, one XML document per task."""
+    rows = views.generation(spark, sf).repartition(spark.sparkContext.defaultParallelism).withColumn(
         "position", (F.hour("timestamp_utc") * 4 + F.floor(F.minute("timestamp_utc") / 15) + 1).cast("int")
     )
     point = F.struct(

@@ -60,19 +60,27 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _zoned(spark: SparkSession, sf_dir: str, name: str, key: str, number: str, out: str = "zone") -> DataFrame:
+    """Key and zone of a dimension table, computed before it is joined."""
+    return table(spark, sf_dir, name).select(key, zone_of(F.col(number)).alias(out))
+
+
 def generation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items, parts = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
-    suppliers = table(spark, sf_dir, "supplier")
+    items = table(spark, sf_dir, "lineitem")
+    suppliers = _zoned(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
     word = F.split_part(F.col("p_type"), F.lit(" "), F.lit(1))
+    parts = table(spark, sf_dir, "part").select(
+        "p_partkey", psr_of(F.col("p_type")).alias("psr_type"), word.isin(*RENEWABLE_WORDS).alias("is_renewable")
+    )
     return (
         items.join(suppliers, items.l_suppkey == suppliers.s_suppkey)
         .join(parts, items.l_partkey == parts.p_partkey)
         .select(
-            zone_of(F.col("s_nationkey")).alias("zone"),
+            "zone",
             shifted("l_shipdate", "l_orderkey").alias("timestamp_utc"),
-            psr_of(F.col("p_type")).alias("psr_type"),
+            "psr_type",
             F.when(F.col("l_orderkey") % 89 != 0, F.col("l_quantity")).alias("generation_mw"),
-            word.isin(*RENEWABLE_WORDS).alias("is_renewable"),
+            "is_renewable",
             # order and line number, then quantity: line numbers repeat within an order
             ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 64 + F.col("l_quantity").cast("long"))
             .alias("_ingest_ts"),
@@ -81,11 +89,12 @@ def generation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders, customers = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    orders = table(spark, sf_dir, "orders")
+    customers = _zoned(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     key, total = F.col("o_orderkey"), F.col("o_totalprice") / 100
     return orders.join(customers, orders.o_custkey == customers.c_custkey).select(
         key.alias("_ingest_ts"),
-        zone_of(F.col("c_nationkey")).alias("zone"),
+        "zone",
         shifted("o_orderdate", "o_orderkey").alias("timestamp_utc"),
         F.when(~(key % 97).isin(0, 1), total).alias("actual_load_mw"),
         F.when(~(key % 97).isin(0, 2), total * (F.lit(0.9) + (key % 21) / 100)).alias("forecast_load_mw"),
@@ -93,20 +102,19 @@ def load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-    suppliers, customers = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "customer")
+    items, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    suppliers = _zoned(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey", "zone_from")
+    customers = _zoned(spark, sf_dir, "customer", "c_custkey", "c_nationkey", "zone_to")
     return (
         items.join(suppliers, items.l_suppkey == suppliers.s_suppkey)
-        .join(orders, items.l_orderkey == orders.o_orderkey)
-        .join(customers, orders.o_custkey == customers.c_custkey)
+        .join(orders.join(customers, orders.o_custkey == customers.c_custkey), items.l_orderkey == orders.o_orderkey)
+        .filter(F.col("zone_from") != F.col("zone_to"))
         .select(
-            zone_of(F.col("s_nationkey")).alias("zone_from"),
-            zone_of(F.col("c_nationkey")).alias("zone_to"),
+            "zone_from", "zone_to",
             shifted("l_shipdate", "l_orderkey").alias("timestamp_utc"),
             F.when(F.col("l_orderkey") % 83 != 0, F.col("l_quantity")).alias("flow_mw"),
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("_ingest_ts"),
         )
-        .filter(F.col("zone_from") != F.col("zone_to"))
     )
 
 
