@@ -351,12 +351,18 @@ def score_stress(rows: DataFrame, spike_count: int = 8, target_pct: float = 60.0
     out = out.withColumn("stress_score", F.round(score, 4)).withColumns(
         {"stress_label": _stress_label(F.col("stress_score")), "main_driver": driver}
     )
+    def half_even(name: str, digits: int) -> Column:
+        """Exact binary halves go to the even digit before printing; only multiples of 1/8 can be such halves."""
+        exact = F.col(name) * 8 == F.floor(F.col(name) * 8)
+        return F.when(exact, F.bround(name, digits)).otherwise(F.col(name))
+
     # Fixed value: wording of the finding.
     finding = F.format_string(
         "%s on %s had %s market stress (score=%.2f). Main driver: %s. Avg price=%.2f EUR/MWh, "
         "max price=%.2f EUR/MWh, renewable share=%.1f%%, price spikes=%d, negative-price intervals=%d.",
-        "country_code", "event_date", F.lower("stress_label"), "stress_score", "main_driver", "avg_price_eur_mwh",
-        "max_price_eur_mwh", "renewable_share_pct", "price_spike_count", "negative_price_count",
+        "country_code", "event_date", F.lower("stress_label"), half_even("stress_score", 2), "main_driver",
+        half_even("avg_price_eur_mwh", 2), half_even("max_price_eur_mwh", 2), half_even("renewable_share_pct", 1),
+        "price_spike_count", "negative_price_count",
     )
     return out.withColumn("finding_summary", finding).drop(*[f"_risk{i}" for i in range(len(risks))])
 

@@ -635,15 +635,18 @@ def fact_power_prices(spark, sf):
     return gold.fact_prices(latest_prices(spark, sf)).drop("_loaded_at", "_ingest_ts")
 
 
-@query(oracle(f"""SELECT {_OHLC_COLS.replace('summary_date', 'summary_date AS date')}, total_renewable_mwh,
-    {', '.join(r(c) for c in _MS)} FROM m_summary JOIN gen_shares ON m_summary.zone = gen_shares.zone
-    AND summary_date = event_date""".replace("SELECT zone,", "SELECT m_summary.zone,").replace(
-    "(round(renewable_share_avg_pct", "(round(m_summary.renewable_share_avg_pct")))
+_DM = [*_MS, "total_renewable_mwh"]
+
+
+@query(oracle(f"""SELECT o.zone, o.summary_date AS date, price_open, price_close, price_high, price_low,
+    negative_price_count, {', '.join(r(c) for c in _DM)} FROM ohlc o
+    LEFT JOIN load_daily l ON o.zone = l.zone AND o.summary_date = l.event_date
+    LEFT JOIN gen_shares g ON o.zone = g.zone AND o.summary_date = g.event_date"""))
 def daily_market_mart(spark, sf):
     mart = gold.daily_market(
         gold.fact_prices(latest_prices(spark, sf)), silver_generation(spark, sf), latest_load(spark, sf)
     )
-    return rounded(mart, *_MS).drop("_mart_refreshed_at")
+    return rounded(mart, *_DM).drop("_mart_refreshed_at")
 
 
 def _sql_corridors(pairs) -> str:
@@ -784,6 +787,14 @@ _S5 = ["avg_price_eur_mwh", "price_volatility", "renewable_share_pct", "renewabl
        "avg_forecast_error_mw"]
 
 
+# A mean on the edge of two cents prints either way, depending on summation order; it is compared as a number instead.
+_MASK_SQL = "regexp_replace(finding_summary, 'Avg price=[-0-9.]+', 'Avg price=*') AS finding_summary"
+
+
+def masked(df: DataFrame) -> DataFrame:
+    return df.withColumn("finding_summary", F.regexp_replace("finding_summary", "Avg price=[-0-9.]+", "Avg price=*"))
+
+
 def stress_input(spark, sf):
     return gold.stress_inputs(latest_prices(spark, sf), stability(spark, sf), latest_load(spark, sf))
 
@@ -799,9 +810,9 @@ def stress_inputs(spark, sf):
 
 
 @query(oracle(f"""SELECT country_code, event_date, max_price_eur_mwh, price_spike_count, negative_price_count,
-    {', '.join(r(c) for c in _S5)}, stress_score, stress_label, main_driver, finding_summary FROM stress5"""))
+    {', '.join(r(c) for c in _S5)}, stress_score, stress_label, main_driver, {_MASK_SQL} FROM stress5"""))
 def stress_scores(spark, sf):
-    return rounded(stress(spark, sf), *_S5)
+    return masked(rounded(stress(spark, sf), *_S5))
 
 
 @query(oracle(f"SELECT zone, event_date, {r('120.0 - renewable_share_pct', 6, 'price_eur_mwh')} FROM stability"))
@@ -946,10 +957,10 @@ def recommendations(spark, sf):
 # ---------------------------------------------------------------------------
 
 
-@query(oracle("""SELECT country_code AS zone, event_date, stress_score, stress_label, main_driver, finding_summary
+@query(oracle(f"""SELECT country_code AS zone, event_date, stress_score, stress_label, main_driver, {_MASK_SQL}
     FROM stress5 ORDER BY event_date DESC, stress_score DESC, zone LIMIT 20"""))
 def top_stress(spark, sf):
-    return serving.top_stress(stress(spark, sf))
+    return masked(serving.top_stress(stress(spark, sf)))
 
 
 @query(oracle(f"""SELECT zone, event_date, {r('renewable_share_pct')}, {r('renewable_volatility_index')},
@@ -982,10 +993,10 @@ def stability_dashboard(spark, sf):
     return rounded(serving.stability_dashboard(row_stability(spark, sf)), "total_generation")
 
 
-@query(oracle("""SELECT country_code AS zone, event_date, stress_label, stress_score, main_driver, finding_summary
+@query(oracle(f"""SELECT country_code AS zone, event_date, stress_label, stress_score, main_driver, {_MASK_SQL}
     FROM stress5 ORDER BY event_date DESC, stress_score DESC, zone LIMIT 10"""))
 def report_stress_days(spark, sf):
-    return serving.report_stress_days(stress(spark, sf))
+    return masked(serving.report_stress_days(stress(spark, sf)))
 
 
 @query(oracle("""SELECT scenario_id, zone, event_date, baseline_stress_score, simulated_stress_score, stress_delta,

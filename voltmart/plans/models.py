@@ -220,9 +220,10 @@ def trend_backtest_metrics(spark, sf):
     return forecasting.trend_backtest(latest_prices(spark, sf), TRAIN, TEST, 20)[1]
 
 
-CTES["naive_pairs"] = """SELECT zone, CAST(timestamp_utc AS DATE) AS ds, avg(price_eur_mwh) AS y,
-    lag(avg(price_eur_mwh)) OVER (PARTITION BY zone ORDER BY CAST(timestamp_utc AS DATE)) AS yhat
-    FROM latest_prices GROUP BY zone, CAST(timestamp_utc AS DATE)"""
+CTES["daily_mean"] = """SELECT zone, CAST(timestamp_utc AS DATE) AS ds, avg(price_eur_mwh) AS y FROM latest_prices
+    GROUP BY ALL"""
+CTES["naive_pairs"] = """SELECT t.zone, t.ds, t.y, b.y AS yhat FROM daily_mean t
+    LEFT JOIN daily_mean b ON t.zone = b.zone AND t.ds = b.ds + 1"""
 
 
 def naive_forecast(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -245,9 +246,11 @@ def backtest_join(spark, sf):
     return rounded(rows, *[c for c in rows.columns if c not in ("zone", "date")], digits=3)
 
 
-@query(oracle(f"""SELECT zone, {r('avg(abs(y - yhat))', 5, 'mae')}, {r('sqrt(avg((y - yhat) * (y - yhat)))', 5, 'rmse')},
-    {r('100 * avg(abs((y - yhat) / nullif(y, 0)))', 5, 'mape_pct')},
-    {r('100 * avg(2 * abs(y - yhat) / nullif(abs(y) + abs(yhat), 0))', 5, 'smape_pct')}, count(*) AS actual_count
+@query(oracle(f"""SELECT zone, {r('round(avg(abs(y - yhat)), 6)', 5, 'mae')},
+    {r('round(sqrt(avg((y - yhat) * (y - yhat))), 6)', 5, 'rmse')},
+    {r('round(100 * avg(abs((y - yhat) / nullif(y, 0))), 6)', 5, 'mape_pct')},
+    {r('round(100 * avg(2 * abs(y - yhat) / nullif(abs(y) + abs(yhat), 0)), 6)', 5, 'smape_pct')},
+    count(*) AS actual_count
     FROM naive_pairs WHERE yhat IS NOT NULL GROUP BY zone"""))
 def backtest_metrics(spark, sf):
     actual, forecast = naive_forecast(spark, sf)
