@@ -12,7 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from voltmart.functions.keys import latest_per_key
-from voltmart.session import scratch_path
+from voltmart.session import materialize, scratch_path
 
 
 def with_bronze_metadata(df: DataFrame, batch_id: str, source: str) -> DataFrame:
@@ -85,6 +85,26 @@ def _emptied(stored: DataFrame, kept: DataFrame, partition_by: Sequence[str]) ->
     return [row["_folder"] for row in gone.select("_folder").collect()]
 
 
+# Above this many touched partitions the list stays in Spark and is joined instead.
+PRUNE_LIMIT = 5000
+
+
+def _in_partitions(df: DataFrame, parts: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` in the partitions listed in ``parts`` (a stored table), scanning only those.
+
+    The partition values go into the scan as literals; they are names of table folders, not data rows.
+    """
+    rows = parts.limit(PRUNE_LIMIT + 1).collect()
+    if len(rows) <= PRUNE_LIMIT:
+        for i, column in enumerate(partition_by):
+            values = {row[i] for row in rows}
+            keep = F.col(column).isin([v for v in values if v is not None])
+            df = df.filter(keep | F.col(column).isNull() if None in values else keep)
+        if len(partition_by) == 1:
+            return df
+    return df.join(parts, list(partition_by), "left_semi")
+
+
 def upsert(
     source: DataFrame, path: str, keys: Sequence[str], order: str | Sequence[str], partition_by: Sequence[str] = ()
 ) -> None:
@@ -101,7 +121,7 @@ def upsert(
         return
     target = read_like(spark, path, source)
     if partition_by:
-        target = target.join(source.select(*partition_by).distinct(), list(partition_by), "left_semi")
+        target = _in_partitions(target, materialize(source.select(*partition_by).distinct()), partition_by)
     copy, staged = _stage(latest_per_key(target.unionByName(source), keys, order), partition_by)
     _overwrite(copy, path, partition_by)
     _delete(spark, staged)
@@ -131,7 +151,7 @@ def rewrite_without(
 
     With ``partition_by`` only partitions holding such rows are read in full and rewritten; emptied ones are removed.
     """
-    ids = ids.select("entity_id").distinct()
+    ids = materialize(ids.select("entity_id").distinct())
     table = spark.read.parquet(path)
     if not partition_by:
         copy, staged = _stage(without(table, columns, ids), [])
@@ -142,10 +162,11 @@ def rewrite_without(
     for column in columns:
         named = table.join(ids, table[column] == ids["entity_id"], "left_semi").select(*partition_by)
         touched = named if touched is None else touched.unionByName(named)
-    affected = table.join(touched.distinct(), list(partition_by), "left_semi").select(*table.columns)
+    touched = materialize(touched.distinct())
+    affected = _in_partitions(table, touched, partition_by).select(*table.columns)
     copy, staged = _stage(without(affected, columns, ids), partition_by)
-    folders = table.select(*table.columns, "_metadata").join(touched.distinct(), list(partition_by), "left_semi")
-    gone = _emptied(folders, copy, partition_by)
+    located = table.select(*partition_by, "_metadata")
+    gone = _emptied(_in_partitions(located, touched, partition_by), copy, partition_by)
     _overwrite(copy, path, partition_by)
     for folder in gone + [staged]:
         _delete(spark, folder)

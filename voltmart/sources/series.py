@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from voltmart.functions.quantile import join_small
 from voltmart.schemas import RENEWABLE_TYPES, ZONE_EIC
 
 MARKET_TZ = "Europe/Brussels"
@@ -40,7 +41,7 @@ def price_series(df: DataFrame, local: str = "timestamp_local", tz: str = MARKET
         .withColumn("timestamp_utc", F.to_utc_timestamp(local, tz))
         .drop(local)
     )
-    return rows.join(resolution_minutes(rows), "zone", "left")
+    return join_small(rows, resolution_minutes(rows), ["zone"], "left")
 
 
 def resolution_minutes(df: DataFrame, key: str = "zone", ts: str = "timestamp_utc", default: int = 60) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from voltmart.functions.quantile import join_small
 from voltmart.schemas import DEFAULT_ZONES, FLOW_CORRIDORS, RENEWABLE_TYPES, ZONE_EIC
 from voltmart.sinks.tables import with_bronze_metadata
 
@@ -117,8 +118,7 @@ def bronze_batch(
     entity = F.concat_ws(">", "zone_from", "zone_to") if "zone_from" in rows.columns else F.col("zone")
     marks = watermarks.filter(F.col("dataset") == dataset).select(F.col("entity").alias("_entity"), "watermark")
     due = (
-        rows.withColumn("_entity", entity)
-        .join(marks, "_entity", "left")
+        join_small(rows.withColumn("_entity", entity), marks, ["_entity"], "left")
         .filter(F.col("timestamp_utc") >= next_start(F.col("watermark"), fallback).cast("timestamp"))
         .drop("_entity", "watermark")
     )
