@@ -66,7 +66,7 @@ def freshness_report(runs: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
-def contract_freshness(runs: DataFrame, as_of: Column, pipeline: str = "emit_batch") -> DataFrame:
+def contract_freshness(runs: DataFrame, as_of: Column, pipeline: str = "daily_batch") -> DataFrame:
     """Every contract with a freshness limit against the newest run of a pipeline; no run counts as age -1."""
     newest = runs.filter(F.col("pipeline_name") == pipeline).agg(F.max("finished_at").alias("_last"))
     lines = F.array(

@@ -23,7 +23,7 @@ def runs(spark: SparkSession, sf: str) -> DataFrame:
     rows = views.table(spark, sf, "events").select(
         F.concat(F.lit("run_"), number.cast("string")).alias("run_id"),
         F.element_at(
-            F.array(F.lit("emit_batch"), F.lit("intraday"), F.lit("backfill")), (number % 3 + 1).cast("int")
+            F.array(F.lit("daily_batch"), F.lit("intraday"), F.lit("backfill")), (number % 3 + 1).cast("int")
         ).alias("pipeline_name"),
         F.concat(F.lit("task_"), (F.col("event_id") % 10).cast("string")).alias("task_name"),
         started.alias("started_at"),
@@ -39,7 +39,7 @@ def runs(spark: SparkSession, sf: str) -> DataFrame:
 CTES.update(
     {
         "runs": """SELECT 'run_' || (event_id // 10) AS run_id,
-            array_extract(['emit_batch', 'intraday', 'backfill'], (event_id // 10) % 3 + 1) AS pipeline_name,
+            array_extract(['daily_batch', 'intraday', 'backfill'], (event_id // 10) % 3 + 1) AS pipeline_name,
             'task_' || (event_id % 10) AS task_name, date_trunc('second', ts) AS started_at,
             date_trunc('second', ts) + to_minutes(CAST(event_id % 300 AS INTEGER)) AS finished_at,
             CAST(floor(value) AS BIGINT) AS rows_read, CAST(floor(value / 2) AS BIGINT) AS rows_written,
@@ -90,7 +90,7 @@ _LIMITS = ", ".join(f"('{c.name}', {c.freshness_minutes})" for c in CONTRACTS.va
 @query(oracle(f"""SELECT contract, freshness_minutes, age AS age_minutes,
     CASE WHEN age BETWEEN 0 AND freshness_minutes THEN 'OK' ELSE 'STALE' END AS status FROM (
     SELECT CAST(floor((epoch(TIMESTAMP '{AS_OF}') - epoch(max(finished_at))) / 60) AS BIGINT) AS age FROM runs
-    WHERE pipeline_name = 'emit_batch'), (VALUES {_LIMITS}) c(contract, freshness_minutes)"""))
+    WHERE pipeline_name = 'daily_batch'), (VALUES {_LIMITS}) c(contract, freshness_minutes)"""))
 def contract_freshness(spark, sf):
     return ops.contract_freshness(runs(spark, sf), F.lit(AS_OF).cast("timestamp"))
 
