@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from voltmart.llm import packing, simhash
+from voltmart.llm import decontaminate, packing, simhash, suffix_dedup
 from voltmart.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,3 +27,39 @@ def op1_packing(spark, sf_dir):
 def op7_simhash(spark, sf_dir):
     found = simhash.near_duplicates(documents(spark, sf_dir))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op3_decontamination(spark, sf_dir):
+    found = decontaminate.scan(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+    return decontaminate.verdicts(found).select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated",
+    )
+
+
+ORACLES["op3_decontamination"] = """WITH words_of AS (
+  SELECT 'd' AS kind, CAST(doc_id AS VARCHAR) AS id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
+  UNION ALL
+  SELECT 'b', CAST(item_id AS VARCHAR), regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') FROM benchmark),
+sizes AS (SELECT DISTINCT least(len(w), 13) AS n FROM words_of WHERE kind = 'b' AND len(w) > 0),
+item_windows AS (SELECT DISTINCT id, n, array_to_string(w[i:i + n - 1], ' ') AS s FROM (
+  SELECT id, least(len(w), 13) AS n, w, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i
+  FROM words_of WHERE kind = 'b' AND len(w) > 0)),
+doc_windows AS (SELECT id, n, i, array_to_string(w[i:i + n - 1], ' ') AS s FROM (
+  SELECT id, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM words_of, sizes WHERE kind = 'd' AND len(w) >= n)),
+found AS (SELECT d.id, d.i, d.n, b.id AS item FROM doc_windows d JOIN item_windows b ON d.s = b.s AND d.n = b.n),
+hits AS (SELECT id, count(DISTINCT p) AS n_hit FROM (SELECT id, unnest(range(i, i + n)) AS p FROM found) GROUP BY id),
+items AS (SELECT id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS s
+  FROM (SELECT DISTINCT id, item FROM found) GROUP BY id)
+SELECT CAST(w.id AS BIGINT) AS doc_id, CAST(len(w.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, sha256(coalesce(s, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w.w) AS contaminated
+FROM words_of w LEFT JOIN hits h ON w.id = h.id LEFT JOIN items t ON w.id = t.id WHERE w.kind = 'd'"""
+
+
+@query
+def op8_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.measure(documents(spark, sf_dir))
