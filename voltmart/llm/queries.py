@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from voltmart.llm import decontaminate, packing, simhash, suffix_dedup
+from voltmart.llm import decontaminate, packing, quality, simhash, suffix_dedup, toxicity
 from voltmart.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,33 @@ FROM words_of w LEFT JOIN hits h ON w.id = h.id LEFT JOIN items t ON w.id = t.id
 @query
 def op8_suffix_dedup(spark, sf_dir):
     return suffix_dedup.measure(documents(spark, sf_dir))
+
+
+@query
+def op5_toxicity(spark, sf_dir):
+    return toxicity.scores(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
+@query
+def op9_quality(spark, sf_dir):
+    return quality.assess(documents(spark, sf_dir)).drop("rejected_by")
+
+
+ORACLES["op9_quality"] = """WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS s FROM
+  (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)),
+again AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, s) > 1),
+repeats AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM again) GROUP BY 1),
+lines AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM d)
+  WHERE regexp_matches(l, '[^\\x20\\x09-\\x0D]') GROUP BY 1),
+s AS (SELECT d.doc_id, t, w, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+  length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(l.n, 0) AS n_dup_lines,
+  coalesce(r.n, 0) AS n_repeat_words FROM d LEFT JOIN lines l USING (doc_id) LEFT JOIN repeats r USING (doc_id)),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM s)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  CASE WHEN base_failed THEN false ELSE NOT (
+    word_chars / n_words < 2 OR word_chars / n_words > 20 OR n_symbols / n_words > 0.3
+    OR n_dup_lines / len(string_split(t, chr(10))) > 0.3
+    OR length(regexp_replace(t, '[^A-Z]', '', 'g')) / greatest(1, word_chars) > 0.5
+    OR len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z\\x{80}-\\x{10FFFF}]'))) / n_words < 0.6) END AS kept FROM b"""

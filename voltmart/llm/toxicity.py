@@ -18,8 +18,8 @@ SAMPLE_CHARS = 8_000_000
 #: Words of the shared backoff share this many hash buckets; their counts are over all texts.
 BUCKETS = 1 << 18
 DISCOUNT = 0.75
-#: Words used less often in the sample are one unknown word.
-MIN_USES = 5
+#: Words that follow fewer different words in the sample are one unknown word.
+MIN_CONTEXTS = 5
 UNKNOWN = 1
 #: One word in this many, two at least, makes up the second feature of a document.
 TOP_SHARE = 80
@@ -33,9 +33,14 @@ def word_ids(text: str | None) -> np.ndarray:
     return np.fromiter(map(zlib.crc32, words), dtype=np.uint64, count=len(words))
 
 
+def _before(ids: np.ndarray) -> np.ndarray:
+    """The word before each; 0 at the start."""
+    return np.concatenate((np.zeros(1, dtype=np.uint64), ids[:-1]))
+
+
 def _pairs(ids: np.ndarray) -> np.ndarray:
     """Each word with the one before it; the first follows 0."""
-    return np.concatenate((np.zeros(1, dtype=np.uint64), ids[:-1])) << np.uint64(32) | ids
+    return _before(ids) << np.uint64(32) | ids
 
 
 def in_vocabulary(ids: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -73,9 +78,9 @@ class Model:
     words: np.ndarray  # sorted word hashes
     continuation: np.ndarray  # (2, words): different words before, per class
     followers: np.ndarray  # (2, words): different words after
-    uses: np.ndarray  # (2, words): occurrences as a context
+    uses: np.ndarray  # (2, words): counts as a word before
     pairs: np.ndarray  # sorted (word before, word)
-    pair_counts: np.ndarray  # (2, pairs)
+    pair_counts: np.ndarray  # (2, pairs): different words before the pair
     start: np.ndarray  # (2, 2): followers and uses of the text start
     shared: np.ndarray  # backoff probability per bucket
     weights: tuple[float, ...] = (0.0, 1.0, 0.0)
@@ -118,27 +123,33 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def _collected(rows: DataFrame, schema: str, run) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted keys and their counts per class, added up in Spark; as many as the bounded sample holds."""
-    counts = map_batches(rows, run, schema).groupBy("key").agg(
-        F.sum("ordinary").cast("int").alias("ordinary"), F.sum("toxic").cast("int").alias("toxic")
-    ).toPandas()
-    keys = counts["key"].to_numpy().astype(np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    return keys[order], counts[["ordinary", "toxic"]].to_numpy(dtype=np.float32).T[:, order]
+def _counted(train: DataFrame, keys_of) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys and, per class, in how many different contexts each occurs; as many as the bounded sample holds.
 
+    ``keys_of`` gives the keys and contexts of a document's words. Contexts are types, so the copies of one document weigh
+    no more than the document.
+    """
 
-def _counted(train: DataFrame, keys_of) -> tuple[np.ndarray, np.ndarray]:
     def run(batches) -> Iterator[dict]:
         for batch in pieces(batches):
             toxic = batch.column("toxic").to_numpy(zero_copy_only=False)
             texts = batch.column("text").to_pylist()
             for c in (0, 1):
                 found = [keys_of(ids) for ids in (word_ids(texts[i]) for i in np.flatnonzero(toxic == c)) if len(ids)]
-                keys, n = np.unique(np.concatenate(found or [np.zeros(0, dtype=np.uint64)]), return_counts=True)
-                yield {"key": keys.view(np.int64), "ordinary": n * (c == 0), "toxic": n * (c == 1)}
-
-    return _collected(train, "key long, ordinary long, toxic long", run)
+                if found:
+                    keys, contexts = (np.concatenate(x) for x in zip(*found))
+                    order = np.lexsort((contexts, keys))
+                    keys, contexts = keys[order], contexts[order]
+                    new = np.concatenate(([True], (keys[1:] != keys[:-1]) | (contexts[1:] != contexts[:-1])))
+                    yield {"key": keys[new].view(np.int64), "context": contexts[new].view(np.int64),
+                           "toxic": np.full(int(new.sum()), c, dtype=np.int32)}
+
+    counts = map_batches(train, run, "key long, context long, toxic int").distinct().groupBy("key").agg(
+        F.sum(1 - F.col("toxic")).cast("int").alias("ordinary"), F.sum("toxic").cast("int").alias("toxic")
+    ).toPandas()
+    keys = counts["key"].to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], counts[["ordinary", "toxic"]].to_numpy(dtype=np.float32).T[:, order]
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50, ridge: float = 1e-2) -> tuple[float, ...]:
@@ -181,10 +192,15 @@ def fit(
     counts = shared_counts(rows)
     shared = (counts + 0.5) / (counts.sum() + 0.5 * BUCKETS)
     learning = sample.filter("NOT calibrates")
-    vocabulary, uses = _counted(learning, lambda ids: ids)
-    vocabulary = vocabulary[uses.sum(axis=0) >= MIN_USES]
+    vocabulary, contexts = _counted(learning, lambda ids: (ids, _before(ids)))
+    vocabulary = vocabulary[contexts.sum(axis=0) >= MIN_CONTEXTS]
     known_words = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    pairs, n = _counted(learning, lambda ids: _pairs(in_vocabulary(ids, known_words.value)))
+
+    def pairs_of(ids):
+        known = in_vocabulary(ids, known_words.value)
+        return _pairs(known), _before(_before(ids))
+
+    pairs, n = _counted(learning, pairs_of)
     before, word = pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)
     words = np.unique(np.concatenate((word, before)))
     place, context = np.searchsorted(words, word), np.searchsorted(words, before)
