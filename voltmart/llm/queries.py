@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from voltmart.llm import decontaminate, packing, quality, simhash, suffix_dedup, toxicity
+from voltmart.llm import decontaminate, html, langid, packing, quality, simhash, suffix_dedup, toxicity
 from voltmart.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,13 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     OR n_dup_lines / len(string_split(t, chr(10))) > 0.3
     OR length(regexp_replace(t, '[^A-Z]', '', 'g')) / greatest(1, word_chars) > 0.5
     OR len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z\\x{80}-\\x{10FFFF}]'))) / n_words < 0.6) END AS kept FROM b"""
+
+
+@query
+def op4_language(spark, sf_dir):
+    return langid.identify(documents(spark, sf_dir))
+
+
+@query
+def op6_html(spark, sf_dir):
+    return html.extract(documents(spark, sf_dir, "pages"))
