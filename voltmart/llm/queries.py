@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from voltmart.llm import decontaminate, html, langid, packing, quality, simhash, suffix_dedup, toxicity
+from voltmart.llm import (
+    decontaminate, html, langid, licenses, packing, quality, simhash, suffix_dedup, token_files, toxicity,
+)
 from voltmart.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +105,13 @@ def op4_language(spark, sf_dir):
 @query
 def op6_html(spark, sf_dir):
     return html.extract(documents(spark, sf_dir, "pages"))
+
+
+@query
+def op2_token_files(spark, sf_dir):
+    return token_files.round_trip(documents(spark, sf_dir))
+
+
+@query
+def op10_licenses(spark, sf_dir):
+    return licenses.scan(documents(spark, sf_dir))
