@@ -9,8 +9,11 @@ drops what is unique, until the threshold is passed:
    strings with that anchor. Anchors whose name is unique are dropped: none of their strings repeats.
 2. *Contexts.* Rows with the same anchor name are sorted by the name of the whole run of bytes their strings cover. All
    but the earliest row of a context repeat it string by string.
-3. *Full length.* Only the earliest rows of anchors with several contexts are left. Each of their strings gets its
-   own (name, position) row, and all but the earliest position of a name is a repeat.
+3. *Cores.* Only the earliest rows of anchors with several contexts are left. Their runs are cut, at equal distances from
+   the anchor, into blocks of a few strings; a block is named by the bytes that all its strings share, a little less than
+   ``length``. Unique cores are dropped, and equal contexts of a core decided, as before.
+4. *Full length.* Only the earliest rows of cores with several contexts are left. Each of their strings gets its own
+   (name, position) row, and all but the earliest position of a name is a repeat.
 
 Names of two independent families are compared together wherever a repeat is decided.
 """
@@ -18,18 +21,24 @@ Names of two independent families are compared together wherever a repeat is dec
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from voltmart.llm.common import encoded, id_text, map_batches, pieces, ragged
-from voltmart.session import materialize
+from voltmart.session import materialize, scratch_path
 
 LENGTH = 100
 
-#: Bits of a packed position: 11 of the text's hash (rows that share an id but not the text), 40 of the start, 12 of the run.
-_RUN_BITS, _START_BITS, _TAGS = 12, 40, 2048
+#: Bits of a packed position: 10 of the text's hash (rows that share an id but not the text), 31 of the start, 11 of the
+#: anchor's distance from it, 11 of the number of further starts.
+_RUN_BITS, _FAR_BITS, _START_BITS, _TAGS = 11, 11, 31, 1024
+_RUN, _FAR = (1 << _RUN_BITS) - 1, (1 << _FAR_BITS) - 1
+_LOW_BITS = _RUN_BITS + _FAR_BITS
+#: Strings per block.
+_CORE = 8
 #: Bytes of text whose names are built at once, to stay in the processor's cache.
 _BLOCK = 200_000
 
@@ -99,22 +108,22 @@ def _joined_blocks(raws: list[bytes], length: int):
         yield np.concatenate(parts), np.array(rows), np.array(starts), np.array([len(p) for p in parts])
 
 
-def anchor_rows(raws: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row, anchor name, context name, first start and run of all texts, in the order of rows and starts."""
+def anchor_rows(raws: list[bytes], length: int) -> tuple[np.ndarray, ...]:
+    """Row, anchor name, context name, first start, run and anchor's distance of all texts, by row and start."""
     found = []
     for raw, rows, starts, sizes in _joined_blocks(raws, length):
-        names, contexts, first, run = _anchors(raw, sizes, length)
+        names, contexts, first, run, far = _anchors(raw, sizes, length)
         part = np.searchsorted(np.cumsum(sizes), first, side="right")
         begin = np.cumsum(sizes) - sizes
-        found.append((rows[part], names, contexts, starts[part] + first - begin[part], run))
+        found.append((rows[part], names, contexts, starts[part] + first - begin[part], run, far))
     if not found:
         none = np.zeros(0, dtype=np.int64)
-        return none, none.astype(np.uint64), none.astype(np.uint64), none, none
+        return none, none.astype(np.uint64), none.astype(np.uint64), none, none, none
     return tuple(np.concatenate(c) for c in zip(*found))
 
 
 def _anchors(raw: np.ndarray, sizes: np.ndarray, length: int):
-    """Anchor name, context name, first start and number of starts of each run of strings with one anchor.
+    """Anchor name, context name, first start, number of starts and anchor's distance of each run of strings with one anchor.
 
     ``raw`` joins parts of the given sizes; strings that cross parts are left out.
     """
@@ -131,26 +140,28 @@ def _anchors(raw: np.ndarray, sizes: np.ndarray, length: int):
     size = run + length - 1
     offsets = [first + np.minimum(j * half, size - half) for j in range(4)]
     context = _mixed([*(long[o] for o in offsets), size, at[index] - first])
-    return short[at[index]], context, first, run
+    return short[at[index]], context, first, run, at[index] - first
 
 
-def full_names(raw: bytes, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Names in both families of the ``length``-byte strings at ``starts`` (ascending) of one text."""
-    half = 1 << (length.bit_length() - 1)
-    whole, one, two = np.frombuffer(raw, dtype=np.uint8), [], []
-    for begin in range(0, len(raw), _BLOCK):
-        here = starts[(starts >= begin) & (starts < begin + _BLOCK)] - begin
-        if len(here):
-            block = whole[begin : begin + _BLOCK + length - 1]
-            for out, family in ((one, 1), (two, 2)):
-                (names,) = _doubled(block, [half], family)
-                out.append(_mixed([names[here], names[here + length - half]]))
-    none = np.zeros(0, dtype=np.uint64)
-    return np.concatenate(one or [none]), np.concatenate(two or [none])
+def names_at(raw: bytes, starts: np.ndarray, sizes: np.ndarray, family: int) -> np.ndarray:
+    """Names of the strings of ``sizes`` bytes at ``starts`` of one text; the largest size is below twice the least."""
+    out = np.zeros(len(starts), dtype=np.uint64)
+    if not len(starts):
+        return out
+    half, most = 1 << (int(sizes.min()).bit_length() - 1), int(sizes.max())
+    whole, order = np.frombuffer(raw, dtype=np.uint8), np.argsort(starts, kind="stable")
+    bounds = np.searchsorted(starts[order], np.arange(0, len(raw) + _BLOCK, _BLOCK))
+    for k, (low, high) in enumerate(zip(bounds[:-1], bounds[1:])):
+        if high > low:
+            begin, rows = k * _BLOCK, order[low:high]
+            (names,) = _doubled(whole[begin : begin + _BLOCK + most - 1], [half], family)
+            here, size = starts[rows] - begin, sizes[rows]
+            out[rows] = _mixed([*(names[here + np.minimum(j * half, size - half)] for j in range(4)), size])
+    return out
 
 
-def _pack(tags: np.ndarray, starts: np.ndarray, runs) -> np.ndarray:
-    return ((tags.astype(np.int64) << _START_BITS | starts) << _RUN_BITS) | runs
+def _pack(tags: np.ndarray, starts: np.ndarray, far, runs) -> np.ndarray:
+    return (((tags.astype(np.int64) << _START_BITS | starts) << _FAR_BITS) | far) << _RUN_BITS | runs
 
 
 def _tagged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -188,17 +199,17 @@ def _sampled(rows: DataFrame, length: int) -> DataFrame:
     def run(batches) -> Iterator[dict]:
         for batch in pieces(batches):
             ids, tags, _, raws, number = _in_order(batch)
-            row, gram, context, first, size = anchor_rows(raws, length)
+            row, gram, context, first, size, far = anchor_rows(raws, length)
             same = (number[row] << _START_BITS) | first if len(row) else row
             lead, later = _firsts(gram, context, same)
             spans = _runs(number[row[later]], row[later], first[later], size[later])
-            packed = _pack(tags[row[lead]], first[lead], size[lead] - 1)
+            packed = _pack(tags[row[lead]], first[lead], far[lead], size[lead] - 1)
             none = [None] * len(spans[0])
             yield {
                 "gram": [*gram[lead].view(np.int64).tolist(), *none],
                 "context": np.concatenate((context[lead].view(np.int64), spans[2])),
                 "doc_id": [ids[r] for r in (*row[lead], *spans[0])],
-                "position": np.concatenate((packed, _pack(tags[spans[0]], spans[1], 0))),
+                "position": np.concatenate((packed, _pack(tags[spans[0]], spans[1], 0, 0))),
             }
 
     return map_batches(rows, run, "gram long, context long, doc_id long, position long")
@@ -244,7 +255,7 @@ def _resolved(sorted_rows: DataFrame) -> DataFrame:
                 new = np.concatenate(([True], (g[1:] != g[:-1]) | (c[1:] != c[:-1])))
                 lead = np.maximum.accumulate(np.where(new, np.arange(len(rows)), 0))
                 runs = rows[~new & ((rows[:, 2] != rows[lead, 2]) | (rows[:, 3] != rows[lead, 3]))]
-                out.append((runs[:, 2], runs[:, 3], _start(runs[:, 3]) + (runs[:, 3] & ((1 << _RUN_BITS) - 1)), 0))
+                out.append((runs[:, 2], runs[:, 3], _start(runs[:, 3]) + (runs[:, 3] & _RUN), 0))
                 heads = np.flatnonzero(new)
                 same = g[heads[1:]] == g[heads[:-1]]
                 several = np.concatenate((same, [False])) | np.concatenate(([False], same))
@@ -265,11 +276,7 @@ def _resolved(sorted_rows: DataFrame) -> DataFrame:
 
 
 def _start(position):
-    return position >> _RUN_BITS & ((1 << _START_BITS) - 1)
-
-
-def _tag(position):
-    return position >> (_RUN_BITS + _START_BITS)
+    return position >> _LOW_BITS & ((1 << _START_BITS) - 1)
 
 
 def _sorted_by_name(rows: DataFrame) -> DataFrame:
@@ -278,8 +285,12 @@ def _sorted_by_name(rows: DataFrame) -> DataFrame:
     return rows.repartition(where).sortWithinPartitions("gram", "context", "doc_id", "position")
 
 
-def _squeezed(rows: DataFrame) -> DataFrame:
-    """(doc_id, tag, z): texts as compressed bytes, so that joining them moves less."""
+def _by_key(rows: DataFrame) -> DataFrame:
+    """(key, doc_id, tag, z) of all documents as a table in buckets of ``key``, a hash of id and tag.
+
+    Each pass joins its few rows with this table where it lies; z holds the text compressed. The table's files are in the
+    shared folder.
+    """
 
     def run(batches) -> Iterator[dict]:
         import zstandard
@@ -287,11 +298,24 @@ def _squeezed(rows: DataFrame) -> DataFrame:
         tool = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             yield {
-                "doc_id": batch.column("doc_id"), "tag": batch.column("tag"),
+                "key": batch.column("key"), "doc_id": batch.column("doc_id"), "tag": batch.column("tag"),
                 "z": [tool.compress(encoded(t.as_py())) for t in batch.column("text")],
             }
 
-    return map_batches(rows, run, "doc_id long, tag int, z binary")
+    spark = rows.sparkSession
+    count = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    keyed = map_batches(
+        rows.select(_key("doc_id", "tag").alias("key"), "doc_id", "tag", "text"), run, "key long, doc_id long, tag int, z binary"
+    )
+    name = f"texts_{uuid.uuid4().hex}"
+    keyed.repartition(count, "key").write.format("parquet").bucketBy(count, "key").option(
+        "path", scratch_path(spark, "texts")
+    ).saveAsTable(name)
+    return spark.table(name)
+
+
+def _key(doc_id: str, tag: str):
+    return F.xxhash64(F.coalesce(doc_id, F.lit(0)), F.col(doc_id).isNull(), tag)
 
 
 def _raw(batch) -> list[bytes]:
@@ -301,48 +325,78 @@ def _raw(batch) -> list[bytes]:
     return [tool.decompress(z.as_py()) for z in batch.column("z")]
 
 
-def _same_doc(a: DataFrame, b: DataFrame):
-    return a["doc_id"].eqNullSafe(b["of_id"]) & (a["tag"] == b["of_tag"])
+def _with_text(texts: DataFrame, wanted: DataFrame, how: str = "inner") -> DataFrame:
+    """``texts`` with the rows of ``wanted`` (of_id, of_tag, ...) for the same document."""
+    wanted = wanted.withColumn("of_key", _key("of_id", "of_tag"))
+    same = F.expr("((doc_id IS NULL AND of_id IS NULL) OR doc_id = of_id) AND (tag - of_tag) = 0")
+    return texts.join(wanted, (texts["key"] == wanted["of_key"]) & same, how)
 
 
-def _expanded(rows: DataFrame, open_runs: DataFrame, length: int) -> DataFrame:
-    """Rows as of ``_sampled`` for the single strings of ``open_runs``: both families' names in place of gram and context."""
+def _finer(texts: DataFrame, open_runs: DataFrame, one) -> DataFrame:
+    """Rows as of ``_sampled`` that ``one`` makes from a text, its tag and the packed positions of its open runs."""
     wanted = open_runs.groupBy(F.col("doc_id").alias("of_id"), _tag_column().alias("of_tag")).agg(
         F.collect_list("position").alias("positions")
     )
-    texts = _squeezed(rows)
-    joined = texts.join(wanted, _same_doc(texts, wanted)).select("doc_id", "tag", "z", "positions")
+    joined = _with_text(texts, wanted).select("doc_id", "tag", "z", "positions")
 
     def run(batches) -> Iterator[dict]:
         for batch in batches:
             ids, tags = batch.column("doc_id").to_pylist(), batch.column("tag").to_pylist()
             for i, raw in enumerate(_raw(batch)):
-                at = batch.column("positions")[i].values.to_numpy()
-                starts = np.unique(ragged(_start(at), (at & ((1 << _RUN_BITS) - 1)) + 1))
-                one, two = full_names(raw, starts, length)
+                gram, context, starts, runs = one(raw, batch.column("positions")[i].values.to_numpy())
                 yield {
-                    "gram": one.view(np.int64), "context": two.view(np.int64), "doc_id": [ids[i]] * len(starts),
-                    "position": _pack(np.full(len(starts), tags[i]), starts, 0),
+                    "gram": gram.view(np.int64), "context": context.view(np.int64), "doc_id": [ids[i]] * len(starts),
+                    "position": _pack(np.full(len(starts), tags[i]), starts, 0, runs - 1),
                 }
 
     return map_batches(joined, run, "gram long, context long, doc_id long, position long")
 
 
+def _cores(length: int):
+    """Blocks of the open runs: core name, context name, first start and number of starts."""
+    step = max(1, min(_CORE, length // 4))
+
+    def one(raw: bytes, at: np.ndarray):
+        first, size, far = _start(at), (at & _RUN) + 1, at >> _RUN_BITS & _FAR
+        low, high = far - size + 1, far  # distances of the run's last and first start from the anchor
+        count = high // step - low // step + 1
+        row = np.repeat(np.arange(len(at)), count)
+        block = ragged(low // step, count)
+        near, away = np.maximum(block * step, low[row]), np.minimum(block * step + step - 1, high[row])
+        anchor = first[row] + far[row]
+        starts, runs, core = anchor - away, away - near + 1, anchor - block * step
+        keep = np.unique(np.stack((starts, runs, block), axis=1), axis=0, return_index=True)[1]
+        starts, runs, core, block = starts[keep], runs[keep], core[keep], block[keep]
+        gram = _mixed([names_at(raw, core, np.full(len(core), length - step + 1), 1), block])
+        return gram, _mixed([names_at(raw, starts, runs + length - 1, 2), core - starts]), starts, runs
+
+    return one
+
+
+def _singles(length: int):
+    """Each string of the open runs by its names in both families."""
+
+    def one(raw: bytes, at: np.ndarray):
+        starts = np.unique(ragged(_start(at), (at & _RUN) + 1))
+        sizes = np.full(len(starts), length)
+        return names_at(raw, starts, sizes, 1), names_at(raw, starts, sizes, 2), starts, np.ones(len(starts), dtype=np.int64)
+
+    return one
+
+
 def _tag_column():
-    return F.shiftright("position", _RUN_BITS + _START_BITS).cast("int")
+    return F.shiftright("position", _LOW_BITS + _START_BITS).cast("int")
 
 
-def repeats(
-    docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
+def repeats(rows: DataFrame, texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """(of_id, of_tag, spans): byte spans [start, end) to remove per document that has any; see ``measure`` for the rule."""
-    if not 2 <= length <= 2000:
-        raise ValueError("length must be between 2 and 2000")
-    rows = _tagged(docs, id_col, text_col)
+    if not 2 <= length <= 1000:
+        raise ValueError("length must be between 2 and 1000")
     found = materialize(_resolved(_sorted_by_name(_sampled(rows, length))))
-    singles = _resolved(_sorted_by_name(_expanded(rows, found.filter("kind = 1"), length)))
-    low = F.shiftright("position", _RUN_BITS).bitwiseAND((1 << _START_BITS) - 1)
-    spans = found.union(singles).filter("kind = 0").select(
+    cores = materialize(_resolved(_sorted_by_name(_finer(texts, found.filter("kind = 1"), _cores(length)))))
+    singles = _resolved(_sorted_by_name(_finer(texts, cores.filter("kind = 1"), _singles(length))))
+    low = F.shiftright("position", _LOW_BITS).bitwiseAND((1 << _START_BITS) - 1)
+    spans = found.union(cores).union(singles).filter("kind = 0").select(
         F.col("doc_id").alias("of_id"), _tag_column().alias("of_tag"),
         F.struct(low.alias("first"), (F.col("last") + length).alias("end")).alias("span"),
     )
@@ -383,9 +437,9 @@ def measure(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_
     before all others. Rows that share an id but not the text are documents ordered by a hash of the text; rows equal in
     both are one document, and each gets its result. An empty table gives an empty result.
     """
-    rows = _squeezed(_tagged(docs, id_col, text_col))
-    spans = repeats(docs, length, id_col, text_col)
-    joined = rows.join(spans, _same_doc(rows, spans), "left").select("doc_id", "z", "spans")
+    rows = _tagged(docs, id_col, text_col)
+    texts = _by_key(rows)
+    joined = _with_text(texts, repeats(rows, texts, length), "left").select("doc_id", "z", "spans")
 
     def run(batches) -> Iterator[dict]:
         for batch in batches:
@@ -419,7 +473,8 @@ def remove(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_c
 
     A null text stays null; a text that is repeated throughout becomes empty.
     """
-    spans = repeats(docs, length, id_col, text_col)
+    rows = _tagged(docs, id_col, text_col)
+    spans = repeats(rows, _by_key(rows), length)
     tag = F.pmod(F.xxhash64(docs[text_col].cast("string")), F.lit(_TAGS)).cast("int")
     joined = docs.join(
         spans, docs[id_col].cast("long").eqNullSafe(spans["of_id"]) & (tag == spans["of_tag"]), "left"
