@@ -18,6 +18,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from voltmart.functions.keys import join_null_safe
+
 DAY = 86400
 
 
@@ -98,7 +100,8 @@ def rolling_stats(
     ).select(*keys, "_e.*")
 
     if lag > 1:
-        spread = spread.join(_between(base.filter(entering), base, keys, bucket, lag, same), [*keys, "_b"], "left")
+        between = _between(base.filter(entering), base, keys, bucket, lag, same)
+        spread = join_null_safe(spread, between, [*keys, "_b"], "left")
 
     group = f"PARTITION BY {', '.join(keys)}, _b"
     rows = "RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
@@ -164,8 +167,7 @@ def with_running_counts(
               for out in counted],
         )
     )
-    # left: rows without a key have no series; they stay, with NULL counts
-    return marked.join(starts, [*keys, "_b"], "left").selectExpr(
+    return join_null_safe(marked, starts, [*keys, "_b"], "left").selectExpr(
         *df.columns,
         *[f"_s_{out} + coalesce(sum(_c_{out}) OVER (PARTITION BY {key_list}, _b ORDER BY {ts} {before}), 0L) AS {out}"
           for out in counted],

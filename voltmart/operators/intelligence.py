@@ -24,7 +24,7 @@ class Intelligence:
 def run(prices: DataFrame, generation: DataFrame, load: DataFrame, horizon: int = 96) -> Intelligence:
     """Feature rows are stored once; every later pass reads the stored table."""
     features = materialize(local_features(prices, generation, load))
-    anomalies = label_anomalies(robust_scores(features), "robust_zscore")
+    anomalies = label_anomalies(robust_scores(features), "robust_zscore_fallback")
     forecasts = forecast_target(features, horizon)
     risks = forecast_risk(forecasts.filter("forecast_target = 'price_eur_mwh'")).unionByName(
         forecasts.filter("forecast_target <> 'price_eur_mwh'"), allowMissingColumns=True

@@ -11,7 +11,7 @@ from voltmart.schemas import (
     CONTRACTS, ERASURE_SCHEMA, FLOW_PARTNERS, PII_NAME_PATTERNS, PIPELINE_RUN_SCHEMA, WATERMARK_SCHEMA,
 )
 from voltmart.session import materialize
-from voltmart.sinks.tables import append, rewrite_without, upsert, without, write_parquet
+from voltmart.sinks.tables import append, exists, rewrite_without, upsert, write_parquet
 from voltmart.sources.tables import next_start
 
 
@@ -256,11 +256,6 @@ def classify_incidents(failures: DataFrame) -> DataFrame:
     )
 
 
-def erase(df: DataFrame, columns: Sequence[str], requests: DataFrame) -> DataFrame:
-    """The table without rows that name an entity with a pending request."""
-    return without(df, columns, pending(requests).select("entity_id").distinct())
-
-
 def pending(requests: DataFrame) -> DataFrame:
     return requests.filter(F.col("status") == "PENDING")
 
@@ -271,11 +266,12 @@ def erasure_counts(tables: Mapping[str, tuple[str, DataFrame, Sequence[str]]], r
     ``tables``: name to (layer, DataFrame, entity columns). A row naming an entity twice counts once.
     """
     ids = pending(requests).select("erasure_id", "entity_id", "requested_at")
+    named_ids = ids.select("entity_id").distinct()
     hits = None
     for layer, df, columns in tables.values():
-        named = df.select(F.explode(F.array_distinct(F.array(*columns))).alias("entity_id")).groupBy("entity_id").agg(
-            F.count("*").alias("n")
-        )
+        named = df.select(F.explode(F.array_distinct(F.array(*columns))).alias("entity_id")).join(
+            named_ids, "entity_id", "left_semi"
+        ).groupBy("entity_id").agg(F.count("*").alias("n"))
         layer_hits = named.select("entity_id", F.lit(layer).alias("layer"), "n")
         hits = layer_hits if hits is None else hits.unionByName(layer_hits)
     per_layer = hits.groupBy("entity_id").pivot("layer", ["bronze", "silver", "gold"]).agg(F.sum("n"))
@@ -294,22 +290,41 @@ def process_erasures(
     audit_path: str,
     operator: str,
 ) -> None:
-    """Count, rewrite every table without the erased rows, append the audit, complete the requests.
+    """Count, rewrite every table without the erased rows, complete the audit, then the requests.
 
-    ``tables``: name to (layer, path, entity columns, partition columns). A rerun after a failure finds the requests
-    still pending and repeats harmlessly.
+    ``tables``: name to (layer, path, entity columns, partition columns). The counts are stored per erasure_id, with status
+    IN_PROGRESS, before the first rewrite. A rerun after a failure at any step finds the requests still pending, keeps the
+    stored counts, repeats the rewrites (which then find nothing) and leaves one audit row per request.
     """
     requests = materialize(spark.read.parquet(requests_path))
+    open_ids = pending(requests).select("erasure_id")
+
+    def stored() -> DataFrame:
+        return spark.read.schema(ERASURE_SCHEMA).parquet(audit_path).join(open_ids, "erasure_id", "left_semi")
+
+    fresh = requests
+    if exists(spark, audit_path):
+        fresh = requests.join(materialize(stored()).select("erasure_id"), "erasure_id", "left_anti")
     read = {n: (layer, spark.read.parquet(path), columns) for n, (layer, path, columns, _) in tables.items()}
-    audit = materialize(erasure_counts(read, requests).withColumn("operator", F.lit(operator)))
+    counted = erasure_counts(read, fresh).withColumns(
+        {"operator": F.lit(operator), "status": F.lit("IN_PROGRESS"), "completed_at": F.lit(None)}
+    )
+    append(materialize(conform(counted, ERASURE_SCHEMA)), audit_path)
     for _, path, columns, partition_by in tables.values():
         rewrite_without(spark, path, columns, pending(requests), partition_by)
-    append(conform(audit, ERASURE_SCHEMA), audit_path)
-    done = audit.select("erasure_id", F.lit("COMPLETED").alias("_status"), F.col("completed_at").alias("_done"))
-    updated = requests.join(done, "erasure_id", "left").withColumns(
-        {"status": F.coalesce("_status", "status"), "completed_at": F.coalesce("_done", "completed_at")}
+    done = materialize(
+        stored().withColumns(
+            {"status": F.lit("COMPLETED"), "completed_at": F.coalesce("completed_at", F.current_timestamp())}
+        )
+    )
+    upsert(done, audit_path, ["erasure_id"], "completed_at")
+    closed = done.select("erasure_id", F.col("status").alias("_status"), F.col("completed_at").alias("_done"))
+    updated = materialize(
+        requests.join(closed, "erasure_id", "left").withColumns(
+            {"status": F.coalesce("_status", "status"), "completed_at": F.coalesce("_done", "completed_at")}
+        ).drop("_status", "_done")
     )
-    write_parquet(updated.drop("_status", "_done"), requests_path)
+    write_parquet(updated, requests_path)
 
 
 def is_pii_name(column: str = "column_name") -> Column:

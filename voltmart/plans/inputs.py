@@ -138,10 +138,10 @@ def fx_json_rows(spark, sf):
 
 
 @query(oracle("""SELECT zone, timestamp_utc, psr_type, sum(generation_mw) AS generation_mw,
-    psr_type IN ('Solar', 'Biomass') AS is_renewable FROM generation
-    WHERE psr_type IN ('Solar', 'Biomass', 'Nuclear', 'Fossil Gas') AND generation_mw IS NOT NULL GROUP BY ALL"""))
+    psr_type IN ('Solar', 'Wind Onshore', 'Biomass') AS is_renewable FROM generation
+    WHERE generation_mw IS NOT NULL GROUP BY ALL"""))
 def generation_wide_to_long(spark, sf):
-    types = ["Solar", "Biomass", "Nuclear", "Fossil Gas"]
+    types = ["Solar", "Wind Onshore", "Biomass", "Fossil Gas", "Nuclear", "Fossil Hard coal"]
     wide = views.generation(spark, sf).groupBy("zone", "timestamp_utc").pivot("psr_type", types).agg(
         F.sum("generation_mw")
     )
@@ -265,11 +265,9 @@ def bronze_load_batch(spark, sf):
     return rounded(batch, "actual_load_mw", "forecast_load_mw").drop("_ingest_ts")
 
 
-@query("SELECT event_id, user_id, event_type FROM events WHERE event_type = 'click'")
+@query("SELECT event_id, user_id, event_type FROM events")
 def table_scan(spark, sf):
-    return tables.scan(spark, f"{sf}/events.parquet").filter("event_type = 'click'").select(
-        "event_id", "user_id", "event_type"
-    )
+    return tables.scan(spark, f"{sf}/events.parquet").select("event_id", "user_id", "event_type")
 
 
 @query(oracle("SELECT zone, timestamp_utc, price_eur_mwh, _ingest_ts FROM prices"))
@@ -413,10 +411,10 @@ def clustered_write(spark, sf):
     return rounded(spark.read.parquet(path), "price_z_score").drop("_ingest_ts")
 
 
-@query(oracle(f"SELECT zone, event_date, {r('renewable_share_pct')} FROM stability WHERE zone = 'NL'"))
+@query(oracle(f"SELECT zone, event_date, {r('renewable_share_pct')} FROM stability"))
 def view_definition(spark, sf):
     from voltmart.plans import core
 
     name = sinks.create_view(core.stability(spark, sf), "vw_renewable_stability")
-    rows = spark.sql(f"SELECT zone, event_date, renewable_share_pct FROM {name} WHERE zone = 'NL'")
+    rows = spark.sql(f"SELECT zone, event_date, renewable_share_pct FROM {name}")
     return rounded(rows, "renewable_share_pct")

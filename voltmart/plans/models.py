@@ -108,14 +108,14 @@ def robust_statistics(spark, sf):
 
 _ROBUST = oracle(f"""SELECT zone, timestamp_utc, price_eur_mwh, {r('round(anomaly_score, 6)', 5, 'anomaly_score')},
     anomaly_score >= 0.6 AS is_anomaly, CASE WHEN price_eur_mwh < 0 THEN 'NEGATIVE' WHEN price_eur_mwh > 200 THEN 'SPIKE'
-    WHEN anomaly_score > 0.6 THEN 'STRESS' ELSE 'NORMAL' END AS regime_label, 'robust_zscore' AS model_type
+    WHEN anomaly_score > 0.6 THEN 'STRESS' ELSE 'NORMAL' END AS regime_label, 'robust_zscore_fallback' AS model_type
     FROM robust_score JOIN local_feat USING (zone, timestamp_utc)""")
 
 
 @query(_ROBUST)
 def robust_anomaly_scores(spark, sf):
     scored = scoring.robust_scores(materialize(local_features(spark, sf)))
-    labelled = scoring.label_anomalies(scored, "robust_zscore")
+    labelled = scoring.label_anomalies(scored, "robust_zscore_fallback")
     return rounded(labelled, "anomaly_score", digits=5).select(
         "zone", "timestamp_utc", "price_eur_mwh", "anomaly_score", "is_anomaly", "regime_label", "model_type"
     )

@@ -192,16 +192,17 @@ def coverage_summary(spark, sf):
 
 @query(oracle("""SELECT (SELECT count(*) FROM latest_prices) AS silver_prices,
     (SELECT count(*) FROM s_generation) AS silver_generation, (SELECT count(*) FROM s_load) AS silver_load,
-    CAST(0 AS BIGINT) AS silver_flows, (SELECT count(*) FROM stability) AS gold_renewable_stability,
-    true AS usable_for_market_stress, false AS fully_populated_for_cross_border,
-    'No Silver flows found; import dependency and corridor-based intelligence will be limited.' AS warnings"""))
+    f.n AS silver_flows, (SELECT count(*) FROM stability) AS gold_renewable_stability,
+    true AS usable_for_market_stress, f.n > 0 AS fully_populated_for_cross_border, CASE WHEN f.n > 0 THEN '' ELSE
+    'No Silver flows found; import dependency and corridor-based intelligence will be limited.' END AS warnings
+    FROM (SELECT count(*) AS n FROM s_flows) f"""))
 def input_diagnostics(spark, sf):
     row = ops.input_diagnostics(
         {
             "silver_prices": latest_prices(spark, sf),
             "silver_generation": silver_generation(spark, sf),
             "silver_load": latest_load(spark, sf),
-            "silver_flows": silver_flows(spark, sf).filter("flow_mw < 0"),
+            "silver_flows": silver_flows(spark, sf),
             "gold_renewable_stability": stability(spark, sf),
         }
     )
@@ -291,7 +292,9 @@ def erasure_cascade(spark, sf):
     return left("prices", "zone").unionByName(left("flows", "zone_from")).unionByName(requests)
 
 
-_PII_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+_PII_TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
 
 
 @query("""SELECT 'customer' AS table_name, 'c_name' AS column_name, count(c_name) AS value_count FROM customer
@@ -301,15 +304,17 @@ _PII_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "li
     UNION ALL SELECT 'region', 'r_name', count(r_name) FROM region""")
 def pii_columns(spark, sf):
     """Columns with personal-data names and how many values they hold."""
-    tables = {name: views.table(spark, sf, name) for name in _PII_TABLES}
+    tables = {name: spark.read.parquet(f"{sf}/{name}.parquet") for name in _PII_TABLES}
     found = ops.pii_columns(ops.table_columns(spark, tables))
+    named = [(r.table_name, r.column_name) for r in found.collect()]  # names of columns, of schemas alone
     counts = None
-    for name, df in tables.items():
-        held = df.agg(*[F.count(c).alias(c) for c in df.columns]).unpivot(
-            [], df.columns, "column_name", "value_count"
-        ).withColumn("table_name", F.lit(name))
+    for name in sorted({table for table, _ in named}):
+        columns = [c for table, c in named if table == name]
+        held = tables[name].agg(*[F.count(c).alias(c) for c in columns]).unpivot(
+            [], columns, "column_name", "value_count"
+        ).select(F.lit(name).alias("table_name"), "column_name", "value_count")
         counts = held if counts is None else counts.unionByName(held)
-    return found.join(counts, ["table_name", "column_name"])
+    return counts
 
 
 @query(oracle("SELECT pipeline_name, task_name, status, rows_read, rows_written FROM runs"))

@@ -1,7 +1,9 @@
 """Writers over plain Parquet: append, keyed upsert, windowed replace, quarantine, clustered layout.
 
 No writer overwrites a path it is reading. Replaced partitions are staged in the shared folder first, then swapped in
-with dynamic partition overwrite, so a lost executor or a retried job leaves either the old or the new partition.
+with dynamic partition overwrite, so a lost executor or a retried job leaves either the old or the new partition. A table
+without partitions is staged too, but overwritten in place: readers see it empty while it is written, and after a crash of
+the driver the staged copy is what is left.
 """
 
 from __future__ import annotations
@@ -9,9 +11,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from voltmart.functions.keys import latest_per_key
+from voltmart.functions.keys import join_null_safe, latest_per_key
 from voltmart.session import materialize, scratch_path
 
 
@@ -56,6 +58,14 @@ def read_like(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def _read_stored(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
+    """Read a table with all its own columns; those that ``df`` has too take their type from it."""
+    typed = {f.name: f for f in df.schema}
+    own = spark.read.option("mergeSchema", "true").parquet(path).schema
+    fields = [typed.pop(f.name, f) for f in own] + list(typed.values())
+    return spark.read.schema(T.StructType(fields)).parquet(path).select(*[f.name for f in fields])
+
+
 def _stage(df: DataFrame, partition_by: Sequence[str]) -> tuple[DataFrame, str]:
     """Write ``df`` to the shared folder; returns the copy read back and its path."""
     spark = df.sparkSession
@@ -81,28 +91,21 @@ def _emptied(stored: DataFrame, kept: DataFrame, partition_by: Sequence[str]) ->
     """Folders of the partitions of ``stored`` that have no row in ``kept``: one short text per table partition."""
     folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
     folders = stored.select(*partition_by, folder.alias("_folder")).distinct()
-    gone = folders.join(kept.select(*partition_by).distinct(), list(partition_by), "left_anti")
-    return [row["_folder"] for row in gone.select("_folder").collect()]
-
-
-# Above this many touched partitions the list stays in Spark and is joined instead.
-PRUNE_LIMIT = 5000
+    gone = join_null_safe(folders, kept.select(*partition_by).distinct(), partition_by, "left_anti")
+    return [row["_folder"] for row in gone.select("_folder").toLocalIterator()]
 
 
 def _in_partitions(df: DataFrame, parts: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` in the partitions listed in ``parts`` (a stored table), scanning only those.
+    """Rows of ``df`` in the partitions listed in ``parts`` (a stored table); NULL is a partition like any other.
 
-    The partition values go into the scan as literals; they are names of table folders, not data rows.
+    Partitions without NULL meet in a plain semi join, which prunes the scan at run time; those with a NULL are few, and the
+    filter prunes them when the scan is planned.
     """
-    rows = parts.limit(PRUNE_LIMIT + 1).collect()
-    if len(rows) <= PRUNE_LIMIT:
-        for i, column in enumerate(partition_by):
-            values = {row[i] for row in rows}
-            keep = F.col(column).isin([v for v in values if v is not None])
-            df = df.filter(keep | F.col(column).isNull() if None in values else keep)
-        if len(partition_by) == 1:
-            return df
-    return df.join(parts, list(partition_by), "left_semi")
+    whole = " AND ".join(f"`{c}` IS NOT NULL" for c in partition_by)
+    named = df.filter(whole).join(parts.filter(whole), list(partition_by), "left_semi")
+    return named.unionByName(
+        join_null_safe(df.filter(f"NOT ({whole})"), parts.filter(f"NOT ({whole})"), partition_by, "left_semi")
+    ).select(*df.columns)
 
 
 def upsert(
@@ -110,18 +113,24 @@ def upsert(
 ) -> None:
     """Insert new keys, replace present ones; of several rows per key the one with the greatest ``order`` stays.
 
-    Only partitions that receive source rows are read and rewritten. A key must not move between partitions.
-    Repeating the same source changes nothing.
+    Only partitions that receive source rows are read and rewritten. A key must not move between partitions. Columns of
+    the table that the source lacks keep the stored row's values, and are NULL for new keys. Repeating the same source
+    changes nothing.
     """
     spark = source.sparkSession
     keys = list(keys)
     order = [order] if isinstance(order, str) else list(order)
     if not exists(spark, path):
-        _even(latest_per_key(source, keys, order), partition_by).write.partitionBy(*partition_by).parquet(path)
+        rows = _even(latest_per_key(source, keys, order), partition_by)
+        rows.write.mode("append").partitionBy(*partition_by).parquet(path)
         return
-    target = read_like(spark, path, source)
+    target = _read_stored(spark, path, source)
     if partition_by:
         target = _in_partitions(target, materialize(source.select(*partition_by).distinct()), partition_by)
+    absent = [c for c in target.columns if c not in source.columns]
+    if absent:
+        stored = latest_per_key(target, keys, order).select(*keys, *absent)
+        source = join_null_safe(source, stored, keys, "left")
     copy, staged = _stage(latest_per_key(target.unionByName(source), keys, order), partition_by)
     _overwrite(copy, path, partition_by)
     _delete(spark, staged)
@@ -211,7 +220,3 @@ def create_view(df: DataFrame, name: str) -> str:
     """Session view over a query."""
     df.createOrReplaceTempView(name)
     return name
-
-
-def view_sql(name: str, query: str) -> str:
-    return f"CREATE OR REPLACE VIEW {name} AS\n{query}\n"
