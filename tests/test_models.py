@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from voltmart.functions.quantile import exact_quantile
 from voltmart.operators import forecasting, intelligence, scoring
 
 T0 = dt.datetime(2024, 1, 1)
@@ -112,3 +113,24 @@ def test_scaler(spark):
     df = spark.createDataFrame([(1.0,), (3.0,)], "a double")
     scaled = scoring.scale(df, scoring.fit_scaler(df, ["a"]))
     assert sorted(r["a"] for r in scaled.collect()) == [-1.0, 1.0]
+
+
+@pytest.mark.parametrize("n", [1, 7, 199, 200, 201, 1000])
+@pytest.mark.parametrize("q", [0.0, 0.5, 0.9, 0.95, 1.0])
+def test_exact_quantile_on_both_sides_of_its_small_groups(spark, n, q):
+    values = [float((i * 7919) % 1009) for i in range(n)]
+    df = spark.createDataFrame([("NL", v) for v in values], "zone string, v double")
+    row = exact_quantile(df, ["zone"], "v", q, accuracy=20).first()
+    assert row["n"] == n and row["quantile"] == pytest.approx(np.quantile(values, q))
+
+
+def test_future_steps_follow_each_zone(spark):
+    df = spark.createDataFrame([("NL", at(0)), ("NL", at(4)), ("DE", at(8))], "zone string, t timestamp")
+    rows = forecasting.future_steps(df, "t", 3).orderBy("zone", "step").collect()
+    assert [(r["zone"], r["t"]) for r in rows] == [("DE", at(12)), ("DE", at(16)), ("DE", at(20)), ("NL", at(8)), ("NL", at(12)), ("NL", at(16))]
+
+
+def test_seasonal_forecast_beyond_a_thousand_steps(spark):
+    df = spark.createDataFrame([("NL", at(i), float(i)) for i in range(3000)], "zone string, timestamp_utc timestamp, v double")
+    row = forecasting.seasonal_forecast(df, "v", 1, 2000, 1500).first()
+    assert row["yhat"] == pytest.approx(0.65 * 1000 + 0.35 * np.mean(range(1500, 3000)), abs=1e-3)

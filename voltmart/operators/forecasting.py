@@ -8,8 +8,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from voltmart.functions.keys import join_null_safe
 from voltmart.functions.quantile import join_small
 from voltmart.functions.rolling import chunk_window, drop_halo, with_row_chunks
+from voltmart.session import materialize
 
 STEP_MINUTES = 15
 
@@ -43,15 +45,23 @@ def seasonal_forecast(
 ) -> DataFrame:
     """``horizon`` steps of 15 minutes: 0.65 x value one season back + 0.35 x mean of the last ``window`` values.
 
-    The band is max(5, 1.96 x 1.4826 x MAD); the mean replaces a seasonal value before the start of the series. Only
-    the newest max(season_lag, window) values per series leave the map tasks (top-k before the shuffle).
+    The band is max(5, 1.96 x 1.4826 x MAD); the mean replaces a seasonal value before the start of the series. Rows
+    per series and day are counted first; only the newest days that hold max(season_lag, window) values are ordered.
     """
-    keys = list(keys)
+    keys, need = list(keys), max(season_lag, window)
+    dated = series.select(
+        *keys, ts, F.coalesce(F.col(value).cast("double"), F.lit(0.0)).alias("_v"), F.to_date(ts).alias("_day")
+    )
+    later = Window.partitionBy(*keys).orderBy(F.col("_day").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    days = dated.groupBy(*keys, "_day").agg(F.count("*").alias("_n")).withColumn(
+        "_later", F.coalesce(F.sum("_n").over(later), F.lit(0))
+    )
+    newest_days = materialize(days.filter(F.col("_later") < need).select(*keys, "_day"))
     newest = Window.partitionBy(*keys).orderBy(F.col(ts).desc())
     recent = (
-        series.select(*keys, ts, F.coalesce(F.col(value).cast("double"), F.lit(0.0)).alias("_v"))
+        join_null_safe(dated, newest_days, [*keys, "_day"], "left_semi")
         .withColumn("_rn", F.row_number().over(newest))
-        .filter(F.col("_rn") <= max(season_lag, window))
+        .filter(F.col("_rn") <= need)
     )
     last = recent.groupBy(*keys).agg(
         F.max(ts).alias("_last"),
@@ -218,6 +228,16 @@ def predict_trend(df: DataFrame, model: DataFrame, ts: str) -> DataFrame:
     ).drop("coef", "sigma")
 
 
+def future_steps(df: DataFrame, ts: str, steps: int = 48, minutes: int = 60) -> DataFrame:
+    """``zone, ts`` of the ``steps`` stamps that follow each zone's last one, for ``predict_trend``."""
+    last = df.groupBy("zone").agg(F.max(ts).alias("_last"))
+    step = F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("step")
+    seconds = F.lit(60 * minutes) * F.col("step")
+    return last.select("zone", "_last", step).select(
+        "zone", F.timestamp_seconds(F.unix_timestamp("_last") + seconds).alias(ts), "step"
+    )
+
+
 def daily_prices(prices: DataFrame, start: str, end: str) -> DataFrame:
     """Mean price per zone and day within inclusive dates, NULL means dropped."""
     day = F.to_date("timestamp_utc")

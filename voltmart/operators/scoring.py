@@ -147,25 +147,20 @@ def _grow(points: np.ndarray, seed: int) -> list[tuple[int, float, int, float]]:
 def tree_samples(
     df: DataFrame, n: int, columns: Sequence[str], key: Sequence[str], trees: int, sample: int, seed: int
 ) -> DataFrame:
-    """(tree_id, features): about ``sample`` hash-chosen rows of the ``n`` per tree, cut to ``sample``.
+    """(tree_id, features): up to ``sample`` hash-chosen rows of the ``n`` per tree.
 
-    On a large table every row is drawn for at most one tree and nearly all are dropped in the scan. On a table too
-    small for disjoint samples each row is offered to every tree.
+    Each row is drawn ``rate`` times on average, each draw for a tree that a further hash names; a tree that is drawn twice
+    counts once. On a large table nearly all rows are dropped in the scan.
     """
-    row_hash = F.xxhash64(F.lit(seed), *key)
     rate = 1.5 * trees * sample / max(n, 1)
-    features = [F.col(c).cast("double").alias(c) for c in columns]
-    if rate <= 1.0:
-        drawn = df.filter(F.pmod(row_hash, F.lit(1_000_000_007)) < int(rate * 1_000_000_007)).select(
-            F.pmod(F.xxhash64(F.lit(seed + 1), *key), F.lit(trees)).alias("tree_id"), *features, row_hash.alias("_h")
-        )
-    else:
-        share = min(1.0, 1.5 * sample / max(n, 1))
-        offered = df.select(
-            F.explode(F.sequence(F.lit(0).cast("long"), F.lit(trees - 1).cast("long"))).alias("tree_id"), *features,
-            *[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)],
-        ).withColumn("_h", F.xxhash64(F.lit(seed), "tree_id", *[f"_k{i}" for i in range(len(key))]))
-        drawn = offered.filter(F.pmod("_h", F.lit(1_000_000_007)) < int(share * 1_000_000_007))
+    unit = F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(1_000_000_007)) / 1_000_000_007
+    drawn = df.select(
+        *[F.col(c).cast("double").alias(c) for c in columns], F.xxhash64(F.lit(seed + 1), *key).alias("_row"),
+        F.floor(F.lit(rate) + unit).cast("int").alias("_draws"),
+    ).filter("_draws > 0")
+    drawn = drawn.select("*", F.explode(F.sequence(F.lit(1), F.col("_draws"))).alias("_draw")).withColumn(
+        "tree_id", F.pmod(F.xxhash64("_row", "_draw"), F.lit(trees))
+    ).withColumn("_h", F.xxhash64("tree_id", "_row")).dropDuplicates(["tree_id", "_h"])
     order = Window.partitionBy("tree_id").orderBy("_h")
     return drawn.withColumn("_rn", F.row_number().over(order)).filter(F.col("_rn") <= sample).select(
         "tree_id", *columns
@@ -257,13 +252,6 @@ def flag_contamination(scored: DataFrame, contamination: float = 0.1, column: st
     return scored.withColumns({"anomaly_score": F.round(margin, 6), "is_anomaly": margin > 0})
 
 
-def with_lineage(df: DataFrame, name: str, version: str, run_id: str) -> DataFrame:
-    return df.withColumns(
-        {"model_name": F.lit(name), "model_version": F.lit(version), "model_run_id": F.lit(run_id),
-         "scored_at": F.current_timestamp()}
-    )
-
-
 def model_record(df: DataFrame, name: str, version: str, run_id: str) -> DataFrame:
     """One registry row: name, version, run id, number of training rows, time."""
     return df.agg(F.count("*").alias("training_rows")).select(

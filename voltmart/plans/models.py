@@ -52,13 +52,11 @@ def standardised_features(spark, sf):
     return rounded(scoring.scale(rows, scoring.fit_scaler(rows, _RF)), *_RF)
 
 
-def _forest(spark: SparkSession, sf: str, trees: int, contamination_path: bool = False):
-    rows = materialize(training(spark, sf))
+def _forest(spark: SparkSession, sf: str, trees: int):
+    rows = materialize(training(spark, sf)).withColumn("_price", F.col("price_eur_mwh"))
     scaled = scoring.scale(rows, scoring.fit_scaler(rows, _RF)).select(
-        "zone", "timestamp_utc", F.col("price_eur_mwh").alias("_z_price"),
-        *[F.col(c).alias(f"z_{c}") for c in _RF],
-    ).drop("_z_price")
-    scaled = scaled.join(rows.select("zone", "timestamp_utc", "price_eur_mwh"), ["zone", "timestamp_utc"])
+        "zone", "timestamp_utc", F.col("_price").alias("price_eur_mwh"), *[F.col(c).alias(f"z_{c}") for c in _RF]
+    )
     forest = scoring.fit_forest(scaled, [f"z_{c}" for c in _RF], trees=trees)
     return scoring.isolation_scores(scaled, forest)
 
@@ -210,6 +208,17 @@ def trend_forecast(spark, sf):
     )
 
 
+@query(oracle("""SELECT zone, timestamp_utc + to_hours(CAST(step AS INTEGER)) AS timestamp_utc, CAST(step AS INTEGER) AS step
+    FROM (SELECT zone, max(timestamp_utc) AS timestamp_utc FROM latest_prices WHERE price_eur_mwh IS NOT NULL
+    GROUP BY zone HAVING count(*) >= 100), range(1, 49) s(step)"""))
+def trend_future_steps(spark, sf):
+    """The 48 hourly steps after each modelled zone's last price; every step has a forecast inside its band."""
+    prices = materialize(latest_prices(spark, sf).filter("price_eur_mwh IS NOT NULL"))
+    model = forecasting.fit_trend(prices, "timestamp_utc", "price_eur_mwh", 100)
+    steps = forecasting.predict_trend(forecasting.future_steps(prices, "timestamp_utc"), model, "timestamp_utc")
+    return steps.filter("yhat_lower <= yhat AND yhat <= yhat_upper").select("zone", "timestamp_utc", "step")
+
+
 @query()
 def trend_backtest(spark, sf):
     return forecasting.trend_backtest(latest_prices(spark, sf), TRAIN, TEST, 20)[0]

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from voltmart.functions.keys import join_null_safe
 from voltmart.functions.quantile import join_small
 from voltmart.schemas import RENEWABLE_TYPES, ZONE_EIC
+from voltmart.session import materialize
 
 MARKET_TZ = "Europe/Brussels"
 
@@ -47,13 +49,14 @@ def price_series(df: DataFrame, local: str = "timestamp_local", tz: str = MARKET
 def resolution_minutes(df: DataFrame, key: str = "zone", ts: str = "timestamp_utc", default: int = 60) -> DataFrame:
     """Minutes between the first two stamps of each series, else ``default``.
 
-    Each map task keeps two stamps per series before the shuffle.
+    Two partial minima per series: the first stamp, then the first one after it.
     """
-    order = Window.partitionBy(key).orderBy(ts)
-    first_two = df.select(key, ts).distinct().withColumn("_rn", F.row_number().over(order)).filter("_rn <= 2")
-    gap = (F.max(F.col(ts).cast("long")) - F.min(F.col(ts).cast("long"))) / 60
-    return first_two.groupBy(key).agg(
-        F.when(F.count("*") > 1, gap.cast("int")).otherwise(F.lit(default)).alias("resolution_minutes")
+    stamps = df.select(key, F.col(ts).alias("_ts"))
+    firsts = materialize(stamps.groupBy(key).agg(F.min("_ts").alias("_first")))
+    second = stamps.join(firsts, key).filter(F.col("_ts") > F.col("_first")).groupBy(key).agg(F.min("_ts").alias("_second"))
+    gap = (F.col("_second").cast("long") - F.col("_first").cast("long")) / 60
+    return join_null_safe(firsts, second, [key], "left").select(
+        key, F.coalesce(gap.cast("int"), F.lit(default)).alias("resolution_minutes")
     )
 
 

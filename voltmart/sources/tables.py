@@ -12,10 +12,6 @@ from voltmart.schemas import DEFAULT_ZONES, FLOW_CORRIDORS, RENEWABLE_TYPES, ZON
 from voltmart.sinks.tables import with_bronze_metadata
 
 
-def table_name(catalog: str, schema: str, name: str) -> str:
-    return f"{catalog}.{schema}.{name}"
-
-
 def scan(spark: SparkSession, name_or_path: str) -> DataFrame:
     """A catalog table by name, or a Parquet path."""
     if "/" in name_or_path:
