@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 from voltmart.llm.common import worker_cache
 
 #: A cache is emptied when it holds this many words.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 
 _SPACE_RUN = re.compile(r"(?: [\s᠎\x1c-\x1f])|^ | $")
 _WORD_START = re.compile(r"(?= [^\s᠎\x1c-\x1f])")
