@@ -7,14 +7,16 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
+from voltmart.functions.quantile import join_small
 from voltmart.llm.common import WORD_BYTES, encoded, held_out, id_text, map_batches, pieces
 from voltmart.session import materialize
 
 #: The class models are fitted on about this many characters of labelled training texts per class, whole documents chosen by
 #: hash (fewer where there are fewer), so the model that is sent to the tasks has a bound. A fifth is kept for calibration.
-SAMPLE_CHARS = 8_000_000
+SAMPLE_CHARS = 3_000_000
 #: Words of the shared backoff share this many hash buckets; their counts are over all texts.
 BUCKETS = 1 << 18
 DISCOUNT = 0.75
@@ -51,6 +53,11 @@ def in_vocabulary(ids: np.ndarray, words: np.ndarray) -> np.ndarray:
     return np.where(words[at] == ids, ids, np.uint64(UNKNOWN))
 
 
+def _fetched(counts: DataFrame):
+    """A table of bounded size on the driver, in parts small enough to travel with the tasks' results."""
+    return counts.repartition(64).toPandas()
+
+
 def shared_counts(docs: DataFrame) -> np.ndarray:
     """Backoff counts per word bucket over all texts: in how many contexts (a document and the word before) it occurs."""
 
@@ -65,7 +72,7 @@ def shared_counts(docs: DataFrame) -> np.ndarray:
             used = np.flatnonzero(total)
             yield {"bucket": used, "n": total[used]}
 
-    counts = map_batches(docs, run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    counts = _fetched(map_batches(docs, run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")))
     out = np.zeros(BUCKETS)
     out[counts["bucket"].to_numpy()] = counts["n"].to_numpy()
     return out
@@ -73,7 +80,7 @@ def shared_counts(docs: DataFrame) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Both classes' Kneser-Ney counts over hashed words, as sorted arrays, and the calibration of their ratio."""
+    """Both classes' Kneser-Ney counts over hashed words, as sorted arrays."""
 
     words: np.ndarray  # sorted word hashes
     continuation: np.ndarray  # (2, words): different words before, per class
@@ -83,7 +90,6 @@ class Model:
     pair_counts: np.ndarray  # (2, pairs): different words before the pair
     start: np.ndarray  # (2, 2): followers and uses of the text start
     shared: np.ndarray  # backoff probability per bucket
-    weights: tuple[float, ...] = (0.0, 1.0, 0.0)
 
     def ratio(self, ids: np.ndarray) -> np.ndarray:
         """log P(word | before, toxic) - log P(word | before, ordinary) for each word."""
@@ -117,9 +123,9 @@ class Model:
         top = min(len(ratio), max(2, len(ratio) // TOP_SHARE))
         return float(ratio.mean()), float(np.partition(ratio, len(ratio) - top)[-top:].mean())
 
-    def score(self, text: str | None) -> float:
+    def score(self, text: str | None, weights: tuple[float, ...]) -> float:
         mean, top = self.features(text)
-        z = self.weights[0] + self.weights[1] * mean + self.weights[2] * top
+        z = weights[0] + weights[1] * mean + weights[2] * top
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
@@ -146,7 +152,8 @@ def _counted(train: DataFrame, keys_of) -> tuple[np.ndarray, np.ndarray]:
 
     counts = map_batches(train, run, "key long, context long, toxic int").distinct().groupBy("key").agg(
         F.sum(1 - F.col("toxic")).cast("int").alias("ordinary"), F.sum("toxic").cast("int").alias("toxic")
-    ).toPandas()
+    )
+    counts = _fetched(counts)
     keys = counts["key"].to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(keys)
     return keys[order], counts[["ordinary", "toxic"]].to_numpy(dtype=np.float32).T[:, order]
@@ -170,10 +177,10 @@ def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50, ridge: float = 1e-
 def fit(
     docs: DataFrame, labels: DataFrame, sample_chars: int = SAMPLE_CHARS, id_col: str = "doc_id", text_col: str = "text",
     label_col: str = "toxic",
-) -> Model:
-    """Model of the labelled rows that are not held out; null labels, ids and texts are left out.
+) -> tuple[Broadcast, tuple[float, ...]]:
+    """The model (for the tasks) and the calibration of its features, from the labelled rows that are not held out.
 
-    Backoff counts are over the texts of all rows. The pair counts of both classes come from whole documents of the bounded
+    Null labels, ids and texts are left out. Backoff counts are over the texts of all rows. The pair counts of both classes come from whole documents of the bounded
     sample. A class without rows leaves every score at the prior.
     """
     rows = id_text(docs, id_col, text_col)
@@ -181,11 +188,12 @@ def fit(
         labels[id_col].cast("long").alias("doc_id"), labels[label_col].cast("int").alias("toxic")
     ).filter("doc_id IS NOT NULL AND toxic IN (0, 1)").distinct().filter(~held_out(F.col("doc_id")))
     draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(5)), F.lit(1_000_000)) / 1_000_000
-    known = rows.filter("text IS NOT NULL").join(marks, "doc_id")
-    sizes = dict(known.groupBy("toxic").agg(F.sum(F.length("text"))).collect())
+    lengths = rows.filter("text IS NOT NULL").select("doc_id", F.length("text").alias("n"))
+    sizes = dict(lengths.join(marks, "doc_id").groupBy("toxic").agg(F.sum("n")).collect())
     rate = {c: min(1.0, sample_chars / max(1, sizes.get(c) or 1)) for c in (0, 1)}
-    sample = materialize(
-        known.filter(draw < F.when(F.col("toxic") == 1, rate[1]).otherwise(rate[0])).withColumn(
+    drawn = marks.filter(draw < F.when(F.col("toxic") == 1, rate[1]).otherwise(rate[0]))
+    sample = materialize(  # few ids: written first, they are sent to the texts instead of texts to them
+        join_small(rows.filter("text IS NOT NULL"), drawn, ["doc_id"]).withColumn(
             "calibrates", F.pmod(F.xxhash64(F.col("doc_id"), F.lit(6)), F.lit(5)) == 0
         )
     )
@@ -201,6 +209,7 @@ def fit(
         return _pairs(known), _before(_before(ids))
 
     pairs, n = _counted(learning, pairs_of)
+    known_words.destroy()
     before, word = pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)
     words = np.unique(np.concatenate((word, before)))
     place, context = np.searchsorted(words, word), np.searchsorted(words, before)
@@ -208,7 +217,10 @@ def fit(
     zero = (words == 0).nonzero()[0]
     followers, uses = tally(context, (n > 0).astype(float)), tally(context, n)
     start = np.stack((followers[:, zero[0]], uses[:, zero[0]])) if len(zero) else np.zeros((2, 2))
-    model = Model(words, tally(place, (n > 0).astype(float)), followers, uses, pairs, n, start, shared)
+    model = Model(
+        words, tally(place, (n > 0).astype(float)), followers, uses, pairs, np.minimum(n, 65_535).astype(np.uint16), start,
+        shared.astype(np.float32),
+    )
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches) -> Iterator[dict]:
@@ -217,12 +229,12 @@ def fit(
             yield {"mean": found[:, 0], "top": found[:, 1], "toxic": batch.column("toxic")}
 
     seen = map_batches(sample.filter("calibrates"), run, "mean double, top double, toxic int").toPandas()
-    if seen["toxic"].nunique() == 2:
-        x, y = seen[["mean", "top"]].to_numpy(), seen["toxic"].to_numpy(dtype=float)
-        # a class may be sampled at a lower rate; the intercept goes back to the classes' shares in all labelled rows
-        bias, *slopes = _logistic(x, y)
-        model.weights = (bias + float(np.log(rate[0] / rate[1])), *slopes)
-    return model
+    if seen["toxic"].nunique() < 2:
+        return sent, (0.0, 1.0, 0.0)
+    x, y = seen[["mean", "top"]].to_numpy(), seen["toxic"].to_numpy(dtype=float)
+    # a class may be sampled at a lower rate; the intercept goes back to the classes' shares in all labelled rows
+    bias, *slopes = _logistic(x, y)
+    return sent, (bias + float(np.log(rate[0] / rate[1])), *slopes)
 
 
 def scores(
@@ -234,12 +246,11 @@ def scores(
     Empty and null texts get the score of a ratio of zero. Repeated rows get equal scores. Without labels of both classes
     the score is that of an unfitted model, 0.5 at a ratio of zero.
     """
-    model = fit(docs, labels, sample_chars, id_col, text_col, label_col)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent, weights = fit(docs, labels, sample_chars, id_col, text_col, label_col)
 
     def run(batches) -> Iterator[dict]:
         for batch in pieces(batches):
-            yield {"doc_id": batch.column("doc_id"), "score": [sent.value.score(t) for t in batch.column("text").to_pylist()]}
+            yield {"doc_id": batch.column("doc_id"), "score": [sent.value.score(t, weights) for t in batch.column("text").to_pylist()]}
 
     found = map_batches(id_text(docs, id_col, text_col), run, "doc_id long, score double")
     return found.select(
@@ -251,10 +262,10 @@ def scores(
 def keep_ordinary(docs: DataFrame, labels: DataFrame, sample_chars: int = SAMPLE_CHARS, id_col: str = "doc_id",
                   text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """``docs`` without the documents predicted toxic; columns as given."""
-    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, sample_chars, id_col, text_col, label_col))
+    sent, weights = fit(docs, labels, sample_chars, id_col, text_col, label_col)
 
     @F.pandas_udf("double")
     def score(texts):
-        return texts.map(sent.value.score)
+        return texts.map(lambda t: sent.value.score(t, weights))
 
     return docs.filter(score(docs[text_col].cast("string")) < THRESHOLD)
