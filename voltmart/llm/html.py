@@ -32,6 +32,7 @@ BLOCKS = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table "
     "tbody td tfoot th thead tr ul br".split()
 )
+PARENTS = frozenset("article body div main section td".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Words in class, id or role that mark what is not the article.
 _MARKED = re.compile(
@@ -49,10 +50,11 @@ STOP_HIGH, STOP_LOW, LINKS_HIGH = 0.2, 0.1, 0.34
 
 
 class Block:
-    __slots__ = ("parts", "linked", "boilerplate", "article", "heading")
+    __slots__ = ("parts", "linked", "boilerplate", "article", "heading", "parent")
 
-    def __init__(self, boilerplate: bool, article: bool, heading: bool):
+    def __init__(self, boilerplate: bool, article: bool, heading: bool, parent: int):
         self.parts, self.linked, self.boilerplate, self.article, self.heading = [], 0, boilerplate, article, heading
+        self.parent = parent  # number of the innermost element of ``PARENTS`` around it
 
     def text(self) -> str:
         return _SPACES.sub(" ", references.unescape("".join(self.parts))).strip()
@@ -72,15 +74,15 @@ def _marked(rest: str) -> bool:
 def blocks(page: str) -> list[Block]:
     """Text blocks in page order, each with what stands open around it."""
     found: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, boilerplate, article: of the elements that are open
+    stack: list[tuple[str, bool, bool, int]] = []  # tag, boilerplate, article, parent: of the elements that are open
     current: Block | None = None
     links, at, skip = 0, 0, None
 
     def add(text: str) -> None:
         nonlocal current
         if current is None:
-            _, boiler, article = stack[-1] if stack else ("", False, False)
-            current = Block(boiler, article, any(re.fullmatch(r"h[1-6]", s[0]) for s in stack))
+            _, boiler, article, parent = stack[-1] if stack else ("", False, False, 0)
+            current = Block(boiler, article, any(re.fullmatch(r"h[1-6]", s[0]) for s in stack), parent)
             found.append(current)
         current.parts.append(text)
         if links:
@@ -114,7 +116,8 @@ def blocks(page: str) -> list[Block]:
                 inside = article or tag in ("article", "main")
                 # a header inside the article holds its title
                 own = tag in BOILERPLATE and not (tag == "header" and article) or _marked(match["rest"])
-                stack.append((tag, boiler or own and tag not in ("html", "body", "main"), inside))
+                parent = match.start() + 1 if tag in PARENTS else stack[-1][3] if stack else 0
+                stack.append((tag, boiler or own and tag not in ("html", "body", "main"), inside, parent))
             if tag == "a":
                 links += 1
         if tag in BLOCKS:
@@ -144,9 +147,9 @@ def main_text(page: str | None) -> str:
     """Blocks of the main text, one per line.
 
     First pass: a block in navigation, header, footer, form or another marked part is bad, as is one of high link density;
-    long blocks with many stop words are good. Second pass: a short or nearly good block takes the label of the nearest
-    decided block before and after it; where these differ a nearly good block is kept. Inside an article element
-    undecided blocks are kept unless both neighbours in it are bad.
+    long blocks with many stop words are good. Second pass: a short or nearly good block is good beside a good one of the
+    same parent element, or else takes the label of the nearest decided block before and after it; where these differ a
+    nearly good block and a heading before a good block are kept. Inside an article element undecided blocks are kept.
     """
     found = [(b, t) for b in blocks(page or "") if (t := b.text())]
     labels = [_first_pass(b, t) for b, t in found]
@@ -161,11 +164,12 @@ def main_text(page: str | None) -> str:
         after.append(last)
         last = x if x in ("good", "bad") else last
     after.reverse()
+    good_parents = {b.parent for (b, _), x in zip(found, labels) if x == "good"}
     keep = []
     for (block, text), label, a, b in zip(found, labels, before, after):
         if label in ("near", "short"):
-            near = {a, b}
-            label = "good" if near == {"good"} or block.article or label == "near" and "good" in near else "bad"
+            sure = block.article or block.parent in good_parents or a == b == "good"
+            label = "good" if sure or label == "near" and "good" in (a, b) or block.heading and b == "good" else "bad"
         if label == "good":
             keep.append(text)
     return "\n".join(keep)

@@ -39,15 +39,16 @@ def letter_codes(text: str | None, table: np.ndarray) -> np.ndarray:
     return codes if len(codes) > 1 else codes[:0]
 
 
-def ngrams(codes: np.ndarray) -> np.ndarray:
-    """Codes of all n-grams of 1 to 3 letters and word ends, but a single word end."""
-    shift = _CODES.bit_length() - 1
-    found = [codes[codes != 0]]
+def ngrams(codes: np.ndarray, starts: int | None = None) -> np.ndarray:
+    """Codes of all n-grams of 1 to 3 letters and word ends, but a single word end; of the first ``starts`` positions."""
+    shift, starts = _CODES.bit_length() - 1, len(codes) if starts is None else starts
+    found = [codes[:starts][codes[:starts] != 0]]
     for n in range(2, LONGEST + 1):
-        if len(codes) >= n:
-            gram = codes[: len(codes) - n + 1]
+        size = min(starts, len(codes) - n + 1)
+        if size > 0:
+            gram = codes[:size]
             for k in range(1, n):
-                gram = gram << shift | codes[k : len(codes) - n + 1 + k]
+                gram = gram << shift | codes[k : size + k]
             found.append(gram | n << 40)
     return np.concatenate(found)
 
@@ -55,8 +56,8 @@ def ngrams(codes: np.ndarray) -> np.ndarray:
 def counted(codes: np.ndarray, block: int = 1_000_000) -> tuple[np.ndarray, np.ndarray]:
     """Different n-grams and their counts, block by block for long texts."""
     grams, counts = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    for start in range(0, max(1, len(codes) - LONGEST + 1), block):
-        new, n = np.unique(ngrams(codes[start : start + block + LONGEST - 1]), return_counts=True)
+    for start in range(0, len(codes), block):
+        new, n = np.unique(ngrams(codes[start : start + block + LONGEST - 1], block), return_counts=True)
         merged, at = np.unique(np.concatenate((grams, new)), return_inverse=True)
         counts = np.bincount(at, np.concatenate((counts, n)), len(merged)).astype(np.int64)
         grams = merged
@@ -86,7 +87,7 @@ def learn(docs: DataFrame, size: int = PROFILE, id_col: str = "doc_id", text_col
             for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
                 codes = letter_codes(text, table)
                 if len(codes):
-                    by_lang.setdefault(lang, []).append(codes[:-1] if len(codes) < 1_000_000 else codes)
+                    by_lang.setdefault(lang, []).append(codes[:-1])
             for lang, codes in by_lang.items():
                 grams, n = counted(np.concatenate([*codes, [0]]))
                 yield {"lang": [lang] * len(grams), "gram": grams, "n": n}

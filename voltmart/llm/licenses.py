@@ -114,12 +114,15 @@ class Index:
         """(template, first word, end word, aligned words, template words, coverage); of overlapping ones of a template the best."""
         found = []
         for t, low, high in self.candidates(ids):
-            template = self.words[t]
-            start = max(0, low - BAND)
-            region = ids[start : high + len(template) + BAND]
-            n, a, b = align(template, region, low - BAND - start, high + BAND - start)
-            if n and n >= coverage * len(template):
-                found.append((t, start + a, start + b, n))
+            template, need = self.words[t], coverage * len(self.words[t])
+            todo = [(max(0, low - BAND), min(len(ids), high + len(template) + BAND))]
+            while todo:  # a cluster may hold several matches: what lies before and after the best one is searched again
+                start, end = todo.pop()
+                if end - start >= need:
+                    n, a, b = align(template, ids[start:end], low - BAND - start, high + BAND - start)
+                    if n and n >= need:
+                        found.append((t, start + a, start + b, n))
+                        todo += [(start, start + a), (start + b, end)]
         found.sort(key=lambda m: (-m[3], m[1], m[2], m[0]))
         kept: list[tuple[int, int, int, int]] = []
         for m in found:
