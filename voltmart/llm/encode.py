@@ -13,11 +13,13 @@ from pyspark.sql import SparkSession
 from voltmart.llm.common import worker_cache
 
 #: A cache is emptied when it holds this many words.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 600_000
 
+#: A space and another white space after it, in ASCII texts; white space beyond ASCII.
+_RUNS = tuple(" " + c for c in " \n\t\r\x0b\x0c\x1c\x1d\x1e\x1f")
+_WIDE = re.compile("[\x85\xa0\u1680\u180e\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _SPACE_RUN = re.compile(r"(?: [\s᠎\x1c-\x1f])|^ | $")
 _WORD_START = re.compile(r"(?= [^\s᠎\x1c-\x1f])")
-_STEM = re.compile(r"( ?[A-Za-z]+)([.,]\n?)", re.ASCII)
 
 
 def tokenizer_path(name: str) -> str:
@@ -56,47 +58,56 @@ class Encoder:
         parts = [p["type"] for p in shape["pre_tokenizer"].get("pretokenizers", [])]
         word_ends = kind == "Sequence" and parts == ["Split", "ByteLevel"]
         self.whole, self.keep_space, self.cache_words = not (byte_level or word_ends), byte_level, cache_words
-        self.cache = worker_cache(f"ids-{hash(source)}")
-
-    def _cut(self, text: str) -> list[str]:
-        if _SPACE_RUN.search(text):
-            return [p for p in _WORD_START.split(text) if p]
-        first, *rest = text.split(" ")
-        return [first, *[" " + w for w in rest]] if self.keep_space else [first, *rest]
-
-    def _learn(self, words: Iterable[str]) -> None:
-        stems, marked = set(), {}
+        kept = worker_cache(f"ids-{hash(source)}")
+        # what follows a space, without it; and what begins a text
+        self.words, self.heads = kept.setdefault("words", {}), kept.setdefault("heads", {})
+
+    def _cut(self, text: str) -> tuple[str, list[str]]:
+        """What begins the text, and the pieces that follow a space."""
+        runs = text[0] == " " or text[-1] == " " or any(run in text for run in _RUNS)
+        if runs or not text.isascii() and _WIDE.search(text) and _SPACE_RUN.search(text):
+            head, *rest = _WORD_START.split(text)
+            return head, [w[1:] for w in rest]
+        head, *rest = text.split(" ")
+        return head, rest
+
+    def _learn(self, words: Iterable[str], heads: Iterable[str]) -> None:
+        stems, marked = set(), []
         for word in words:
-            if match := _STEM.fullmatch(word):
-                marked[word] = match.groups()
-                stems.update(match.groups())
+            if word[-1:] in (".", ",") and word[:-1].isalpha() and word.isascii():
+                marked.append(word)
+                stems.add(word[:-1])
             else:
                 stems.add(word)
-        self._ask([s for s in stems if s not in self.cache])
-        for word, (stem, mark) in marked.items():
-            self.cache[word] = self.cache[stem] + self.cache[mark]
+        self._ask([s for s in stems if s not in self.words], self.words, " " if self.keep_space else "")
+        self._ask([h for h in {*heads, ".", ","} if h not in self.heads], self.heads, "")
+        for word in marked:
+            self.words[word] = self.words[word[:-1]] + self.heads[word[-1]]
 
-    def _ask(self, words: list[str], step: int = 500) -> None:
+    def _ask(self, words: list[str], cache: dict[str, bytes], lead: str, step: int = 500) -> None:
         odd = [w for w in words if "<" in w]
-        for word, found in zip(odd, self.plain.encode_batch_fast(odd, add_special_tokens=False)):
-            self.cache[word] = np.array(found.ids, dtype="<u4").tobytes()
+        for word, found in zip(odd, self.plain.encode_batch_fast([lead + w for w in odd], add_special_tokens=False)):
+            cache[word] = np.array(found.ids, dtype="<u4").tobytes()
         words = [w for w in words if "<" not in w]
         for i in range(0, len(words), step):
             part = words[i : i + step]
-            found = self.cutting.encode_batch_fast([self.cut_word.join(part)], add_special_tokens=False)[0]
+            joined = lead + (self.cut_word + lead).join(part)
+            found = self.cutting.encode_batch_fast([joined], add_special_tokens=False)[0]
             ids = np.array(found.ids, dtype="<u4")
             cuts = np.flatnonzero(ids == self.cut_id) * 4
             raw = ids.tobytes()
             for word, a, b in zip(part, [0, *(cuts + 4).tolist()], [*cuts.tolist(), len(raw)], strict=True):
-                self.cache[word] = raw[a:b]
+                cache[word] = raw[a:b]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         if self.whole:
             found = self.plain.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)
             return [np.array(f.ids, dtype="<u4").tobytes() for f in found]
-        cut = [self._cut(t) if t else [] for t in texts]
-        seen = set().union(*cut)
-        if len(self.cache) > self.cache_words:
-            self.cache.clear()
-        self._learn(seen.difference(self.cache))
-        return [b"".join(map(self.cache.__getitem__, c)) for c in cut]
+        cut = [self._cut(t) if t else ("", []) for t in texts]
+        if len(self.words) + len(self.heads) > self.cache_words:
+            self.words.clear()
+            self.heads.clear()
+        seen = set().union(*[words for _, words in cut])
+        self._learn(seen.difference(self.words), {head for head, _ in cut})
+        heads, words_of = self.heads, self.words.__getitem__
+        return [heads[head] + b"".join(map(words_of, words)) for head, words in cut]
