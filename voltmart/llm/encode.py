@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 from voltmart.llm.common import worker_cache
 
 #: A cache is emptied when it holds this many words.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 900_000
 
 #: A space and another white space after it, in ASCII texts; white space beyond ASCII.
 _RUNS = tuple(" " + c for c in " \n\t\r\x0b\x0c\x1c\x1d\x1e\x1f")
