@@ -129,3 +129,26 @@ def test_blocks_of_a_text_beyond_the_cache_size(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = rows_of(suffix_dedup.measure(docs, 50), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
     assert got == brute_removed(rows, 50)
+
+
+def test_each_text_under_a_null_or_repeated_id_is_a_document(spark):
+    """3,000 texts under the null id and 100 under one id: more than any short hash tells apart."""
+    rng = np.random.default_rng(2)
+    letters = lambda n: "".join(map(chr, rng.integers(97, 123, n)))
+    passages = [letters(110) for _ in range(40)]
+    rows = [(None, passages[i % 40] + letters(20) if i % 3 == 0 else letters(130)) for i in range(3000)]
+    rows += [(7, letters(30) + passages[i % 40] if i % 2 else letters(140)) for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    order = {r.text: r.h for r in docs.selectExpr("text", "xxhash64(text) AS h").collect()}
+    seen, want, left = set(), [], []
+    for i, t in sorted(rows, key=lambda x: (x[0] is not None, order[x[1]])):
+        strings = [t[k : k + 100] for k in range(len(t) - 99)]
+        gone = np.zeros(len(t), dtype=bool)
+        for k, x in enumerate(strings):
+            if x in seen:
+                gone[k : k + 100] = True
+        seen.update(strings)
+        want.append((i, len(t), int(gone.sum())))
+        left.append((i, "".join(c for c, g in zip(t, gone) if not g)))
+    assert rows_of(suffix_dedup.measure(docs), "doc_id", "n_bytes", "n_removed") == sorted(want, key=repr)
+    assert sorted(texts_of(suffix_dedup.remove(docs)), key=repr) == sorted(left, key=repr)

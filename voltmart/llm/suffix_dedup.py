@@ -32,9 +32,8 @@ from voltmart.session import materialize, scratch_path
 
 LENGTH = 100
 
-#: Bits of a packed position: 10 of the text's hash (rows that share an id but not the text), 31 of the start, 11 of the
-#: anchor's distance from it, 11 of the number of further starts.
-_RUN_BITS, _FAR_BITS, _START_BITS, _TAGS = 11, 11, 31, 1024
+#: Bits of a packed position: 31 of the start, 11 of the anchor's distance from it, 11 of the number of further starts.
+_RUN_BITS, _FAR_BITS, _START_BITS = 11, 11, 31
 _RUN, _FAR = (1 << _RUN_BITS) - 1, (1 << _FAR_BITS) - 1
 _LOW_BITS = _RUN_BITS + _FAR_BITS
 #: Strings per block.
@@ -160,12 +159,13 @@ def names_at(raw: bytes, starts: np.ndarray, sizes: np.ndarray, family: int) ->
     return out
 
 
-def _pack(tags: np.ndarray, starts: np.ndarray, far, runs) -> np.ndarray:
-    return (((tags.astype(np.int64) << _START_BITS | starts) << _FAR_BITS) | far) << _RUN_BITS | runs
+def _pack(starts: np.ndarray, far, runs) -> np.ndarray:
+    return (starts.astype(np.int64) << _FAR_BITS | far) << _RUN_BITS | runs
 
 
 def _tagged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return id_text(docs, id_col, text_col).withColumn("tag", F.pmod(F.xxhash64("text"), F.lit(_TAGS)).cast("int"))
+    """``doc_id``, ``text`` and ``tag``, the text's hash: id and tag name a document, as ids may be null or repeated."""
+    return id_text(docs, id_col, text_col).withColumn("tag", F.xxhash64("text"))
 
 
 def _firsts(one: np.ndarray, two: np.ndarray, same: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -194,7 +194,7 @@ def _in_order(batch) -> tuple[list, np.ndarray, np.ndarray, list[bytes], np.ndar
 
 
 def _sampled(rows: DataFrame, length: int) -> DataFrame:
-    """Anchor rows (gram, context, doc_id, position); repeats inside a batch come as runs of starts with a null gram."""
+    """Anchor rows (gram, context, doc_id, tag, position); repeats inside a batch come as runs of starts with a null gram."""
 
     def run(batches) -> Iterator[dict]:
         for batch in pieces(batches):
@@ -203,16 +203,17 @@ def _sampled(rows: DataFrame, length: int) -> DataFrame:
             same = (number[row] << _START_BITS) | first if len(row) else row
             lead, later = _firsts(gram, context, same)
             spans = _runs(number[row[later]], row[later], first[later], size[later])
-            packed = _pack(tags[row[lead]], first[lead], far[lead], size[lead] - 1)
+            packed = _pack(first[lead], far[lead], size[lead] - 1)
             none = [None] * len(spans[0])
             yield {
                 "gram": [*gram[lead].view(np.int64).tolist(), *none],
                 "context": np.concatenate((context[lead].view(np.int64), spans[2])),
                 "doc_id": [ids[r] for r in (*row[lead], *spans[0])],
-                "position": np.concatenate((packed, _pack(tags[spans[0]], spans[1], 0, 0))),
+                "tag": tags[np.concatenate((row[lead], spans[0]))],
+                "position": np.concatenate((packed, _pack(spans[1], 0, 0))),
             }
 
-    return map_batches(rows, run, "gram long, context long, doc_id long, position long")
+    return map_batches(rows, run, "gram long, context long, doc_id long, tag long, position long")
 
 
 def _runs(number, row, first, size):
@@ -232,7 +233,7 @@ def _column(batch, name: str, missing: int = -(2**63)) -> np.ndarray:
 
 
 def _resolved(sorted_rows: DataFrame) -> DataFrame:
-    """Streams rows sorted by gram, context and position; holds one row per open group.
+    """Streams rows sorted by gram, context, document and position; holds one row per open group.
 
     kind 0: a repeated run of starts (first in position, last in ``last``). kind 1: the earliest row of a context whose
     anchor has other contexts as well.
@@ -243,10 +244,10 @@ def _resolved(sorted_rows: DataFrame) -> DataFrame:
         leader, reported = None, False  # the earliest row of the open context, and whether it went out as kind 1
         for batch in batches:
             gram, context = _column(batch, "gram"), _column(batch, "context")
-            doc, at = _column(batch, "doc_id"), _column(batch, "position")
+            doc, tag, at = (_column(batch, c) for c in ("doc_id", "tag", "position"))
             known = batch.column("gram").is_valid().to_numpy(zero_copy_only=False)
-            out = [(doc[~known], at[~known], context[~known], 0)]
-            rows = np.stack((gram, context, doc, at), axis=1)[known]
+            out = [(doc[~known], tag[~known], at[~known], context[~known], 0)]
+            rows = np.stack((gram, context, doc, tag, at), axis=1)[known]
             carried = leader is not None
             if carried:
                 rows = np.concatenate((leader[None, :], rows))
@@ -254,8 +255,8 @@ def _resolved(sorted_rows: DataFrame) -> DataFrame:
                 g, c = rows[:, 0], rows[:, 1]
                 new = np.concatenate(([True], (g[1:] != g[:-1]) | (c[1:] != c[:-1])))
                 lead = np.maximum.accumulate(np.where(new, np.arange(len(rows)), 0))
-                runs = rows[~new & ((rows[:, 2] != rows[lead, 2]) | (rows[:, 3] != rows[lead, 3]))]
-                out.append((runs[:, 2], runs[:, 3], _start(runs[:, 3]) + (runs[:, 3] & _RUN), 0))
+                runs = rows[~new & (rows[:, 2:] != rows[lead, 2:]).any(axis=1)]
+                out.append((*runs[:, 2:].T, _start(runs[:, 4]) + (runs[:, 4] & _RUN), 0))
                 heads = np.flatnonzero(new)
                 same = g[heads[1:]] == g[heads[:-1]]
                 several = np.concatenate((same, [False])) | np.concatenate(([False], same))
@@ -263,26 +264,27 @@ def _resolved(sorted_rows: DataFrame) -> DataFrame:
                 leader = rows[heads[-1]].copy()
                 several[0] &= not before
                 found = rows[heads[several]]
-                out.append((found[:, 2], found[:, 3], np.zeros(len(found), dtype=np.int64), 1))
+                out.append((*found[:, 2:].T, np.zeros(len(found), dtype=np.int64), 1))
             docs = np.concatenate([o[0] for o in out])
             yield {
                 "doc_id": [None if d == lowest else d for d in docs.tolist()],
-                "position": np.concatenate([o[1] for o in out]),
-                "last": np.concatenate([o[2] for o in out]),
-                "kind": np.concatenate([np.full(len(o[0]), o[3], dtype=np.int32) for o in out]),
+                "tag": np.concatenate([o[1] for o in out]),
+                "position": np.concatenate([o[2] for o in out]),
+                "last": np.concatenate([o[3] for o in out]),
+                "kind": np.concatenate([np.full(len(o[0]), o[4], dtype=np.int32) for o in out]),
             }
 
-    return map_batches(sorted_rows, run, "doc_id long, position long, last long, kind int")
+    return map_batches(sorted_rows, run, "doc_id long, tag long, position long, last long, kind int")
 
 
 def _start(position):
-    return position >> _LOW_BITS & ((1 << _START_BITS) - 1)
+    return position >> _LOW_BITS
 
 
 def _sorted_by_name(rows: DataFrame) -> DataFrame:
     """Equal names meet in one partition, in order of position; finished runs (no name) are spread."""
-    where = F.coalesce("gram", F.xxhash64("doc_id", "position"))
-    return rows.repartition(where).sortWithinPartitions("gram", "context", "doc_id", "position")
+    where = F.coalesce("gram", F.xxhash64("doc_id", "tag", "position"))
+    return rows.repartition(where).sortWithinPartitions("gram", "context", "doc_id", "tag", "position")
 
 
 def _by_key(rows: DataFrame) -> DataFrame:
@@ -305,7 +307,7 @@ def _by_key(rows: DataFrame) -> DataFrame:
     spark = rows.sparkSession
     count = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     keyed = map_batches(
-        rows.select(_key("doc_id", "tag").alias("key"), "doc_id", "tag", "text"), run, "key long, doc_id long, tag int, z binary"
+        rows.select(_key("doc_id", "tag").alias("key"), "doc_id", "tag", "text"), run, "key long, doc_id long, tag long, z binary"
     )
     name = f"texts_{uuid.uuid4().hex}"
     keyed.repartition(count, "key").write.format("parquet").bucketBy(count, "key").option(
@@ -328,13 +330,13 @@ def _raw(batch) -> list[bytes]:
 def _with_text(texts: DataFrame, wanted: DataFrame, how: str = "inner") -> DataFrame:
     """``texts`` with the rows of ``wanted`` (of_id, of_tag, ...) for the same document."""
     wanted = wanted.withColumn("of_key", _key("of_id", "of_tag"))
-    same = F.expr("((doc_id IS NULL AND of_id IS NULL) OR doc_id = of_id) AND (tag - of_tag) = 0")
+    same = F.expr("((doc_id IS NULL AND of_id IS NULL) OR doc_id = of_id) AND (tag ^ of_tag) = 0")
     return texts.join(wanted, (texts["key"] == wanted["of_key"]) & same, how)
 
 
 def _finer(texts: DataFrame, open_runs: DataFrame, one) -> DataFrame:
-    """Rows as of ``_sampled`` that ``one`` makes from a text, its tag and the packed positions of its open runs."""
-    wanted = open_runs.groupBy(F.col("doc_id").alias("of_id"), _tag_column().alias("of_tag")).agg(
+    """Rows as of ``_sampled`` that ``one`` makes from a text and the packed positions of its open runs."""
+    wanted = open_runs.groupBy(F.col("doc_id").alias("of_id"), F.col("tag").alias("of_tag")).agg(
         F.collect_list("position").alias("positions")
     )
     joined = _with_text(texts, wanted).select("doc_id", "tag", "z", "positions")
@@ -346,10 +348,10 @@ def _finer(texts: DataFrame, open_runs: DataFrame, one) -> DataFrame:
                 gram, context, starts, runs = one(raw, batch.column("positions")[i].values.to_numpy())
                 yield {
                     "gram": gram.view(np.int64), "context": context.view(np.int64), "doc_id": [ids[i]] * len(starts),
-                    "position": _pack(np.full(len(starts), tags[i]), starts, 0, runs - 1),
+                    "tag": np.full(len(starts), tags[i], dtype=np.int64), "position": _pack(starts, 0, runs - 1),
                 }
 
-    return map_batches(joined, run, "gram long, context long, doc_id long, position long")
+    return map_batches(joined, run, "gram long, context long, doc_id long, tag long, position long")
 
 
 def _cores(length: int):
@@ -384,10 +386,6 @@ def _singles(length: int):
     return one
 
 
-def _tag_column():
-    return F.shiftright("position", _LOW_BITS + _START_BITS).cast("int")
-
-
 def repeats(rows: DataFrame, texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """(of_id, of_tag, spans): byte spans [start, end) to remove per document that has any; see ``measure`` for the rule."""
     if not 2 <= length <= 1000:
@@ -395,9 +393,9 @@ def repeats(rows: DataFrame, texts: DataFrame, length: int = LENGTH) -> DataFram
     found = materialize(_resolved(_sorted_by_name(_sampled(rows, length))))
     cores = materialize(_resolved(_sorted_by_name(_finer(texts, found.filter("kind = 1"), _cores(length)))))
     singles = _resolved(_sorted_by_name(_finer(texts, cores.filter("kind = 1"), _singles(length))))
-    low = F.shiftright("position", _LOW_BITS).bitwiseAND((1 << _START_BITS) - 1)
+    low = F.shiftright("position", _LOW_BITS)
     spans = found.union(cores).union(singles).filter("kind = 0").select(
-        F.col("doc_id").alias("of_id"), _tag_column().alias("of_tag"),
+        F.col("doc_id").alias("of_id"), F.col("tag").alias("of_tag"),
         F.struct(low.alias("first"), (F.col("last") + length).alias("end")).alias("span"),
     )
     return materialize(spans.groupBy("of_id", "of_tag").agg(F.collect_list("span").alias("spans")))
@@ -475,7 +473,7 @@ def remove(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_c
     """
     rows = _tagged(docs, id_col, text_col)
     spans = repeats(rows, _by_key(rows), length)
-    tag = F.pmod(F.xxhash64(docs[text_col].cast("string")), F.lit(_TAGS)).cast("int")
+    tag = F.xxhash64(docs[text_col].cast("string"))
     joined = docs.join(
         spans, docs[id_col].cast("long").eqNullSafe(spans["of_id"]) & (tag == spans["of_tag"]), "left"
     )
