@@ -152,3 +152,15 @@ def test_each_text_under_a_null_or_repeated_id_is_a_document(spark):
         left.append((i, "".join(c for c, g in zip(t, gone) if not g)))
     assert rows_of(suffix_dedup.measure(docs), "doc_id", "n_bytes", "n_removed") == sorted(want, key=repr)
     assert sorted(texts_of(suffix_dedup.remove(docs)), key=repr) == sorted(left, key=repr)
+
+
+def test_deduplicate_judges_rows_not_ids(spark):
+    rng = np.random.default_rng(3)
+    text = lambda: " ".join("".join(map(chr, rng.integers(97, 123, 5))) for _ in range(60))
+    a, b, c, d = (text() for _ in range(4))
+    rows = [(1, a), (5, a), (5, b), (5, b), (9, c), (None, b), (None, d), (None, d + " "), (None, " " + d), (None, c)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = texts_of(simhash.deduplicate(docs, keep_unnamed=False))
+    assert sorted(((i, t.strip()) for i, t in kept), key=repr) == sorted([(1, a), (5, b), (9, c), (None, d)], key=repr)
+    named = [x for x in texts_of(simhash.deduplicate(docs)) if x[0] is not None]
+    assert sorted(named) == [(1, a), (5, b), (9, c)]

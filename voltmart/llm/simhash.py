@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from voltmart.llm.common import LOWER, encoded, id_text, map_batches
 from voltmart.llm.components import components
@@ -34,14 +34,16 @@ def fingerprint(text: str | None, width: int = 3, block: int = 50_000) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp long) per row; ``fp`` holds the 64 bits as a signed number."""
+    """(doc_id, tag, fp long) per row; ``fp`` holds the 64 bits as a signed number, ``tag`` is a hash of the text."""
 
     def run(batches) -> Iterator[dict]:
         for batch in batches:
             values = [fingerprint(t) for t in batch.column("text").to_pylist()]
-            yield {"doc_id": batch.column("doc_id"), "fp": np.array(values, dtype=np.uint64).view(np.int64)}
+            fp = np.array(values, dtype=np.uint64).view(np.int64)
+            yield {"doc_id": batch.column("doc_id"), "tag": batch.column("tag"), "fp": fp}
 
-    return map_batches(id_text(docs, id_col, text_col), run, "doc_id long, fp long")
+    rows = id_text(docs, id_col, text_col).withColumn("tag", F.xxhash64("text"))
+    return map_batches(rows, run, "doc_id long, tag long, fp long")
 
 
 def _variants(fps: DataFrame) -> DataFrame:
@@ -98,22 +100,34 @@ def near_duplicates(
     empty result.
     """
     rows = materialize(fingerprints(docs, id_col, text_col))
-    classes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = components(links(classes.select("fp"), pair_bucket)).withColumnRenamed("u", "fp")
-    rooted = classes.join(roots, "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = materialize(rooted.join(least, "root").select("fp", "component_id"))
+    rooted, least = _groups(rows, F.min("doc_id"), pair_bucket)
+    named = materialize(rooted.join(least, "root").select("fp", F.col("least").alias("component_id")))
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document per group, that with the smallest id; columns as given.
+def _groups(rows: DataFrame, first: Column, pair_bucket: int = PAIR_BUCKET) -> tuple[DataFrame, DataFrame]:
+    """(fp, first, root) of each fingerprint and (root, least) of each component, with ``first``, a minimum, over their rows."""
+    classes = materialize(rows.groupBy("fp").agg(first.alias("first")))
+    roots = components(links(classes.select("fp"), pair_bucket)).withColumnRenamed("u", "fp")
+    rooted = classes.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    return rooted, rooted.groupBy("root").agg(F.min("first").alias("least"))
+
+
+def deduplicate(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_unnamed: bool = True
+) -> DataFrame:
+    """``docs`` with one row per group, that of the smallest id, of several texts with this id that of the least hash; columns as given.
 
-    Of rows that repeat this id one stays. Rows without an id cannot be named as a group's first document: they stay,
-    exact repeats once.
+    Of rows equal in id and text one stays. Rows without an id cannot be named as a group's first document: they stay,
+    exact repeats once. Without ``keep_unnamed`` they are judged like the others and come last in their group, so that
+    each group keeps one row.
     """
-    found = near_duplicates(docs, id_col, text_col).filter("doc_id = component_id")
-    kept = materialize(found.select(F.col("doc_id").alias("_kept_id")).distinct())
-    named = docs.join(kept, docs[id_col].cast("long") == kept["_kept_id"], "left_semi")
-    unnamed = docs.filter(docs[id_col].isNull())
-    return named.dropDuplicates([id_col]).union(unnamed.dropDuplicates([text_col]))
+    rows = materialize(fingerprints(docs, id_col, text_col))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "tag"))
+    least = _groups(rows, first)[1].select(F.col("least.doc_id").alias("_kept_id"), F.col("least.tag").alias("_kept_tag"))
+    kept = materialize(least.filter("_kept_id IS NOT NULL") if keep_unnamed else least)
+    same = docs[id_col].cast("long").eqNullSafe(kept["_kept_id"]) & (F.xxhash64(docs[text_col].cast("string")) == kept["_kept_tag"])
+    found = docs.join(kept, same).dropDuplicates(["_kept_id", "_kept_tag"]).select(*[docs[c] for c in docs.columns])
+    if not keep_unnamed:
+        return found
+    return found.union(docs.filter(docs[id_col].cast("long").isNull()).dropDuplicates([text_col]))
