@@ -84,6 +84,17 @@ def test_languages_of_held_out_documents(spark, odd_docs, no_docs):
     assert {r.lang_pred for r in langid.identify(unlabelled).collect()} == {"und"}
 
 
+def test_article_after_a_script_with_a_comparison(spark):
+    """``i<n`` in a script is no tag; nor is one inside the head."""
+    script = "<script>for(i=0;i<n;i++){a[i]='\\''}</SCRIPT >"
+    article = "<article><p>" + "It was the first of the things that we had in the house. " * 4 + "</p>"
+    rest = "<p>" + "And this is what there was to be seen of it on the next day. " * 4 + "</p></article>"
+    for page in (script + article + rest, article + script + rest, f"<head><title>a<b</title>{script}</head><body>{article}{rest}"):
+        found = html.main_text(page)
+        assert "first of the things" in found and "on the next day" in found and "i++" not in found
+    assert "next day" not in html.main_text(article + "<script>i<n" + rest)
+
+
 # --- toxicity --------------------------------------------------------------------------------------------------------
 
 

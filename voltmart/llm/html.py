@@ -24,8 +24,10 @@ STOP_WORDS = frozenset(
     "hasta hay la las le lo los más me mi muy no nos o os para pero por porque que se sea ser si sin sobre son su sus "
     "también te un una uno y ya yo".split()
 )
-#: Elements that hold no text of the page, elements whose text is never the article, and block elements.
+#: Elements that hold no text of the page, those of them that hold no markup either, elements whose text is
+#: never the article, and block elements.
 HIDDEN = frozenset("script style noscript template head svg math iframe object canvas audio video title select datalist".split())
+RAW = ("script", "style", "noscript", "title", "iframe")
 BOILERPLATE = frozenset("nav header footer aside form button menu dialog".split())
 BLOCKS = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure "
@@ -43,6 +45,7 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|$)", re.I) for tag in RAW}
 _SPACES = re.compile(r"\s+")
 
 LONG, SHORT = 120, 40
@@ -88,11 +91,15 @@ def blocks(page: str) -> list[Block]:
         if links:
             current.linked += len(text)
 
-    for match in _TOKEN.finditer(page):
+    while match := _TOKEN.search(page, at):
         if match.start() > at and skip is None:
             add(page[at : match.start()])
         at = match.end()
         tag = (match["tag"] or "").lower()
+        raw = tag in RAW and not match["close"] and not match["rest"].endswith("/")
+        if raw:  # no tokens before the end tag, as in "i<n" of a script; without one the element takes the rest
+            end = _RAW_END[tag].search(page, at)
+            at = end.end() if end else len(page)
         if skip is not None:
             if tag == skip and match["close"]:
                 skip = None
@@ -106,7 +113,7 @@ def blocks(page: str) -> list[Block]:
             if tag == "a":
                 links = max(0, links - 1)
         elif tag in HIDDEN:
-            skip = None if match["rest"].endswith("/") else tag
+            skip = None if raw or match["rest"].endswith("/") else tag
             current = None if tag in BLOCKS else current
         else:
             if tag in ("p", "li", "tr", "td", "th", "dt", "dd", "option") and stack and stack[-1][0] == tag:
