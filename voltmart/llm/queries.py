@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from voltmart.llm import (
-    decontaminate, html, langid, licenses, packing, quality, simhash, suffix_dedup, token_files, toxicity,
+    decontaminate, html, langid, licenses, merkle, packing, quality, simhash, substring_dedup,
+    suffix_dedup, token_files, toxicity,
 )
 from voltmart.llm.common import documents
 
@@ -115,3 +116,65 @@ def op2_token_files(spark, sf_dir):
 @query
 def op10_licenses(spark, sf_dir):
     return licenses.scan(documents(spark, sf_dir))
+
+
+@query
+def op11_merkle(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return merkle.verify(docs, *merkle.lowered_where_checked(docs))
+
+
+_LEAF = " || ".join(
+    f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("doc_id", "source", "lang", "n_chars", "{text}")
+)
+_SMALL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_CRC = """xor(list_reduce(list_concat([4294967295::UBIGINT], list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+    lambda s: ascii(s)::UBIGINT)), lambda c, b: list_reduce(list_concat([xor(c, b)], list_transform(range(8),
+    lambda k: 0::UBIGINT)), lambda x, y: xor(x >> 1, (x & 1) * 3988292384::UBIGINT))), 4294967295::UBIGINT)"""
+ORACLES["op11_merkle"] = f"""WITH RECURSIVE leaves AS (
+  SELECT doc_id, source AS tree, sha256({_LEAF.format(text="text")}) AS leaf,
+    CASE WHEN {_CRC} % 5 = 0 THEN sha256({_LEAF.format(text=_SMALL)}) END AS other FROM documents),
+placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+  count(*) OVER (PARTITION BY tree) AS n FROM leaves),
+nodes AS (SELECT 0 AS level, tree, pos, n, leaf AS digest FROM placed
+  UNION ALL SELECT level + 1, tree, pos // 16, max((n + 15) // 16), sha256(string_agg(digest, '' ORDER BY pos))
+  FROM nodes WHERE n > 1 GROUP BY level, tree, pos // 16),
+heads AS (SELECT tree, digest, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+  FROM nodes WHERE n = 1),
+upper_nodes AS (SELECT 0 AS level, pos, n, digest FROM heads
+  UNION ALL SELECT level + 1, pos // 16, max((n + 15) // 16), sha256(string_agg(digest, '' ORDER BY pos))
+  FROM upper_nodes WHERE n > 1 GROUP BY level, pos // 16),
+parents AS (SELECT 'low' AS kind, level, tree, pos // 16 AS up, list(digest ORDER BY pos) AS c FROM nodes WHERE n > 1 GROUP BY ALL
+  UNION ALL SELECT 'top', level, NULL, pos // 16, list(digest ORDER BY pos) FROM upper_nodes WHERE n > 1 GROUP BY ALL),
+low AS (SELECT doc_id, tree, leaf, other, 0 AS level, pos, n, coalesce(other, leaf) AS folded, '' AS proof FROM placed
+  UNION ALL SELECT doc_id, l.tree, leaf, other, l.level + 1, l.pos // 16, (n + 15) // 16,
+    sha256(array_to_string(c[:l.pos % 16], '') || folded || array_to_string(c[l.pos % 16 + 2:], '')),
+    proof || array_to_string(c[:l.pos % 16], '') || array_to_string(c[l.pos % 16 + 2:], '')
+  FROM low l JOIN parents p ON kind = 'low' AND p.level = l.level AND p.tree IS NOT DISTINCT FROM l.tree AND p.up = l.pos // 16
+  WHERE n > 1),
+high AS (SELECT doc_id, leaf, h.digest AS subroot, 0 AS level, h.pos, h.n, folded, proof FROM low l
+    JOIN heads h ON h.tree IS NOT DISTINCT FROM l.tree WHERE l.n = 1
+  UNION ALL SELECT doc_id, leaf, subroot, h.level + 1, h.pos // 16, (n + 15) // 16,
+    sha256(array_to_string(c[:h.pos % 16], '') || folded || array_to_string(c[h.pos % 16 + 2:], '')),
+    proof || array_to_string(c[:h.pos % 16], '') || array_to_string(c[h.pos % 16 + 2:], '')
+  FROM high h JOIN parents p ON kind = 'top' AND p.level = h.level AND p.up = h.pos // 16 WHERE n > 1)
+SELECT doc_id, leaf, subroot, digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = digest AS verified
+FROM high h JOIN (SELECT digest FROM upper_nodes WHERE n = 1) ON true WHERE h.n = 1"""
+
+
+@query
+def op12_substring_dedup(spark, sf_dir):
+    return substring_dedup.measure(documents(spark, sf_dir))
+
+
+ORACLES["op12_substring_dedup"] = """WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+windows AS (SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS s FROM
+  (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)),
+again AS (SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY s) > 1),
+cut AS (SELECT r, list(DISTINCT p) AS gone FROM (SELECT r, unnest(range(i, i + 35)) AS p FROM again) GROUP BY r),
+words AS (SELECT d.r, p, w[p] AS word FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS p FROM d) d
+  ANTI JOIN (SELECT r, unnest(gone) AS p FROM cut) c ON d.r = c.r AND d.p = c.p),
+kept AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS s FROM words GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(s, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)"""
