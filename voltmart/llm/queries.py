@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from voltmart.llm import (
-    decontaminate, html, langid, licenses, merkle, packing, quality, simhash, substring_dedup,
+    align, decontaminate, html, langid, licenses, merkle, packing, quality, simhash, substring_dedup,
     suffix_dedup, token_files, toxicity,
 )
 from voltmart.llm.common import documents
@@ -178,3 +178,8 @@ words AS (SELECT d.r, p, w[p] AS word FROM (SELECT r, w, unnest(range(1, len(w)
 kept AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS s FROM words GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(s, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (r)"""
+
+
+@query
+def op13_alignment(spark, sf_dir):
+    return align.alignment(documents(spark, sf_dir))
