@@ -10,7 +10,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterable, Iterator
-from itertools import pairwise
+from itertools import chain, pairwise
 
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
@@ -20,13 +20,14 @@ from voltmart.llm.encode import _RUNS, _SPACE_RUN, _WIDE, send_tokenizer, tokeni
 from voltmart.session import materialize
 
 #: A worker's cache of aligned words is emptied when it holds this many.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 400_000
 #: Tables of id pairs up to this size (16 bytes a pair) are sent to the tasks, larger ones are joined.
 BROADCAST_PAIRS = 4_000_000
 
 #: Before a single space that a non-space follows; neither vocabulary has a token that goes on behind such a place.
 _CUT = re.compile(r"(?<=[^ ])(?= [^\s᠎\x1c-\x1f])")
-_WORD = re.compile(r" [^\s▁᠎\x1c-\x1f]+")
+#: What such cuts make, but for heads and tails of white space: any number of them joined is cut at the same places.
+_WORD = re.compile(r" [^\s▁᠎\x1c-\x1f](?:[^▁]*[^\s▁᠎\x1c-\x1f])?")
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -64,6 +65,15 @@ class Aligner:
             and spec.add_dummy_prefix and not spec.remove_extra_whitespaces
             and not any("▁" in n.lstrip("▁") for n in names)
         )
+        self.marks: dict[str, tuple] = {}
+        for mark in ".," if self.by_word else "":
+            if not any(re.search(rf"[A-Za-z]\{mark}", n) for n in names):
+                self._encode([" a", f" a{mark}"], [], found := {}, 1)
+                first, both = found[" a"], found[f" a{mark}"]
+                if both[0].startswith(first[0] + ";") and both[5].startswith(first[5]):
+                    self.marks[mark] = (
+                        both[0][len(first[0]) + 1 :], *[n - m for n, m in zip(both[1:5], first[1:5])], both[5][len(first[5]) :]
+                    )
 
     def tokens(self, text: str) -> tuple | None:
         """(A ids, byte ends, B ids, byte ends) of a space and ``text``; None if either one's bytes are not those."""
@@ -71,20 +81,20 @@ class Aligner:
         raw = whole.encode("utf-8", "surrogatepass")
         found = self.a.encode(whole, add_special_tokens=False)
         a = np.array(found.ids, dtype=np.int64)
-        spans = self.b.encode(text, return_type="proto").pieces
-        b = np.array([p.id for p in spans], dtype=np.int64)
+        spans = _rows([(p.id, p.begin, p.end) for p in self.b.encode(text, return_type="proto").pieces], 3)
+        b = spans[:, 0]
         if b"".join([self.a_bytes[i] for i in found.ids]) != raw or b"".join([self.b_bytes[i] for i in b.tolist()]) != raw:
             return None
-        span = np.array(found.offsets, dtype=np.int64).reshape(-1, 2)
+        span = _rows(found.offsets, 2)
         if len(raw) == len(whole):
             ends = span[:, 1]
         else:
-            width = np.array([len(c.encode("utf-8", "surrogatepass")) for c in whole])
+            points = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+            width = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
             ends = np.concatenate(([0], np.cumsum(width)))[span[:, 1]]
         inside = np.concatenate((span[1:, 0] < span[:-1, 1], [False]))  # the next token begins within the same character
         a_ends = _refined(ends, inside, self.a_sizes[a])
-        at, last = (np.array([getattr(p, k) for p in spans], dtype=np.int64) for k in ("begin", "end"))
-        return a, a_ends, b, _refined(1 + last, self.b_byte[b] & (at == last), self.b_sizes[b])
+        return a, a_ends, b, _refined(1 + spans[:, 2], self.b_byte[b] & (spans[:, 1] == spans[:, 2]), self.b_sizes[b])
 
     def words(self, text: str) -> list[str]:
         """A space and the text, cut where both tokenizers cut."""
@@ -96,11 +106,28 @@ class Aligner:
             return _CUT.split(whole)
         return [" " + w for w in text.split(" ")]
 
-    def learn(self, words: Iterable[str], cache: dict, step: int = 400) -> None:
-        """Adds the alignment of each word to ``cache``; plain words are encoded together."""
-        together, odd = [], []
+    def learn(self, words: Iterable[str], cache: dict, step: int = 1000) -> None:
+        """Adds the alignment of each word to ``cache``; plain words are encoded together.
+
+        A final stop or comma behind a letter is a token of its own in both vocabularies, so it is put to the word's record.
+        """
+        together, odd, marked = [], [], []
         for w in words:
+            if w[-1] in self.marks and w[1:-1].isalpha() and w.isascii():
+                marked.append(w)
+                w = w[:-1]
+                if w in cache:
+                    continue
+                cache[w] = None
             (together if self.by_word and _WORD.fullmatch(w) else odd).append(w)
+        self._encode(list(dict.fromkeys(together)), odd, cache, step)
+        for w in marked:
+            stem, mark = cache[w[:-1]], self.marks[w[-1]]
+            cache[w] = stem and (
+                f"{stem[0]};{mark[0]}", *[n + m for n, m in zip(stem[1:5], mark[1:5])], stem[5] + mark[5]
+            )
+
+    def _encode(self, together: list[str], odd: list[str], cache: dict, step: int) -> None:
         for i in range(0, len(together), step):
             part = together[i : i + step]
             found = self.tokens("".join(part)[1:])
@@ -114,6 +141,10 @@ class Aligner:
             cache[w] = None if found is None else next(_records(*found, found[1][-1:]))
 
 
+def _rows(tuples: list[tuple], width: int) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(tuples), dtype=np.int64, count=width * len(tuples)).reshape(-1, width)
+
+
 def _refined(coarse: np.ndarray, inside: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Byte ends: ``coarse`` but ``inside`` a character, where the decoded sizes since the last coarse cut count."""
     if not inside.any():
@@ -125,26 +156,27 @@ def _refined(coarse: np.ndarray, inside: np.ndarray, sizes: np.ndarray) -> np.nd
 
 
 def _records(a, a_ends, b, b_ends, ends) -> Iterator[tuple]:
-    """Per word up to each of ``ends``: groups as text, numbers of A and B tokens, groups and links, A ids, B ids, links."""
+    """Per word up to each of ``ends``: groups as text, numbers of A tokens, B tokens, groups and links, and the id pairs
+    as bytes: A id, B id and links in 64 bits each."""
     common = np.intersect1d(a_ends, b_ends)
     a_cut, b_cut = np.searchsorted(a_ends, common, "right"), np.searchsorted(b_ends, common, "right")
-    words = np.searchsorted(common, ends, "right").tolist()
     a_names, b_names = list(map(str, a.tolist())), list(map(str, b.tolist()))
     groups, i, k = [], 0, 0
     for j, m in zip(a_cut.tolist(), b_cut.tolist()):
-        groups.append(",".join(a_names[i:j]) + "|" + ",".join(b_names[k:m]))
+        if j - i == 1 == m - k:
+            groups.append(f"{a_names[i]}|{b_names[k]}")
+        else:
+            groups.append(",".join(a_names[i:j]) + "|" + ",".join(b_names[k:m]))
         i, k = j, m
     n_a, n_b = np.diff(a_cut, prepend=0), np.diff(b_cut, prepend=0)
-    links = np.concatenate(([0], np.cumsum(n_a * n_b)))
-    tops_a, tops_b = np.concatenate(([0], a_cut)), np.concatenate(([0], b_cut))
-    at, left, right, times = _linked(a, n_a, b, n_b, np.searchsorted(words, np.arange(len(common)), "right"))
-    bounds = np.searchsorted(at, np.arange(len(words) + 1))
-    for w, (g, h) in enumerate(pairwise([0, *words])):
-        x, y = bounds[w], bounds[w + 1]
-        yield (
-            ";".join(groups[g:h]), tops_a[h] - tops_a[g], tops_b[h] - tops_b[g], h - g, links[h] - links[g],
-            left[x:y], right[x:y], times[x:y],
-        )
+    last = np.searchsorted(common, ends, "right")
+    word = np.searchsorted(last, np.arange(len(common)), "right")
+    totals = [np.diff(np.cumsum(n)[last - 1], prepend=0).tolist() for n in (n_a, n_b, np.ones_like(n_a), n_a * n_b)]
+    at, left, right, times = _linked(a, n_a, b, n_b, word)
+    pairs = np.stack((left, right, times), axis=1).astype("<i8").tobytes()
+    cuts = (24 * np.searchsorted(at, np.arange(len(ends) + 1))).tolist()
+    for (g, h), *counts, (x, y) in zip(pairwise([0, *last.tolist()]), *totals, pairwise(cuts), strict=True):
+        yield ";".join(groups[g:h]), *counts, pairs[x:y]
 
 
 def _linked(a, n_a, b, n_b, word) -> tuple:
@@ -211,7 +243,7 @@ def _digests(records: list[tuple | None], texts: list[list[int]], with_groups: b
 
     bad = np.array([r is None for r in records] + [False])
     texts = [[] if bad[t].any() else t for t in texts]
-    blank = ("", 0, 0, 0, 0, *[np.zeros(0, dtype=np.int64)] * 3)
+    blank = ("", 0, 0, 0, 0, b"")
     records = [r or blank for r in records] or [blank]
     sizes = np.array([len(t) for t in texts])
     at = np.fromiter((i for t in texts for i in t), dtype=np.int64, count=int(sizes.sum()))
@@ -222,8 +254,8 @@ def _digests(records: list[tuple | None], texts: list[list[int]], with_groups: b
         out[name] = _sums(of[at], sizes)
     groups = [";".join([records[i][0] for i in t]) for t in texts]
     out["groups_sha256"] = [hashlib.sha256(g.encode()).hexdigest() if t else "" for g, t in zip(groups, texts)]
-    left, right, times = (np.concatenate([r[k] for r in records]) for k in (5, 6, 7))
-    count = np.array([len(r[5]) for r in records])
+    left, right, times = np.frombuffer(b"".join([r[5] for r in records]), dtype="<i8").reshape(-1, 3).T
+    count = np.array([len(r[5]) // 24 for r in records])
     place = ragged((np.cumsum(count) - count)[at], count[at])
     width = int(right.max(initial=0)) + 1
     known, number = np.unique(left * width + right, return_inverse=True)
