@@ -24,10 +24,12 @@ CACHE_WORDS = 400_000
 #: Tables of id pairs up to this size (16 bytes a pair) are sent to the tasks, larger ones are joined.
 BROADCAST_PAIRS = 4_000_000
 
-#: Before a single space that a non-space follows; neither vocabulary has a token that goes on behind such a place.
-_CUT = re.compile(r"(?<=[^ ])(?= [^\s᠎\x1c-\x1f])")
+#: Before a single space that a non-space follows, and before a line break between non-spaces; neither vocabulary has a
+#: token that goes on behind such a place.
+_LINE = re.compile(r"(?<=[^\s᠎\x1c-\x1f])(?=\n[^\s᠎\x1c-\x1f])")
+_CUT = re.compile(rf"(?<=[^ ])(?= [^\s᠎\x1c-\x1f])|{_LINE.pattern}")
 #: What such cuts make, but for heads and tails of white space: any number of them joined is cut at the same places.
-_WORD = re.compile(r" [^\s▁᠎\x1c-\x1f](?:[^▁]*[^\s▁᠎\x1c-\x1f])?")
+_WORD = re.compile(r"[ \n][^\s▁᠎\x1c-\x1f](?:[^▁]*[^\s▁᠎\x1c-\x1f])?")
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -63,7 +65,7 @@ class Aligner:
         self.by_word = (
             plain and not shape["pre_tokenizer"]["add_prefix_space"] and spec.name == "identity"
             and spec.add_dummy_prefix and not spec.remove_extra_whitespaces
-            and not any("▁" in n.lstrip("▁") for n in names)
+            and not any("▁" in n.lstrip("▁") or "\n" in n for n in names)
         )
         self.marks: dict[str, tuple] = {}
         for mark in ".," if self.by_word else "":
@@ -104,7 +106,10 @@ class Aligner:
         runs = text[0] == " " or text[-1] == " " or any(run in text for run in _RUNS)
         if runs or not text.isascii() and _WIDE.search(text) and _SPACE_RUN.search(text):
             return _CUT.split(whole)
-        return [" " + w for w in text.split(" ")]
+        words = [" " + w for w in text.split(" ")]
+        if "\n" in text:
+            words = [x for w in words for x in (_LINE.split(w) if "\n" in w else (w,))]
+        return words
 
     def learn(self, words: Iterable[str], cache: dict, step: int = 1000) -> None:
         """Adds the alignment of each word to ``cache``; plain words are encoded together.
@@ -128,17 +133,21 @@ class Aligner:
             )
 
     def _encode(self, together: list[str], odd: list[str], cache: dict, step: int) -> None:
+        lead = " a"  # so that a word may begin with a line break
         for i in range(0, len(together), step):
-            part = together[i : i + step]
+            part = [lead, *together[i : i + step]]
             found = self.tokens("".join(part)[1:])
             ends = np.cumsum([len(w.encode()) for w in part])
             if found is None or not (np.isin(ends, found[1]).all() and np.isin(ends, found[3]).all()):
-                odd += part
+                odd += part[1:]
                 continue
-            cache.update(zip(part, _records(*found, ends), strict=True))
+            _, *records = _records(*found, ends)
+            cache.update(zip(part[1:], records, strict=True))
         for w in odd:
-            found = self.tokens(w[1:])
-            cache[w] = None if found is None else next(_records(*found, found[1][-1:]))
+            before = lead if w[0] == "\n" else ""
+            found = self.tokens((before + w)[1:])
+            ends = [2] * bool(before) + [0 if found is None else found[1][-1]]
+            cache[w] = None if found is None else list(_records(*found, np.array(ends)))[-1]
 
 
 def _rows(tuples: list[tuple], width: int) -> np.ndarray:
