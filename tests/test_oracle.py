@@ -13,7 +13,7 @@ QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 def test_oracles_belong_to_queries():
     assert set(ORACLES) <= set(QUERIES)
-    assert {"trend_forecast", "isolation_forest_scores"} <= set(QUERIES) - set(ORACLES)
+    assert {"trend_forecast", "isolation_forest_rows"} <= set(QUERIES) - set(ORACLES)
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables absent")

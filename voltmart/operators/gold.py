@@ -213,10 +213,35 @@ def regime_label(price: Column, score: Column) -> Column:
     )
 
 
+def with_price_lags(prices: DataFrame, hours: Sequence[int] = (1, 24)) -> DataFrame:
+    """``feature_lag_<h>h``: the zone's price exactly ``h`` hours before, NULL if there is none.
+
+    Each price is sent to the stamps that look back at it; they meet in one aggregate, then in one join.
+    """
+    names = [f"feature_lag_{h}h" for h in hours]
+    sent = F.inline(F.array(*[
+        F.struct(
+            F.timestamp_seconds(F.unix_timestamp("timestamp_utc") + 3600 * h).alias("_at"),
+            *[F.when(F.lit(n == m), F.col("price_eur_mwh")).alias(n) for n in names],
+        )
+        for h, m in zip(hours, names)
+    ]))
+    back = prices.filter("price_eur_mwh IS NOT NULL").select(F.col("zone").alias("_zone"), sent).groupBy("_zone", "_at").agg(
+        *[F.max(n).alias(n) for n in names]
+    )
+    same = F.col("zone").eqNullSafe(F.col("_zone")) & (F.col("timestamp_utc") == F.col("_at"))
+    return prices.join(back, same, "left").drop("_zone", "_at")
+
+
 def regime_signals(
     scored: DataFrame, model_version: str = "1", model_run_id: str = "local", confidence: float = 0.85
 ) -> DataFrame:
-    """Label, confidence, lineage and key for rows that carry ``anomaly_score``."""
+    """Label, confidence, lineage and key for rows that carry ``anomaly_score``.
+
+    ``renewable_share_pct``, where there is one, becomes ``feature_res_share``; z-score and lags are kept as they are.
+    """
+    if "renewable_share_pct" in scored.columns:
+        scored = scored.withColumnRenamed("renewable_share_pct", "feature_res_share")
     return scored.withColumns(
         {
             "regime_label": regime_label(F.col("price_eur_mwh"), F.col("anomaly_score")),

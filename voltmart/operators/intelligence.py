@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from voltmart.operators import ensembles
 from voltmart.operators.features import active_features, local_features
 from voltmart.operators.forecasting import forecast_risk, forecast_target
 from voltmart.operators.scoring import label_anomalies, robust_scores
@@ -21,10 +22,29 @@ class Intelligence:
     summary: DataFrame
 
 
-def run(prices: DataFrame, generation: DataFrame, load: DataFrame, horizon: int = 96) -> Intelligence:
+#: The scoring models of ``run``.
+MODELS = ("robust_zscore_fallback", "isolation_forest")
+
+
+def score_zones(features: DataFrame, model_type: str = MODELS[0], trees: int = 100) -> DataFrame:
+    """``features`` (stored) with anomaly score, flag, label and model type by the zone's own active features.
+
+    The robust scores measure the distance to the zone's median; the forest isolates rows by the zone's own trees.
+    """
+    if model_type == "isolation_forest":
+        scored = ensembles.anomalies(features, materialize(ensembles.fit(features, trees=trees)))
+        return label_anomalies(scored.drop("isolation_score"), model_type)
+    if model_type != MODELS[0]:
+        raise ValueError(f"model type {model_type} is none of {MODELS}")
+    return label_anomalies(robust_scores(features), model_type)
+
+
+def run(
+    prices: DataFrame, generation: DataFrame, load: DataFrame, horizon: int = 96, model_type: str = MODELS[0]
+) -> Intelligence:
     """Feature rows are stored once; every later pass reads the stored table."""
     features = materialize(local_features(prices, generation, load))
-    anomalies = label_anomalies(robust_scores(features), "robust_zscore_fallback")
+    anomalies = score_zones(features, model_type)
     forecasts = forecast_target(features, horizon)
     risks = forecast_risk(forecasts.filter("forecast_target = 'price_eur_mwh'")).unionByName(
         forecasts.filter("forecast_target <> 'price_eur_mwh'"), allowMissingColumns=True

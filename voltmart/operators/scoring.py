@@ -121,21 +121,26 @@ def path_norm(n: float) -> float:
     return 2.0 * (np.log(n - 1.0) + 0.5772156649015329) - 2.0 * (n - 1.0) / n
 
 
-def _grow(points: np.ndarray, seed: int) -> list[tuple[int, float, int, float]]:
-    """One isolation tree over a sample, as (feature, threshold, left child, credited depth) rows."""
+def _grow(points: np.ndarray, seed: int | Sequence[int]) -> list[tuple[int, float, int, float]]:
+    """One isolation tree over a sample, as (feature, threshold, left child, credited depth) rows; not-a-numbers are 0."""
     rng = np.random.default_rng(seed)
+    points = np.nan_to_num(points, posinf=np.finfo(float).max / 4, neginf=np.finfo(float).min / 4)
     limit = int(np.ceil(np.log2(max(len(points), 2))))
     nodes: list[tuple[int, float, int, float]] = [(-1, 0.0, 0, 0.0)]
     todo = [(0, points, 0)]
     while todo:
         at, rows, depth = todo.pop()
-        low, high = rows.min(axis=0), rows.max(axis=0)
-        usable = np.flatnonzero(high > low)
-        if depth >= limit or len(rows) <= 1 or len(usable) == 0:
+        usable = np.zeros(0, dtype=int)
+        if depth < limit and len(rows) > 1:
+            low, high = rows.min(axis=0), rows.max(axis=0)
+            usable = np.flatnonzero(high > low)
+        if len(usable) == 0:
             nodes[at] = (-1, 0.0, 0, depth + path_norm(len(rows)))
             continue
         feature = int(rng.choice(usable))
-        cut = float(rng.uniform(low[feature], high[feature]))
+        # In (low, high], so that both children have rows, also if no number lies between the two.
+        cut = high[feature] - rng.random() * (high[feature] - low[feature])
+        cut = float(max(cut, np.nextafter(low[feature], np.inf)))
         below = rows[:, feature] < cut
         child = len(nodes)
         nodes[at] = (feature, cut, child, 0.0)
@@ -221,6 +226,11 @@ def _forest_scores(forest: Forest, points: np.ndarray) -> np.ndarray:
     return np.power(2.0, -total / len(forest.feature) / path_norm(forest.sample))
 
 
+def zero_if_missing(column: str) -> Column:
+    """A number; NULL and not-a-number are 0."""
+    return F.coalesce(F.nanvl(F.col(column).cast("double"), F.lit(0.0)), F.lit(0.0))
+
+
 def isolation_scores(df: DataFrame, forest: Forest, out: str = "isolation_score") -> DataFrame:
     """Score rows in place in Arrow batches with the broadcast trees; higher means more isolated."""
     shared = df.sparkSession.sparkContext.broadcast(forest)
@@ -232,7 +242,7 @@ def isolation_scores(df: DataFrame, forest: Forest, out: str = "isolation_score"
             points = np.column_stack([c.to_numpy(dtype=float) for c in columns])
             yield pd.Series(_forest_scores(trees, points))
 
-    return df.withColumn(out, score(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in forest.columns]))
+    return df.withColumn(out, score(*[zero_if_missing(c) for c in forest.columns]))
 
 
 def forest_anomalies(scored: DataFrame, column: str = "isolation_score") -> DataFrame:

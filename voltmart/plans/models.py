@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from voltmart.functions.quantile import exact_median, exact_quantile
-from voltmart.operators import features as feat, forecasting, gold, intelligence, scoring
+from voltmart.operators import ensembles, features as feat, forecasting, gold, intelligence, models, scoring
 from voltmart.plans import market_views as views
 from voltmart.plans.core import latest_load, latest_prices, local_features, silver_generation, silver_prices
 from voltmart.plans.registry import CTES, oracle, query, r, rounded
-from voltmart.session import materialize
+from voltmart.session import materialize, scratch_path, shared_dir
+from voltmart.sinks import tables as sinks
 
 CTES["training"] = """SELECT p.zone, p.timestamp_utc, p.price_eur_mwh, p.price_z_score,
     coalesce(g.renewable_share_pct, 0.0) AS renewable_share_pct, coalesce(abs_forecast_error_mw, 0.0) AS abs_forecast_error_mw
@@ -52,40 +55,115 @@ def standardised_features(spark, sf):
     return rounded(scoring.scale(rows, scoring.fit_scaler(rows, _RF)), *_RF)
 
 
-def _forest(spark: SparkSession, sf: str, trees: int):
-    rows = materialize(training(spark, sf)).withColumn("_price", F.col("price_eur_mwh"))
-    scaled = scoring.scale(rows, scoring.fit_scaler(rows, _RF)).select(
-        "zone", "timestamp_utc", F.col("_price").alias("price_eur_mwh"), *[F.col(c).alias(f"z_{c}") for c in _RF]
-    )
-    forest = scoring.fit_forest(scaled, [f"z_{c}" for c in _RF], trees=trees)
-    return scoring.isolation_scores(scaled, forest)
+def _regime_model(spark: SparkSession, sf: str, rows: DataFrame):
+    """The stored regime forest over a table folder; the first query that needs it fits it, the others load it."""
+    def fit():
+        return ensembles.fit(rows, _RF, key="model_key", trees=100), rows.count()
 
+    store = f"{shared_dir(spark).rstrip('/')}/models-{hashlib.sha256(sf.encode()).hexdigest()[:16]}"
+    return models.load_or_fit(spark, store, "regime", "1", fit, "fit-1", sf)
 
-@query()
+
+def _regime_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Training rows with the regime forest's scores and lineage."""
+    rows = materialize(training(spark, sf).withColumn("model_key", F.lit("regime")))
+    model, record = _regime_model(spark, sf, rows)
+    return models.with_lineage(ensembles.anomalies(rows, model, "model_key"), record).drop("model_key")
+
+
+def _as_ruled(label: str = "regime_label"):
+    """Whether a label follows from price and score."""
+    price, score = F.coalesce("price_eur_mwh", F.lit(0.0)), F.col("anomaly_score")
+    return F.col(label) == F.when(price < 0, "NEGATIVE").when(price > 200, "SPIKE").when(score > 0.6, "STRESS").otherwise("NORMAL")
+
+
+def _in_range():
+    return F.col("anomaly_score").between(0.0, 1.0).alias("score_in_range")
+
+
+@query(oracle("""SELECT zone, timestamp_utc, price_eur_mwh, true AS score_in_range, true AS flag_follows_score,
+    true AS label_follows_rule, 'isolation_forest' AS model_type, 'regime' AS model_name, '1' AS model_version,
+    'fit-1' AS model_run_id FROM training"""))
 def isolation_forest_scores(spark, sf):
-    """Sampled trees: rows-only check here, invariants in the tests."""
-    scored = scoring.forest_anomalies(materialize(_forest(spark, sf, 100)))
-    labelled = scoring.label_anomalies(scored, "isolation_forest")
-    return rounded(labelled, "anomaly_score").select(
-        "zone", "timestamp_utc", "anomaly_score", "is_anomaly", "regime_label", "model_type"
+    """Every training row scored by the stored forest; scores of sampled trees have no SQL, what follows from them has."""
+    labelled = scoring.label_anomalies(_regime_scores(spark, sf), "isolation_forest")
+    return labelled.select(
+        "zone", "timestamp_utc", "price_eur_mwh", _in_range(),
+        (F.col("is_anomaly") == (F.col("anomaly_score") >= 0.6)).alias("flag_follows_score"),
+        _as_ruled().alias("label_follows_rule"), "model_type", "model_name", "model_version", "model_run_id",
     )
 
 
 @query()
+def isolation_forest_rows(spark, sf):
+    """The scores themselves: rows-only check here, invariants in the tests."""
+    labelled = scoring.label_anomalies(_regime_scores(spark, sf), "isolation_forest")
+    return labelled.select("zone", "timestamp_utc", "anomaly_score", "is_anomaly", "regime_label", "model_type")
+
+
+@query(oracle("SELECT count(*) AS scored_rows, 0.0 AS least_score, 1.0 AS greatest_score FROM training"))
+def isolation_forest_range(spark, sf):
+    return _regime_scores(spark, sf).agg(
+        F.count("*").alias("scored_rows"), F.min("anomaly_score").alias("least_score"),
+        F.max("anomaly_score").alias("greatest_score"),
+    )
+
+
+@query(oracle("""SELECT zone, count(*) AS scored_rows, true AS flag_follows_margin,
+    (SELECT count(*) FROM training) AS all_rows, true AS within_contamination FROM training GROUP BY zone"""))
 def isolation_forest_flags(spark, sf):
-    flagged = scoring.flag_contamination(materialize(_forest(spark, sf, 100)), 0.05)
-    return flagged.select("zone", "timestamp_utc", "anomaly_score", "is_anomaly")
+    """Per zone the rows scored; the rows flagged in all are those ranked above the contamination's cut."""
+    flagged = materialize(scoring.flag_contamination(_regime_scores(spark, sf).drop("anomaly_score"), 0.05))
+    total = flagged.agg(F.count("*").alias("n"), F.count_if("is_anomaly").alias("hits")).first()
+    return flagged.groupBy("zone").agg(
+        F.count("*").alias("scored_rows"),
+        F.min(F.col("is_anomaly") == (F.col("anomaly_score") > 0) | (F.col("anomaly_score") == 0)).alias("flag_follows_margin"),
+    ).select(
+        "zone", "scored_rows", "flag_follows_margin", F.lit(total["n"]).alias("all_rows"),
+        F.lit(total["hits"] <= 0.05 * (total["n"] - 1) + 1).alias("within_contamination"),
+    )
 
 
-@query()
-def regime_signals(spark, sf):
-    scored = scoring.forest_anomalies(materialize(_forest(spark, sf, 50)))
-    return gold.regime_signals(scored, "1", "fit-1").select(
-        "signal_id", "zone", "timestamp_utc", "price_eur_mwh", "anomaly_score", "regime_label", "regime_confidence",
-        "model_version", "model_run_id",
+CTES["regime_rows"] = """SELECT md5(t.zone || CAST(t.timestamp_utc AS VARCHAR)) AS signal_id, t.zone, t.timestamp_utc,
+    t.price_eur_mwh, t.price_z_score, 0.85 AS regime_confidence, '1' AS model_version, 'fit-1' AS model_run_id,
+    h.price_eur_mwh AS feature_lag_1h, d.price_eur_mwh AS feature_lag_24h, t.renewable_share_pct AS feature_res_share
+    FROM training t
+    LEFT JOIN training h ON h.zone = t.zone AND h.timestamp_utc + INTERVAL 1 HOUR = t.timestamp_utc
+    LEFT JOIN training d ON d.zone = t.zone AND d.timestamp_utc + INTERVAL 24 HOUR = t.timestamp_utc"""
+_REGIME = ["price_eur_mwh", "price_z_score", "feature_lag_1h", "feature_lag_24h", "feature_res_share"]
+_REGIME_SQL = f"""SELECT signal_id, zone, timestamp_utc, {', '.join(r(c) for c in _REGIME)}, true AS score_in_range,
+    true AS label_follows_rule, regime_confidence, model_version, model_run_id FROM regime_rows"""
+
+
+def _signals(spark: SparkSession, sf: str) -> DataFrame:
+    scored = gold.with_price_lags(materialize(_regime_scores(spark, sf)))
+    return gold.regime_signals(scored, "1", "fit-1")
+
+
+def _checked_signals(signals: DataFrame) -> DataFrame:
+    return rounded(signals, *_REGIME).select(
+        "signal_id", "zone", "timestamp_utc", *_REGIME, _in_range(),
+        _as_ruled().alias("label_follows_rule"), "regime_confidence", "model_version", "model_run_id",
     )
 
 
+@query(oracle(_REGIME_SQL))
+def regime_signals(spark, sf):
+    """All declared columns; of score and label, whether they are in range and follow the rule."""
+    return _checked_signals(_signals(spark, sf))
+
+
+@query(oracle(_REGIME_SQL))
+def regime_mart(spark, sf):
+    """The signals upserted by zone and timestamp in overlapping batches; a repeated batch changes nothing."""
+    signals = materialize(_signals(spark, sf).withColumn("event_date", F.to_date("timestamp_utc")))
+    path = scratch_path(spark, "regime")
+    early, late = signals.filter("day(timestamp_utc) <= 12"), signals.filter("day(timestamp_utc) >= 10")
+    for batch in (early, late, early):
+        sinks.upsert(batch, path, ["zone", "timestamp_utc"], "scored_at", ["event_date"])
+    return _checked_signals(sinks.read_like(spark, path, signals))
+
+
 _FEATURES = feat.FEATURE_CANDIDATES
 CTES["robust_long"] = " UNION ALL ".join(
     f"SELECT zone, timestamp_utc, '{c}' AS feature, {c} AS value FROM local_feat" for c in _FEATURES
@@ -98,6 +176,23 @@ CTES["robust_score"] = """SELECT zone, timestamp_utc,
     FROM robust_long JOIN robust_stat USING (zone, feature) WHERE active GROUP BY zone, timestamp_utc"""
 
 
+@query(oracle("""SELECT zone, count(*) AS scored_rows, 0.0 AS least_score, 1.0 AS greatest_score, true AS label_follows_rule,
+    any_value(feature_cols) AS feature_cols, 'isolation_forest' AS model_type FROM local_feat JOIN (SELECT zone AS of_zone,
+    string_agg(feature, ',' ORDER BY feature) AS feature_cols FROM robust_stat WHERE active GROUP BY zone)
+    ON zone = of_zone GROUP BY zone"""))
+def zone_forest_scores(spark, sf):
+    """The local job's forest option: a forest per zone over the zone's active features, scores from 0 to 1 in each."""
+    rows = materialize(local_features(spark, sf))
+    scored = intelligence.score_zones(rows, "isolation_forest", trees=50)
+    found = scored.groupBy("zone").agg(
+        F.count("*").alias("scored_rows"), F.min("anomaly_score").alias("least_score"),
+        F.max("anomaly_score").alias("greatest_score"), F.min(_as_ruled()).alias("label_follows_rule"),
+        F.max("model_type").alias("model_type"),
+    )
+    used = feat.active_features(rows).select("zone", F.array_join(F.sort_array("feature_cols"), ",").alias("feature_cols"))
+    return found.join(used, "zone")
+
+
 @query(oracle(f"SELECT zone, feature, {r('median')}, {r('mad')}, {r('stddev')} FROM robust_stat"))
 def robust_statistics(spark, sf):
     stats = scoring.robust_stats(materialize(local_features(spark, sf)))
@@ -270,7 +365,9 @@ def backtest_metrics(spark, sf):
 
 @query(oracle("""SELECT 'regime' AS model_name, '1' AS version, 'fit-1' AS run_id, count(*) AS training_rows FROM training"""))
 def model_lineage(spark, sf):
-    return scoring.model_record(training(spark, sf), "regime", "1", "fit-1").drop("registered_at")
+    """The record of the stored regime model."""
+    _, record = _regime_model(spark, sf, materialize(training(spark, sf).withColumn("model_key", F.lit("regime"))))
+    return spark.createDataFrame([record]).select("model_name", "version", "run_id", "training_rows")
 
 
 @query(oracle("""SELECT zone, 'price_eur_mwh' AS forecast_target, count(*) AS feature_row_count,
