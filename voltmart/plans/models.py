@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from voltmart.functions.quantile import exact_median, exact_quantile
-from voltmart.operators import ensembles, features as feat, forecasting, gold, intelligence, models, scoring
+from voltmart.operators import ensembles, features as feat, forecasting, gold, intelligence, models, scoring, trends
 from voltmart.plans import market_views as views
 from voltmart.plans.core import latest_load, latest_prices, local_features, silver_generation, silver_prices
 from voltmart.plans.registry import CTES, oracle, query, r, rounded
@@ -290,9 +291,6 @@ def daily_price_resample(spark, sf):
     return rounded(forecasting.daily_prices(latest_prices(spark, sf), "2024-01-03", "2024-01-25"), "y")
 
 
-TRAIN, TEST = ("2024-01-01", "2024-01-24"), ("2024-01-25", "2024-01-30")
-
-
 @query()
 def trend_forecast(spark, sf):
     """Own least-squares model: rows-only check here, compared with numpy in the tests."""
@@ -314,14 +312,80 @@ def trend_future_steps(spark, sf):
     return steps.filter("yhat_lower <= yhat AND yhat <= yhat_upper").select("zone", "timestamp_utc", "step")
 
 
+#: The generated prices cover one month; backtests need more days, so they run on order values: priority as zone.
+CTES["order_days"] = """SELECT o_orderpriority AS zone, CAST(o_orderdate AS DATE) AS ds, avg(o_totalprice) AS y FROM orders
+    GROUP BY ALL"""
+CUTOFFS = [dt.date(year, month, 1) for year in (1997, 1998, 1999, 2000) for month in (1, 4, 7, 10)]
+
+
+def order_values(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/orders.parquet").select(
+        F.col("o_orderpriority").alias("zone"), F.col("o_orderdate").cast("timestamp").alias("timestamp_utc"),
+        F.col("o_totalprice").cast("double").alias("price_eur_mwh"),
+    )
+
+
+def _order_days(spark: SparkSession, sf: str) -> DataFrame:
+    return forecasting.daily_prices(order_values(spark, sf), "1900-01-01", "2100-01-01")
+
+
+_LONG = (("1998-01-01", "1999-12-31"), ("2000-01-01", "2000-01-31"))
+
+
 @query()
 def trend_backtest(spark, sf):
-    return forecasting.trend_backtest(latest_prices(spark, sf), TRAIN, TEST, 20)[0]
+    """Values of a least-squares fit: rows-only check here, compared with numpy in the tests."""
+    return forecasting.trend_backtest(order_values(spark, sf), *_LONG)[0]
 
 
 @query()
 def trend_backtest_metrics(spark, sf):
-    return forecasting.trend_backtest(latest_prices(spark, sf), TRAIN, TEST, 20)[1]
+    return forecasting.trend_backtest(order_values(spark, sf), *_LONG)[1]
+
+
+_CUTS = ", ".join(f"DATE '{c}'" for c in CUTOFFS)
+_TRAINED = f"""SELECT zone, cutoff, count(*) AS training_days FROM order_days, (SELECT unnest([{_CUTS}]) AS cutoff)
+    WHERE ds <= cutoff AND ds > cutoff - INTERVAL 730 DAY GROUP BY zone, cutoff HAVING count(*) >= 60"""
+
+
+@query(oracle(f"""SELECT zone, cutoff, ds AS date, {r('y', 4)}, true AS error_is_distance, true AS band_in_order FROM order_days
+    JOIN ({_TRAINED}) USING (zone) WHERE ds > cutoff AND ds <= cutoff + INTERVAL 30 DAY"""))
+def backtest_at_cutoffs(spark, sf):
+    """Sixteen backtests of two years each from one pass; what SQL can't say is compared with separate fits in the tests."""
+    rows, _, _ = trends.backtest_cutoffs(_order_days(spark, sf), CUTOFFS, 30, 730)
+    distance = F.abs(F.col("absolute_error") - F.abs(F.col("y") - F.col("yhat"))) < 1e-9
+    return rounded(
+        rows.withColumn("error_is_distance", distance), "y", digits=4
+    ).select("zone", "cutoff", "date", "y", "error_is_distance", (F.col("yhat_lower") <= F.col("yhat_upper")).alias("band_in_order"))
+
+
+@query(oracle(f"""SELECT zone, cutoff, training_days, (SELECT count(*) FROM order_days d WHERE d.zone = t.zone
+    AND ds > cutoff AND ds <= cutoff + INTERVAL 30 DAY) AS actual_count, true AS rmse_above_mae FROM ({_TRAINED}) t
+    WHERE actual_count > 0"""))
+def backtest_cutoff_metrics(spark, sf):
+    _, metrics, fits = trends.backtest_cutoffs(_order_days(spark, sf), CUTOFFS, 30, 730)
+    return metrics.join(fits.select("zone", "cutoff", F.col("n").alias("training_days")), ["zone", "cutoff"]).select(
+        "zone", "cutoff", "training_days", "actual_count", (F.col("rmse") >= F.col("mae") - 1e-6).alias("rmse_above_mae"),
+    )
+
+
+@query(oracle("""SELECT zone, count(*) AS training_rows, true AS optimal FROM latest_prices WHERE price_eur_mwh IS NOT NULL
+    GROUP BY zone HAVING count(*) >= 100"""))
+def piecewise_trend(spark, sf):
+    """Every zone's fit meets the conditions of the penalised least squares that it solves."""
+    model = trends.fit_piecewise(latest_prices(spark, sf), "timestamp_utc", "price_eur_mwh")
+    return model.select("zone", F.col("n").alias("training_rows"), (F.col("residual") <= 1e-6).alias("optimal"))
+
+
+@query(oracle("""SELECT zone, timestamp_utc + to_minutes(CAST(15 * step AS INTEGER)) AS timestamp_utc, CAST(step AS INTEGER) AS step
+    FROM (SELECT zone, max(timestamp_utc) AS timestamp_utc FROM latest_prices WHERE price_eur_mwh IS NOT NULL
+    GROUP BY zone HAVING count(*) >= 100), range(1, 97) s(step)"""))
+def piecewise_forecast(spark, sf):
+    """The 96 quarter hours after each zone's last price; every step has a forecast inside its simulated band."""
+    prices = materialize(latest_prices(spark, sf).filter("price_eur_mwh IS NOT NULL"))
+    model = materialize(trends.fit_piecewise(prices, "timestamp_utc", "price_eur_mwh"))
+    steps = trends.forecast_piecewise(prices, model, "timestamp_utc")
+    return steps.filter("yhat_lower <= yhat AND yhat <= yhat_upper").select("zone", "timestamp_utc", "step")
 
 
 CTES["daily_mean"] = """SELECT zone, CAST(timestamp_utc AS DATE) AS ds, avg(price_eur_mwh) AS y FROM latest_prices
