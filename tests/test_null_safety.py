@@ -73,7 +73,7 @@ class Crash(RuntimeError):
     pass
 
 
-@pytest.mark.parametrize("step", ["rewrite_without", "upsert", "write_parquet"])
+@pytest.mark.parametrize("step", ["rewrite_without", "upsert", "swap_files"])
 def test_erasure_audit_survives_a_crash_after_each_step(spark, tmp_path, monkeypatch, step):
     paths = {n: str(tmp_path / n) for n in ("prices", "requests", "audit")}
     sinks.append(spark.createDataFrame([("NL", 1), ("NL", 2), ("DE", 3)], "zone string, v int"), paths["prices"], ["zone"])

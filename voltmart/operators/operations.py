@@ -11,7 +11,7 @@ from voltmart.schemas import (
     CONTRACTS, ERASURE_SCHEMA, FLOW_PARTNERS, PII_NAME_PATTERNS, PIPELINE_RUN_SCHEMA, WATERMARK_SCHEMA,
 )
 from voltmart.session import materialize
-from voltmart.sinks.tables import append, exists, rewrite_without, upsert, write_parquet
+from voltmart.sinks.tables import append, exists, finish_swaps, rewrite_without, swap_files, upsert
 from voltmart.sources.tables import next_start
 
 
@@ -294,9 +294,13 @@ def process_erasures(
 
     ``tables``: name to (layer, path, entity columns, partition columns). The counts are stored per erasure_id, with status
     IN_PROGRESS, before the first rewrite. A rerun after a failure at any step finds the requests still pending, keeps the
-    stored counts, repeats the rewrites (which then find nothing) and leaves one audit row per request.
+    stored counts, repeats the rewrites (which then find nothing) and leaves one audit row per request. Requests that are
+    appended meanwhile stay pending: only the files read at the start are replaced.
     """
-    requests = materialize(spark.read.parquet(requests_path))
+    finish_swaps(spark, requests_path)
+    read_requests = spark.read.parquet(requests_path)
+    request_files = read_requests.inputFiles()
+    requests = materialize(read_requests)
     open_ids = pending(requests).select("erasure_id")
 
     def stored() -> DataFrame:
@@ -324,7 +328,7 @@ def process_erasures(
             {"status": F.coalesce("_status", "status"), "completed_at": F.coalesce("_done", "completed_at")}
         ).drop("_status", "_done")
     )
-    write_parquet(updated, requests_path)
+    swap_files(updated, requests_path, request_files)
 
 
 def is_pii_name(column: str = "column_name") -> Column:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from voltmart.functions.keys import false_if_null, split
 from voltmart.schemas import CONTRACTS, RULES, Contract, Rule
@@ -70,6 +71,60 @@ def enforce(df: DataFrame, rule_set: str | Sequence[Rule]) -> tuple[DataFrame, D
     return valid.drop("_failed_rule"), failed, evaluate(df, rule_set)
 
 
+@dataclass(frozen=True)
+class Routed:
+    """What ``route`` wrote, and what it counted while writing."""
+
+    valid: DataFrame
+    quarantined: DataFrame
+    counts: DataFrame
+    null_keys: dict[str, int]
+
+
+def route(
+    df: DataFrame, rule_set: str | Sequence[Rule], path: str, contract: str | Contract | None = None, critical: float = 0.0
+) -> Routed:
+    """Check a batch and write it once, by verdict: one scan of the source for counts, valid and quarantined rows.
+
+    Rows are tagged with the first CRITICAL rule they fail and appended under ``path/verdict=valid`` or ``=quarantined``;
+    rule counts and NULL keys of the contract are observed in the same job. Missing columns raise before anything is
+    written. NULL keys, or a share of valid rows below ``critical``, raise afterwards: the rows are then in the table, so a
+    caller passes a new path per batch and publishes it on return.
+    """
+    rules = _rules(rule_set)
+    keys = list(contract_of(contract).keys) if contract is not None else []
+    if contract is not None:
+        require_columns(df, contract)
+    seen = Observation()
+    tagged = tag_failures(df, rules).observe(
+        seen, F.count("*").alias("total"), F.count_if(F.col("_failed_rule").isNull()).alias("valid"),
+        *[F.count_if(_holds(r)).alias(f"_p{i}") for i, r in enumerate(rules)],
+        *[F.count_if(F.col(k).isNull()).alias(f"_k{i}") for i, k in enumerate(keys)],
+    )
+    verdict = F.when(F.col("_failed_rule").isNull(), "valid").otherwise("quarantined")
+    tagged.withColumn("verdict", verdict).write.mode("append").partitionBy("verdict").parquet(path)
+    spark, got = df.sparkSession, seen.get
+    lines = [
+        (r.name, r.severity, got["total"], got[f"_p{i}"], got["total"] - got[f"_p{i}"],
+         got[f"_p{i}"] / got["total"] if got["total"] else 1.0)
+        for i, r in enumerate(rules)
+    ]
+    counts = spark.createDataFrame(
+        lines, "rule_name string, severity string, total_rows long, passed_rows long, failed_rows long, pass_rate double"
+    )
+    nulls = {k: got[f"_k{i}"] for i, k in enumerate(keys)}
+    if any(nulls.values()):
+        raise ContractError(f"NULL keys: { {k: n for k, n in nulls.items() if n} }")
+    if got["total"] and got["valid"] / got["total"] < critical:
+        raise QualityGateError(f"share of valid rows {got['valid'] / got['total']:.2%} below {critical:.0%}")
+    fields = T.StructType([*tagged.schema.fields, T.StructField("verdict", T.StringType())])
+    stored = spark.read.schema(fields).parquet(path)
+    return Routed(
+        stored.filter("verdict = 'valid'").drop("_failed_rule", "verdict"),
+        stored.filter("verdict = 'quarantined'").drop("verdict"), counts, nulls,
+    )
+
+
 def rule_set_stats(df: DataFrame, rule_set: str, target_table: str, run_id: str) -> DataFrame:
     """One statistics row for the whole rule set, every rule filtering."""
     tagged = tag_failures(df, rule_set, all_rules=True)

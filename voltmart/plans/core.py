@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from voltmart.operators import features, gold, platinum, quality, serving, silver
 from voltmart.plans import market_views as views
-from voltmart.plans.registry import CTES, oracle, query, r, rounded
+from voltmart.plans.registry import CTES, ORACLES, oracle, query, r, rounded
 from voltmart.schemas import ARBITRAGE_CORRIDORS, RULES, SPREAD_CORRIDORS
+from voltmart.session import materialize, scratch_path
 
 LATEST = ("_ingest_ts",)
 
@@ -322,6 +323,20 @@ def dq_enforce(spark, sf):
     )
 
 
+def _routed(spark: SparkSession, sf: str) -> quality.Routed:
+    source = views.prices(spark, sf).withColumn("price_z_score", F.lit(0.0))
+    return quality.route(source, "silver_prices", scratch_path(spark, "routed"))
+
+
+@query(ORACLES["dq_enforce"])
+def dq_route_rows(spark, sf):
+    """As ``dq_enforce``, from one scan that writes both sides."""
+    routed = _routed(spark, sf)
+    return routed.valid.withColumn("_failed_rule", F.lit(None).cast("string")).unionByName(routed.quarantined).select(
+        "_ingest_ts", "_failed_rule"
+    )
+
+
 @query(oracle(f"""SELECT rule_set_name, target_table, total_rows, passed_rows, total_rows - passed_rows AS failed_rows,
     {r('CAST(passed_rows AS DOUBLE) / total_rows', 6, 'pass_rate')},
     CASE WHEN CAST(passed_rows AS DOUBLE) / total_rows < 0.8 THEN 'CRITICAL'
@@ -346,7 +361,7 @@ def dq_validate_rows(spark, sf):
               price_eur_mwh IS NOT NULL AS present FROM prices"""))
 def dq_expectations(spark, sf):
     parts = []
-    ok, bad = quality.expect_non_negative(views.prices(spark, sf), "price_eur_mwh")
+    ok, bad = quality.expect_non_negative(materialize(views.prices(spark, sf)), "price_eur_mwh")
     for side, flag in ((ok, True), (bad, False)):
         present, absent = quality.expect_not_null(side, "price_eur_mwh")
         parts += [
@@ -849,10 +864,10 @@ def arbitrage_opportunities(spark, sf):
 
 CTES.update(
     {
-        "carbon_rows": """SELECT zone, CASE WHEN _ingest_ts % 9 <> 0 THEN 100.0 + abs(price_eur_mwh) END
-            AS carbon_intensity_gco2_kwh FROM prices WHERE zone <> 'RO'""",
+        "carbon_rows": """SELECT zone, CASE WHEN _ingest_ts % 9 <> 0 AND zone <> 'RO' THEN 100.0 + abs(price_eur_mwh) END
+            AS carbon_intensity_gco2_kwh FROM prices""",
         "weather_rows": """SELECT zone, actual_load_mw / 100.0 AS wind_speed_m_s,
-            forecast_load_mw / 10.0 AS solar_radiation_w_m2 FROM load WHERE zone <> 'FR'""",
+            CASE WHEN zone <> 'FR' THEN forecast_load_mw / 10.0 END AS solar_radiation_w_m2 FROM load""",
         "serving": """SELECT s.*, carbon_intensity_gco2_kwh, wind_speed_m_s_avg, solar_radiation_w_m2_avg,
             (SELECT arg_max(1.0 + (event_id % 100) / CAST(1000 AS DOUBLE), event_id) FROM events) AS fx_rate_to_eur,
             round(greatest(0.0, total_generation - volatility_index), 3) AS stability_score,
@@ -874,13 +889,13 @@ _SV = ["total_generation", "avg_generation", "carbon_intensity_gco2_kwh", "wind_
     {', '.join(r(c) for c in _SV)}, stability_score, {r('carbon_efficiency_score', 5)} FROM serving"""))
 def serving_market_summary(spark, sf):
     prices, load = views.prices(spark, sf), views.load(spark, sf)
-    carbon = prices.filter("zone <> 'RO'").select(
+    carbon = prices.select(
         "zone",
-        F.when(F.col("_ingest_ts") % 9 != 0, 100.0 + F.abs("price_eur_mwh")).alias("carbon_intensity_gco2_kwh"),
+        F.when((F.col("_ingest_ts") % 9 != 0) & (F.col("zone") != "RO"), 100.0 + F.abs("price_eur_mwh")).alias("carbon_intensity_gco2_kwh"),
     )
-    weather = load.filter("zone <> 'FR'").select(
+    weather = load.select(
         "zone", (F.col("actual_load_mw") / 100.0).alias("wind_speed_m_s"),
-        (F.col("forecast_load_mw") / 10.0).alias("solar_radiation_w_m2"),
+        F.when(F.col("zone") != "FR", F.col("forecast_load_mw") / 10.0).alias("solar_radiation_w_m2"),
     )
     fx = views.table(spark, sf, "events").select(
         F.lpad(F.col("event_id").cast("string"), 20, "0").alias("timestamp"),

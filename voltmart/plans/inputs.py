@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from voltmart.plans import market_views as views
 from voltmart.plans.core import latest_prices, silver_flows, silver_prices, stability
-from voltmart.plans.registry import CTES, oracle, query, r, rounded
+from voltmart.plans.registry import CTES, ORACLES, oracle, query, r, rounded
 from voltmart.session import scratch_path
 from voltmart.sinks import tables as sinks
 from voltmart.sources import payloads, series, tables
@@ -290,10 +290,17 @@ def _land_text(spark: SparkSession, sf: str) -> str:
     return path
 
 
-@query(oracle("SELECT strftime(max(timestamp_utc), '%Y-%m-%d') AS ingestion_date FROM prices"))
+@query(oracle("""SELECT strftime(max(timestamp_utc), '%Y-%m-%d') AS ingestion_date, true AS is_zone_of_day,
+    true AS is_text_file FROM prices"""))
 def newest_landed_file(spark, sf):
+    """The file itself has a name of chance; its folder is one that the newest day's rows landed in."""
     files = tables.landed_files(spark, _land_text(spark, sf), "*.txt")
-    return tables.newest_file(files).select("ingestion_date")
+    day, zone = F.to_date("ingestion_date"), F.regexp_extract("path", "/dataset=prices/country=([^/]+)/ingestion_date=", 1)
+    prices = views.prices(spark, sf).select(F.col("zone").alias("_zone"), F.to_date("timestamp_utc").alias("_day")).distinct()
+    newest = tables.newest_file(files).select("ingestion_date", "path", day.alias("_of"), zone.alias("_in"))
+    return newest.join(prices, (F.col("_of") == F.col("_day")) & (F.col("_in") == F.col("_zone")), "left").select(
+        "ingestion_date", F.col("_zone").isNotNull().alias("is_zone_of_day"), F.col("path").endswith(".txt").alias("is_text_file")
+    )
 
 
 @query(oracle("""SELECT 'prices' AS dataset, zone AS country, strftime(timestamp_utc, '%Y-%m-%d') AS ingestion_date,
@@ -411,6 +418,24 @@ def clustered_write(spark, sf):
     return rounded(spark.read.parquet(path), "price_z_score").drop("_ingest_ts")
 
 
+_KEY_SQL = " | ".join(f"(((d >> {i}) & 1) << {2 * i}) | (((h >> {i}) & 1) << {2 * i + 1})" for i in range(5))
+
+
+@query(oracle(f"""SELECT _ingest_ts, {_KEY_SQL} AS cluster_key FROM (SELECT _ingest_ts,
+    CAST(day(timestamp_utc) AS BIGINT) AS d, CAST(hour(timestamp_utc) AS BIGINT) AS h FROM prices)"""))
+def interleaved_key(spark, sf):
+    """The key of a layout clustered by day and hour at once."""
+    key = sinks.interleaved([F.dayofmonth("timestamp_utc"), F.hour("timestamp_utc")], 5)
+    return views.prices(spark, sf).select("_ingest_ts", key.alias("cluster_key"))
+
+
+@query(ORACLES["clustered_write"])
+def interleaved_write(spark, sf):
+    path = scratch_path(spark, "interleaved")
+    sinks.write_interleaved(silver_prices(spark, sf), path, ["timestamp_utc", "price_eur_mwh", "zone"])
+    return rounded(spark.read.parquet(path), "price_z_score").drop("_ingest_ts")
+
+
 @query(oracle(f"SELECT zone, event_date, {r('renewable_share_pct')} FROM stability"))
 def view_definition(spark, sf):
     from voltmart.plans import core

@@ -145,12 +145,15 @@ def backfill_gaps(spark, sf):
     return ops.backfill_gaps(entities, watermarks(spark, sf), ["prices", "load"], "2024-01-05", "2020-01-01")
 
 
-@query(oracle("SELECT zone AS country, CAST(count(*) AS BIGINT) AS row_count FROM prices GROUP BY zone"))
+@query(oracle("""SELECT zone AS country, strftime(timestamp_utc, '%Y-%m-%d') AS ingestion_date,
+    CAST(count(*) AS BIGINT) AS row_count, true AS whole_files FROM prices GROUP BY ALL"""))
 def backfill_plan(spark, sf):
     landed = spark.read.text(_land_text(spark, sf)).select(F.col("_metadata.file_path").alias("source_file"))
     plan = ops.backfill_plan(landed)
-    country = F.regexp_extract("source_file", r"country=([^/]+)/", 1).alias("country")
-    return plan.groupBy(country).agg(F.sum("row_count").alias("row_count"))
+    part = lambda name: F.regexp_extract("source_file", rf"/{name}=([^/]+)/", 1).alias(name)
+    return plan.groupBy(part("country"), part("ingestion_date")).agg(
+        F.sum("row_count").alias("row_count"), F.min(F.col("source_file").endswith(".txt")).alias("whole_files")
+    )
 
 
 CTES["coverage_rows"] = """SELECT zone, day, flow_partner, coalesce(prices, 0) AS prices, coalesce(loads, 0) AS load,

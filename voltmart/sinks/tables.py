@@ -2,12 +2,14 @@
 
 No writer overwrites a path it is reading. Replaced partitions are staged in the shared folder first, then swapped in
 with dynamic partition overwrite, so a lost executor or a retried job leaves either the old or the new partition. A table
-without partitions is staged too, but overwritten in place: readers see it empty while it is written, and after a crash of
-the driver the staged copy is what is left.
+without partitions has its new files staged in a hidden folder of its own and a journal that names the files they replace;
+then old files go and new ones move in. A crash at any step loses nothing: the next writer finishes what a journal names.
+Files that others append meanwhile are in no journal and stay. Readers may see part of the rows while files are moved.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -87,6 +89,47 @@ def _delete(spark: SparkSession, path: str) -> None:
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
+def _folder(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def swap_files(df: DataFrame, path: str, old: Sequence[str]) -> None:
+    """Replace the files ``old`` of a table without partitions by the rows of ``df``, see the top of this module."""
+    spark, name = df.sparkSession, f"_swap-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{name}")
+    place, fs = _folder(spark, path)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    draft = hadoop.Path(place, f"{name}.draft")
+    out = fs.create(draft)
+    out.write(bytearray("\n".join(old).encode()))
+    out.close()
+    fs.rename(draft, hadoop.Path(place, f"{name}.journal"))
+    finish_swaps(spark, path)
+
+
+def finish_swaps(spark: SparkSession, path: str) -> None:
+    """Complete the replacements that journals of a table name; each step may be repeated."""
+    place, fs = _folder(spark, path)
+    if not fs.exists(place):
+        return
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for journal in [s.getPath() for s in fs.listStatus(place)]:
+        if not journal.getName().endswith(".journal"):
+            continue
+        stream = fs.open(journal)
+        lines = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        stream.close()
+        for old in lines.split("\n") if lines else []:
+            fs.delete(hadoop.Path(old), False)
+        staged = hadoop.Path(place, journal.getName().removesuffix(".journal"))
+        for file in [s.getPath() for s in fs.listStatus(staged)] if fs.exists(staged) else []:
+            if file.getName().startswith("part-"):
+                fs.rename(file, hadoop.Path(place, file.getName()))
+        fs.delete(staged, True)
+        fs.delete(journal, False)
+
+
 def _emptied(stored: DataFrame, kept: DataFrame, partition_by: Sequence[str]) -> list[str]:
     """Folders of the partitions of ``stored`` that have no row in ``kept``: one short text per table partition."""
     folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
@@ -120,6 +163,8 @@ def upsert(
     spark = source.sparkSession
     keys = list(keys)
     order = [order] if isinstance(order, str) else list(order)
+    if not partition_by:
+        finish_swaps(spark, path)
     if not exists(spark, path):
         rows = _even(latest_per_key(source, keys, order), partition_by)
         rows.write.mode("append").partitionBy(*partition_by).parquet(path)
@@ -131,7 +176,11 @@ def upsert(
     if absent:
         stored = latest_per_key(target, keys, order).select(*keys, *absent)
         source = join_null_safe(source, stored, keys, "left")
-    copy, staged = _stage(latest_per_key(target.unionByName(source), keys, order), partition_by)
+    rows = latest_per_key(target.unionByName(source), keys, order)
+    if not partition_by:
+        swap_files(rows, path, target.inputFiles())
+        return
+    copy, staged = _stage(rows, partition_by)
     _overwrite(copy, path, partition_by)
     _delete(spark, staged)
 
@@ -161,12 +210,12 @@ def rewrite_without(
     With ``partition_by`` only partitions holding such rows are read in full and rewritten; emptied ones are removed.
     """
     ids = materialize(ids.select("entity_id").distinct())
-    table = spark.read.parquet(path)
     if not partition_by:
-        copy, staged = _stage(without(table, columns, ids), [])
-        _overwrite(copy, path, [])
-        _delete(spark, staged)
+        finish_swaps(spark, path)
+        table = spark.read.parquet(path)
+        swap_files(without(table, columns, ids), path, table.inputFiles())
         return
+    table = spark.read.parquet(path)
     touched = None
     for column in columns:
         named = table.join(ids, table[column] == ids["entity_id"], "left_semi").select(*partition_by)
@@ -189,15 +238,15 @@ def without(df: DataFrame, columns: Sequence[str], ids: DataFrame) -> DataFrame:
 
 
 def append_quarantine(df: DataFrame, path: str, reason: str | Column) -> bool:
-    """Append rejected rows with reason and time; nothing is written when there are none."""
-    if df.isEmpty():
-        return False
-    tagged = df.withColumns(
+    """Append rejected rows with reason and time; nothing is written when there are none. The plan of ``df`` runs once."""
+    tagged = materialize(df.withColumns(
         {
             "_rejection_reason": F.lit(reason) if isinstance(reason, str) else reason,
             "_quarantined_at": F.current_timestamp(),
         }
-    )
+    ))
+    if tagged.isEmpty():
+        return False
     append(tagged, path)
     return True
 
@@ -216,6 +265,51 @@ def write_clustered(df: DataFrame, path: str, columns: Sequence[str], files: int
     ranged.sortWithinPartitions(*columns).write.mode("overwrite").parquet(path)
 
 
+def interleaved(ranks: Sequence[Column], bits: int) -> Column:
+    """One number from whole-number ranks below ``2 ** bits``: bit 0 of each rank, first column lowest, then bit 1, ..."""
+    if bits * len(ranks) > 63:
+        raise ValueError("bits times columns must be 63 at most")
+    key = F.lit(0).cast("long")
+    for bit in range(bits):
+        for place, rank in enumerate(ranks):
+            one = F.shiftright(rank.cast("long"), bit).bitwiseAND(F.lit(1).cast("long"))
+            key = key.bitwiseOR(F.shiftleft(one, bit * len(ranks) + place))
+    return key
+
+
+def range_ranks(df: DataFrame, columns: Sequence[str], bits: int, sample: int = 10_000) -> list[Column]:
+    """Per column the number of bounds below the value, from 0 to ``2 ** bits - 1``; NULL is 0.
+
+    Bounds are the quantiles of at most ``sample`` rows chosen by hash, so they only shape the layout. That many values per
+    column reach the driver.
+    """
+    chosen = df.select(*columns).orderBy(F.xxhash64(F.lit(7), *columns), *columns).limit(sample).collect()
+    ranks = []
+    for column in columns:
+        values = sorted(row[column] for row in chosen if row[column] is not None)
+        steps = 1 << bits
+        bounds = sorted({values[len(values) * i // steps] for i in range(1, steps)}) if values else []
+        kind = df.schema[column].dataType
+        value, below = F.col(column), F.lit(0)
+        if bounds:
+            below = F.size(F.filter(F.array(*[F.lit(b).cast(kind) for b in bounds]), lambda bound: bound < value))
+        ranks.append(F.when(value.isNull(), F.lit(0)).otherwise(below))
+    return ranks
+
+
+def write_interleaved(
+    df: DataFrame, path: str, columns: Sequence[str], files: int | None = None, bits: int = 6
+) -> None:
+    """Cluster on all ``columns`` at once: rows are range-partitioned and sorted by the interleaved bits of their ranks.
+
+    A file then covers a small range of every column, so a filter on any of them skips files, not only one on the first.
+    """
+    bits = min(bits, 63 // len(columns))
+    keyed = df.withColumn("_z", interleaved(range_ranks(df, columns, bits), bits))
+    ranged = keyed.repartitionByRange(files, "_z", *columns) if files else keyed.repartitionByRange("_z", *columns)
+    ranged.sortWithinPartitions("_z", *columns).drop("_z").write.mode("overwrite").parquet(path)
+
+
 def create_view(df: DataFrame, name: str) -> str:
     """Session view over a query."""
     df.createOrReplaceTempView(name)
