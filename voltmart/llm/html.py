@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html as references
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -34,17 +35,28 @@ BLOCKS = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table "
     "tbody td tfoot th thead tr ul br".split()
 )
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 PARENTS = frozenset("article body div main section td".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Words in class, id or role that mark what is not the article.
-_MARKED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|disqus|footer|masthead|(?:site|page|top)-header|menu|nav\w*|newsletter|notice|"
-    r"pagination|popup|promo\w*|related|share|sharing|sidebar|social|sponsor\w*|subscribe|toolbar|widget|complementary|"
-    r"contentinfo|search)(?:$|[\s_-])", re.I)
+#: Parts of a class, id or role name that mark what is not the article; those that do so only as the whole name
+#: or beside words for page parts, as "market-share" and "related-work" may well be in the article; and such words.
+MARKS = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising banner breadcrumb breadcrumbs comments cookie cookies "
+    "disqus footer masthead nav navbar navigation newsletter pagination popup promo promos promotion sidebar sponsor sponsored "
+    "sponsors toolbar widget widgets complementary contentinfo".split()
+)
+WEAK_MARKS = frozenset("comment menu notice notices related search share sharing social subscribe".split())
+PAGE_PARTS = frozenset(
+    "area articles bar block bottom box button buttons container content form group header icons inner item items left link "
+    "links list main media outer page panel post posts right section site story stories title top wrap wrapper".split()
+)
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
-_ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:=\s*\"[^\"]*(?:\"|\Z)|=\s*'[^']*(?:'|\Z)|[^>])*+)(?:>|\Z)", re.S)
+#: One attribute after the other: a quote opens a value behind "=" only, and without its end takes the rest.
+_ATTRIBUTE = re.compile(r"([^\s=/>]+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s>]+)))?")
+_NAMES = re.compile(r"[\s]+")
+_PARTS = re.compile(r"[-_]+")
 _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|$)", re.I) for tag in RAW}
 _SPACES = re.compile(r"\s+")
 
@@ -63,13 +75,20 @@ class Block:
         return _SPACES.sub(" ", references.unescape("".join(self.parts))).strip()
 
 
+def _marked_name(name: str) -> bool:
+    parts = [p for p in _PARTS.split(name) if p]
+    if not MARKS.isdisjoint(parts) or parts in (["page", "header"], ["site", "header"], ["top", "header"]):
+        return True
+    return not WEAK_MARKS.isdisjoint(parts) and all(p in WEAK_MARKS or p in PAGE_PARTS or p.isdigit() for p in parts)
+
+
 def _marked(rest: str) -> bool:
     for name, *values in _ATTRIBUTE.findall(rest):
-        value = next((v for v in values if v), "")
+        value = next((v for v in values if v), "").lower()
         name = name.lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
             return True
-        if name in ("class", "id", "role") and _MARKED.search(value):
+        if name in ("class", "id", "role") and any(_marked_name(n) for n in _NAMES.split(value)):
             return True
     return False
 
@@ -80,12 +99,18 @@ def blocks(page: str) -> list[Block]:
     stack: list[tuple[str, bool, bool, int]] = []  # tag, boilerplate, article, parent: of the elements that are open
     current: Block | None = None
     links, at, skip = 0, 0, None
+    standing: Counter = Counter()  # how many elements of a tag are open
+
+    def pop() -> str:
+        tag = stack.pop()[0]
+        standing[tag] -= 1
+        return tag
 
     def add(text: str) -> None:
         nonlocal current
         if current is None:
             _, boiler, article, parent = stack[-1] if stack else ("", False, False, 0)
-            current = Block(boiler, article, any(re.fullmatch(r"h[1-6]", s[0]) for s in stack), parent)
+            current = Block(boiler, article, any(standing[h] for h in HEADINGS), parent)
             found.append(current)
         current.parts.append(text)
         if links:
@@ -107,8 +132,8 @@ def blocks(page: str) -> list[Block]:
         if not tag:
             continue
         if match["close"]:
-            if any(s[0] == tag for s in stack):
-                while stack.pop()[0] != tag:
+            if standing[tag]:
+                while pop() != tag:
                     pass
             if tag == "a":
                 links = max(0, links - 1)
@@ -117,7 +142,7 @@ def blocks(page: str) -> list[Block]:
             current = None if tag in BLOCKS else current
         else:
             if tag in ("p", "li", "tr", "td", "th", "dt", "dd", "option") and stack and stack[-1][0] == tag:
-                stack.pop()  # the end tag may be left out
+                pop()  # the end tag may be left out
             boiler, article = (stack[-1][1], stack[-1][2]) if stack else (False, False)
             if tag not in VOID:
                 inside = article or tag in ("article", "main")
@@ -125,6 +150,7 @@ def blocks(page: str) -> list[Block]:
                 own = tag in BOILERPLATE and not (tag == "header" and article) or _marked(match["rest"])
                 parent = match.start() + 1 if tag in PARENTS else stack[-1][3] if stack else 0
                 stack.append((tag, boiler or own and tag not in ("html", "body", "main"), inside, parent))
+                standing[tag] += 1
             if tag == "a":
                 links += 1
         if tag in BLOCKS:
@@ -150,6 +176,12 @@ def _first_pass(block: Block, text: str) -> str:
     return "near" if stops >= STOP_LOW or block.article else "short" if len(text) < LONG else "bad"
 
 
+def _foreign(block: Block, text: str) -> bool:
+    share = block.linked / max(1, sum(map(len, block.parts)))
+    sentence = len(text) >= LONG and text.rstrip("\"'»”)")[-1:] in (".", "!", "?", "…", "。", "！", "？", "।", "؟")
+    return sentence and not block.boilerplate and share <= LINKS_HIGH and "\xa9" not in text
+
+
 def main_text(page: str | None) -> str:
     """Blocks of the main text, one per line.
 
@@ -157,9 +189,12 @@ def main_text(page: str | None) -> str:
     long blocks with many stop words are good. Second pass: a short or nearly good block is good beside a good one of the
     same parent element, or else takes the label of the nearest decided block before and after it; where these differ a
     nearly good block and a heading before a good block are kept. Inside an article element undecided blocks are kept.
+    Where no block has the stop words, as in other languages, long blocks of few links that are a sentence are good.
     """
     found = [(b, t) for b in blocks(page or "") if (t := b.text())]
     labels = [_first_pass(b, t) for b, t in found]
+    if not any(x in ("good", "near") for x in labels):
+        labels = ["good" if x == "bad" and _foreign(b, t) else x for (b, t), x in zip(found, labels)]
     if any(b.article and x != "bad" for (b, _), x in zip(found, labels)):
         labels = [x if b.article else "bad" for (b, _), x in zip(found, labels)]
     before, last = [], "bad"
@@ -183,7 +218,11 @@ def main_text(page: str | None) -> str:
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(page_id, url, text, n_chars), one row per page; a null, empty or contentless page has an empty text."""
+    """(page_id, url, text, n_chars), one row per page; a null, empty or contentless page has an empty text.
+
+    Pages are taken one by one, so repeated rows, null ids and equal urls give a row each, and an empty table gives an empty
+    result. A page of any length is held by one task, whose time grows with the page's length.
+    """
     rows = pages.select(
         pages[id_col].cast("long").alias("page_id"), pages[url_col].cast("string").alias("url"),
         pages[html_col].cast("string").alias("text"),
