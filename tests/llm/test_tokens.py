@@ -9,15 +9,14 @@ from voltmart.llm.encode import Encoder, tokenizer_path
 
 TEXTS = [
     "", " ", "a ", " a", "a  b", "a   b\n\n c", "x y", "x y", "<|endoftext|> hi<|startoftext|>", "don't 'll it's. ok,\nA. b",
-    "\n \n", "\t x", "é é ́a", "Σ ΑΣ ΑΣ. ς", "a  b  c", "\x1c a \x1cb ᠎ c ​ d", None, "3 4,5. 66 end.\nNext, .. ,",
+    "a<|endoftext|>b", "x <|startoftext|>", "<|endoftext|>", "<|ENDOFTEXT|> <|endoftext |>", "\n \n", "\t x", "é é ́a", "Σ ΑΣ ΑΣ. ς", "a  b  c", "\x1c a \x1cb ᠎ c ​ d", None, "3 4,5. 66 end.\nNext, .. ,",
 ]
 
 
 def ids_of(name, text):
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(tokenizer_path(name))
-    tokenizer.encode_special_tokens = True
+    tokenizer = Tokenizer.from_file(tokenizer_path(name))  # left as loaded
     return np.array(tokenizer.encode(text or "", add_special_tokens=False).ids, dtype="<u4")
 
 

@@ -40,8 +40,8 @@ class Encoder:
     Both kinds of vocabulary supported split a text before a space that a non-space follows, whatever stands around it:
     byte-level BPE as its pattern takes such a space as the head of the next word, and BPE with word ends as it drops
     white space. So a text is cut there, and each different piece is encoded once and then looked up. ASCII words with a
-    final stop or comma are further cut before the mark. Any other tokenizer encodes whole texts. Strings of special
-    tokens in a text are ordinary text.
+    final stop or comma are further cut before the mark. Any other tokenizer encodes whole texts, and so are texts that hold
+    the string of a special token: the library's plain call makes it that token's id, and spaces beside it may go with it.
     """
 
     def __init__(self, source: str, cache_words: int = CACHE_WORDS):
@@ -50,7 +50,7 @@ class Encoder:
         shape = json.loads(source)
         shape = {k: shape[k] for k in ("added_tokens", "normalizer", "pre_tokenizer")}
         self.plain = Tokenizer.from_str(source)
-        self.plain.encode_special_tokens = True
+        self.specials = [t["content"] for t in shape["added_tokens"]]
         self.cutting = Tokenizer.from_str(source)
         self.cut_word, self.cut_id = shape["added_tokens"][-1]["content"], shape["added_tokens"][-1]["id"]
         kind = shape["pre_tokenizer"]["type"]
@@ -103,6 +103,9 @@ class Encoder:
         if self.whole:
             found = self.plain.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)
             return [np.array(f.ids, dtype="<u4").tobytes() for f in found]
+        special = [i for i, t in enumerate(texts) if t and any(s in t for s in self.specials)]
+        whole, held = self.plain.encode_batch_fast([texts[i] for i in special], add_special_tokens=False), set(special)
+        texts = ["" if i in held else t for i, t in enumerate(texts)] if special else texts
         cut = [self._cut(t) if t else ("", []) for t in texts]
         if len(self.words) + len(self.heads) > self.cache_words:
             self.words.clear()
@@ -110,4 +113,7 @@ class Encoder:
         seen = set().union(*[words for _, words in cut])
         self._learn(seen.difference(self.words), {head for head, _ in cut})
         heads, words_of = self.heads, self.words.__getitem__
-        return [heads[head] + b"".join(map(words_of, words)) for head, words in cut]
+        out = [heads[head] + b"".join(map(words_of, words)) for head, words in cut]
+        for i, found in zip(special, whole):
+            out[i] = np.array(found.ids, dtype="<u4").tobytes()
+        return out
