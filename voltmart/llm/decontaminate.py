@@ -142,7 +142,8 @@ def automata(benchmark: DataFrame, window: int, block_words: int, id_col: str, t
     items = benchmark.select(
         F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item"), F.col(text_col).cast("string").alias("text")
     ).filter("text IS NOT NULL")
-    size = items.agg(F.sum(F.size(F.split("text", "[^A-Za-z0-9]+")))).first()[0] or 0
+    words = F.expr(r"size(regexp_extract_all(text, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+', 0))")
+    size = items.agg(F.sum(words)).first()[0] or 0
     blocks = max(1, -(-size // block_words))
     sent = []
     for block in range(blocks):
@@ -180,11 +181,15 @@ def scan(
 
         part = map_batches(rows, run, schema)
         found = part if found is None else found.union(part)
-    one = found.groupBy("doc_id", "text_hash").agg(
-        F.count("n_words").alias("times"), F.max("n_words").alias("n_words"), F.max("longest").alias("longest"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-    )
+    if part is found:  # one block: each document's row is whole
+        spans, items = F.array_sort(F.array_distinct("spans")), F.array_sort(F.array_distinct("items"))
+        one = found.withColumns({"spans": spans, "items": items, "times": F.lit(1)})
+    else:
+        one = found.groupBy("doc_id", "text_hash").agg(
+            F.count("n_words").alias("times"), F.max("n_words").alias("n_words"), F.max("longest").alias("longest"),
+            F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"),
+            F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+        )
     start = "struct(CAST(0 AS BIGINT) AS n, 0 AS end)"
     n_hit = F.expr(
         f"""aggregate(spans, {start}, (a, s) -> struct(a.n + greatest(0, s[1] - greatest(s[0], a.end)) AS n,
