@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from voltmart.sinks import tables as sinks
 from voltmart.sources import payloads, series, tables
+from voltmart.streaming import streams
 
 XML = """<?xml version="1.0" encoding="UTF-8"?>
 <GL_MarketDocument xmlns="urn:iec62325.351:tc57wg16:451-6:generationloaddocument:3:0">
@@ -138,3 +139,25 @@ def test_quarantine_is_a_no_op_when_empty(spark, tmp_path):
 def test_flow_slice_needs_both_ends_configured(spark):
     df = spark.createDataFrame([("RO", "HU"), ("NL", "DE"), ("NL", "RO")], "zone_from string, zone_to string")
     assert [tuple(r) for r in tables.configured(df).collect()] == [("NL", "DE")]
+
+
+def test_late_rows_read_one_mark_however_many_batches(spark, tmp_path):
+    """A newest event in the first batch counts for all later ones, and only two marks are kept."""
+    paths = {n: str(tmp_path / n) for n in ("landing", "ok", "late", "marks", "cp")}
+    start = dt.datetime(2024, 1, 10)
+    hours = [[0, 48], [1, 47], [], [None, 30], [100, 23], [53, 51]]
+    newest, want = None, {}
+    for number, batch in enumerate(hours):
+        rows = [(10 * number + i, None if h is None else start + dt.timedelta(hours=h)) for i, h in enumerate(batch)]
+        for (row, _), h in zip(rows, batch):
+            want[row] = h is not None and newest is not None and h < newest - 24
+        newest = max([h for h in batch if h is not None] + ([] if newest is None else [newest]))
+        landed = spark.createDataFrame(rows, "id int, ts timestamp")
+        landed.coalesce(1).write.mode("append").json(paths["landing"])
+        streams.start_with_late_rows(
+            streams.read_landing(spark, paths["landing"], "id int, ts timestamp"), "ts", 86400, paths["ok"], paths["late"],
+            paths["marks"], paths["cp"],
+        ).awaitTermination()
+    read = lambda name: {r.id for r in spark.read.schema("id int").parquet(paths[name]).collect()}
+    assert read("late") == {k for k, v in want.items() if v} and read("ok") == {k for k, v in want.items() if not v}
+    assert len([p for p in (tmp_path / "marks").iterdir() if p.name.startswith("batch=")]) == 2

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from voltmart.operators import ranges
 from voltmart.plans import market_views as views
 from voltmart.plans.core import latest_prices, silver_flows, silver_prices, stability
 from voltmart.plans.registry import CTES, ORACLES, oracle, query, r, rounded
@@ -265,6 +266,65 @@ def bronze_load_batch(spark, sf):
     return rounded(batch, "actual_load_mw", "forecast_load_mw").drop("_ingest_ts")
 
 
+# ---------------------------------------------------------------------------
+# Loaded ranges: holes and corrections instead of one watermark
+# ---------------------------------------------------------------------------
+CTES["price_days"] = """SELECT zone, CAST(timestamp_utc AS DATE) AS day, count(*) AS n, min(_ingest_ts) AS first_id
+    FROM prices GROUP BY ALL"""
+CTES["load_records"] = """SELECT zone AS entity, day AS start_date, day + CAST(n % 3 AS INTEGER) AS end_date, false AS stale,
+    TIMESTAMP '2024-02-01 00:00:00' AS seen FROM price_days WHERE n % 4 <> 0
+    UNION ALL SELECT zone, day, day, true, TIMESTAMP '2024-02-02 00:00:00' FROM price_days WHERE first_id % 5 = 0"""
+CTES["loaded_days"] = """SELECT entity, day FROM (SELECT entity, stale, seen,
+    CAST(unnest(generate_series(start_date, end_date, INTERVAL 1 DAY)) AS DATE) AS day FROM load_records)
+    GROUP BY entity, day HAVING NOT arg_max(stale, seen)"""
+
+
+def _load_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Loads that reach up to two days further and leave holes; later, some days are corrected at the source."""
+    days = views.prices(spark, sf).groupBy(F.lit("prices").alias("dataset"), "zone", F.to_date("timestamp_utc").alias("day")).agg(
+        F.count("*").alias("n"), F.min("_ingest_ts").alias("first_id")
+    ).withColumnRenamed("zone", "entity")
+    loads = days.filter("n % 4 <> 0").select(
+        *ranges.KEYS, F.col("day").alias("start_date"), F.date_add("day", (F.col("n") % 3).cast("int")).alias("end_date"),
+        F.lit(ranges.LOADED).alias("status"), F.lit("2024-02-01 00:00:00").cast("timestamp").alias("recorded_at"),
+    )
+    changes = days.filter("first_id % 5 = 0").select(
+        *ranges.KEYS, "day", F.lit("2024-02-02 00:00:00").cast("timestamp").alias("changed_at")
+    )
+    path = scratch_path(spark, "ranges")
+    ranges.record(loads, path)
+    ranges.record(ranges.corrections(changes, ranges.read_ranges(spark, path)), path)
+    return ranges.read_ranges(spark, path)
+
+
+_RUNS = """SELECT 'prices' AS dataset, entity, min(day) AS start_date, max(day) AS end_date, count(*) AS days FROM (
+    SELECT entity, day, day - CAST(row_number() OVER (PARTITION BY entity ORDER BY day) AS INTEGER) AS run FROM ({})
+    ) GROUP BY entity, run"""
+
+
+@query(oracle(_RUNS.format("SELECT entity, day FROM loaded_days")))
+def loaded_ranges(spark, sf):
+    return ranges.loaded_ranges(_load_records(spark, sf)).withColumn("days", F.datediff("end_date", "start_date") + 1)
+
+
+@query(oracle(_RUNS.format("""SELECT zone AS entity, CAST(unnest(generate_series(DATE '2023-12-28', DATE '2024-02-03',
+    INTERVAL 1 DAY)) AS DATE) AS day FROM (SELECT DISTINCT zone FROM prices) EXCEPT SELECT entity, day FROM loaded_days""")))
+def load_holes(spark, sf):
+    entities = views.prices(spark, sf).select(F.lit("prices").alias("dataset"), F.col("zone").alias("entity"))
+    return ranges.holes(_load_records(spark, sf), entities, "2023-12-28", "2024-02-03")
+
+
+@query(oracle("""SELECT zone, timestamp_utc, price_eur_mwh, _ingest_ts AS event_id, 'b-5' AS _batch_id, 'landing' AS _source
+    FROM prices ANTI JOIN (SELECT entity AS zone, day FROM loaded_days) l
+    ON l.zone = prices.zone AND l.day = CAST(prices.timestamp_utc AS DATE)
+    WHERE timestamp_utc >= DATE '2024-01-04' AND timestamp_utc < DATE '2024-01-26'"""))
+def bronze_holes_batch(spark, sf):
+    landed = views.prices(spark, sf).withColumnRenamed("_ingest_ts", "event_id")
+    return ranges.bronze_holes(
+        landed, _load_records(spark, sf), "prices", "b-5", "landing", "2024-01-04", "2024-01-25"
+    ).drop("_ingest_ts")
+
+
 @query("SELECT event_id, user_id, event_type FROM events")
 def table_scan(spark, sf):
     return tables.scan(spark, f"{sf}/events.parquet").select("event_id", "user_id", "event_type")

@@ -84,7 +84,8 @@ def _overwrite(copy: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     writer.parquet(path)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder; nothing happens when it is absent."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
@@ -182,7 +183,7 @@ def upsert(
         return
     copy, staged = _stage(rows, partition_by)
     _overwrite(copy, path, partition_by)
-    _delete(spark, staged)
+    delete_path(spark, staged)
 
 
 def replace_window(df: DataFrame, path: str, date_column: str, cutoff: str | Column) -> None:
@@ -199,7 +200,7 @@ def replace_window(df: DataFrame, path: str, date_column: str, cutoff: str | Col
         gone = _emptied(stored, copy, [date_column])
     _overwrite(copy, path, [date_column])
     for folder in gone + [staged]:
-        _delete(spark, folder)
+        delete_path(spark, folder)
 
 
 def rewrite_without(
@@ -227,7 +228,7 @@ def rewrite_without(
     gone = _emptied(_in_partitions(located, touched, partition_by), copy, partition_by)
     _overwrite(copy, path, partition_by)
     for folder in gone + [staged]:
-        _delete(spark, folder)
+        delete_path(spark, folder)
 
 
 def without(df: DataFrame, columns: Sequence[str], ids: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from voltmart.operators.silver import renewable_mw, share_pct
-from voltmart.sinks.tables import upsert, with_bronze_metadata
+from voltmart.sinks.tables import delete_path, upsert, with_bronze_metadata
 from voltmart.sources.series import is_renewable
 
 ENVELOPE_SCHEMA = "topic string, key string, payload map<string, string>, event_time timestamp"
@@ -90,29 +90,33 @@ def start_with_late_rows(
 ) -> StreamingQuery:
     """Split each micro-batch: late are rows more than ``delay_seconds`` behind the newest event of earlier batches.
 
-    Each batch keeps its newest event time, and all three writes go to a folder named by the batch, so a repeated batch
-    overwrites its own output.
+    Each batch keeps the newest event time so far, its own included, so the next one reads that single row; older marks are
+    removed, and neither reads nor state grow with the batches. All writes go to a folder named by the batch, so a repeated
+    batch overwrites its own output, from the same mark of the batch before.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch = batch.persist()
         try:
-            earlier = _newest_mark(spark, marks_path, batch_id)
-            newest = batch.agg(F.max(F.col(ts)).alias("newest"))
+            earlier = _mark_before(spark, marks_path, batch_id)
+            newest = batch.agg(F.greatest(F.max(F.col(ts)), F.timestamp_seconds(F.lit(earlier).cast("double"))).alias("newest"))
             newest.write.mode("overwrite").parquet(f"{marks_path}/batch={batch_id}")
             late = F.lit(False)
             if earlier is not None:
                 late = F.coalesce(F.col(ts) < F.timestamp_seconds(F.lit(earlier - delay_seconds)), F.lit(False))
             batch.filter(~late).write.mode("overwrite").parquet(f"{on_time_path}/batch={batch_id}")
             batch.filter(late).write.mode("overwrite").parquet(f"{late_path}/batch={batch_id}")
+            # Only the batch before can still be asked for, should this one be repeated.
+            delete_path(spark, f"{marks_path}/batch={batch_id - 2}")
         finally:
             batch.unpersist()
 
     return start_batches(stream, apply, checkpoint, every=every)
 
 
-def _newest_mark(spark: SparkSession, path: str, batch_id: int) -> float | None:
+def _mark_before(spark: SparkSession, path: str, batch_id: int) -> float | None:
+    """Newest event time of all batches before this one, in seconds: the mark of the last of them."""
     if batch_id == 0:
         return None
-    marks = spark.read.schema("newest timestamp, batch long").parquet(path).filter(F.col("batch") < batch_id)
-    return marks.agg(F.max("newest").cast("double")).first()[0]
+    mark = spark.read.schema("newest timestamp").parquet(f"{path}/batch={batch_id - 1}")
+    return mark.agg(F.max("newest").cast("double")).first()[0]
