@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from voltmart.functions.keys import first_per_key, latest_per_key
+from voltmart.functions import quantile
 from voltmart.functions.quantile import exact_median, exact_quantile
 from voltmart.functions.rolling import (
     chunk_window, drop_halo, rolling_stats, with_row_chunks, with_row_index, with_running_counts,
@@ -123,3 +124,33 @@ def test_rows_without_key_are_kept(spark):
     df = spark.createDataFrame(rows, "zone string, t long, v double")
     assert rolling_stats(df, ["zone"], "t", "v", 100, 10, "w").count() == 3
     assert drop_halo(with_row_chunks(df, ["zone"], "t", 2, 4)).count() == 3
+
+
+@pytest.mark.parametrize("q", [0.0, 0.37, 0.5, 0.95, 1.0])
+def test_exact_quantile_without_keys_ranks_by_range(spark, q):
+    """All rows are one group: its bracket is spread over several tasks, ties and missing values included."""
+    rng = np.random.default_rng(5)
+    values = np.concatenate([rng.normal(size=3000), np.repeat(0.25, 700), rng.integers(0, 9, 300).astype(float)])
+    rows = [(float(v),) for v in rng.permutation(values)] + [(None,)] * 50
+    df = spark.createDataFrame(rows, "v double").repartition(6)
+    for accuracy in (40, 100000):  # a narrow bracket, and one that holds every value
+        row = exact_quantile(df, [], "v", q, accuracy, also=[F.stddev_pop("_v").alias("s")]).first()
+        assert row["quantile"] == pytest.approx(np.quantile(values, q), abs=1e-12) and row["n"] == 4000
+        assert row["s"] == pytest.approx(values.std())
+    assert exact_quantile(df.limit(0), [], "v", q).first() is None
+
+
+def test_no_task_holds_the_bracket_of_one_group(spark, monkeypatch):
+    """With many values in the bracket the ranking window sees one range at a time."""
+    stored = []
+    real = quantile.materialize
+    monkeypatch.setattr(quantile, "materialize", lambda df: stored.append(real(df)) or stored[-1])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(20000).select((F.hash("id") / 1000.0).alias("v"))
+        row = exact_quantile(df, [], "v", 0.9, 100000).first()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert row["quantile"] == pytest.approx(np.quantile([r.v for r in df.collect()], 0.9))
+    sizes = [r["count"] for r in stored[-1].groupBy("_part").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 20000 / 4

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from voltmart.functions.quantile import exact_median, exact_quantile, join_small
 from voltmart.operators.features import FEATURE_CANDIDATES, active_features
 from voltmart.operators.gold import regime_label
+from voltmart.session import materialize
 
 KEYS = ["zone", "timestamp_utc"]
 # Regime features.
@@ -55,15 +56,14 @@ def scale(df: DataFrame, scaler: dict[str, tuple[float, float]]) -> DataFrame:
 
 
 def robust_stats(features: DataFrame, columns: Sequence[str] = FEATURE_CANDIDATES) -> DataFrame:
-    """Per (zone, feature): median, mad, stddev (population). Makes several passes: give it a stored table."""
+    """Per (zone, feature): median, mad, stddev (population). Makes four passes: give it a stored table."""
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns])
     long = features.select("zone", F.inline(pairs))
     keys = ["zone", "feature"]
-    median = exact_median(long, keys, "value").drop("n")
-    distance = join_small(long, median, keys).select(*keys, F.abs(F.col("value") - F.col("median")).alias("distance"))
+    median = materialize(exact_median(long, keys, "value", also=[F.stddev_pop("_v").alias("stddev")]).drop("n"))
+    distance = long.join(median, keys).select(*keys, F.abs(F.col("value") - F.col("median")).alias("distance"))
     mad = exact_median(distance, keys, "distance").select(*keys, F.col("median").alias("mad"))
-    spread = long.groupBy(*keys).agg(F.stddev_pop("value").alias("stddev"))
-    return median.join(mad, keys).join(spread, keys)
+    return median.join(mad, keys)
 
 
 def robust_scores(features: DataFrame, columns: Sequence[str] = FEATURE_CANDIDATES) -> DataFrame:
@@ -256,7 +256,7 @@ def forest_anomalies(scored: DataFrame, column: str = "isolation_score") -> Data
 
 def flag_contamination(scored: DataFrame, contamination: float = 0.1, column: str = "isolation_score") -> DataFrame:
     """``anomaly_score`` above the cut that leaves ``contamination`` of the rows, and ``is_anomaly``."""
-    cut = exact_quantile(scored.withColumn("_all", F.lit(1)), ["_all"], column, 1.0 - contamination).first()
+    cut = exact_quantile(scored, [], column, 1.0 - contamination).first()
     offset = cut["quantile"] if cut else 0.0
     margin = F.col(column) - F.lit(offset)
     return scored.withColumns({"anomaly_score": F.round(margin, 6), "is_anomaly": margin > 0})
