@@ -11,7 +11,8 @@ from voltmart.schemas import (
     CONTRACTS, ERASURE_SCHEMA, FLOW_PARTNERS, PII_NAME_PATTERNS, PIPELINE_RUN_SCHEMA, WATERMARK_SCHEMA,
 )
 from voltmart.session import materialize
-from voltmart.sinks.tables import append, exists, finish_swaps, rewrite_without, swap_files, upsert
+from voltmart.sinks import file_index
+from voltmart.sinks.tables import append, exists, finish_swaps, read_files, rewrite_without, swap_files, upsert
 from voltmart.sources.tables import next_start
 
 
@@ -289,6 +290,7 @@ def process_erasures(
     requests_path: str,
     audit_path: str,
     operator: str,
+    indexes: Mapping[str, str] | None = None,
 ) -> None:
     """Count, rewrite every table without the erased rows, complete the audit, then the requests.
 
@@ -296,6 +298,9 @@ def process_erasures(
     IN_PROGRESS, before the first rewrite. A rerun after a failure at any step finds the requests still pending, keeps the
     stored counts, repeats the rewrites (which then find nothing) and leaves one audit row per request. Requests that are
     appended meanwhile stay pending: only the files read at the start are replaced.
+
+    ``indexes``: name to the path of a table's file index (``sinks/file_index.py``). It is brought up to date first; then only
+    files that hold a pending entity are counted and searched. Counts and rows left are those of the full search.
     """
     finish_swaps(spark, requests_path)
     read_requests = spark.read.parquet(requests_path)
@@ -309,13 +314,24 @@ def process_erasures(
     fresh = requests
     if exists(spark, audit_path):
         fresh = requests.join(materialize(stored()).select("erasure_id"), "erasure_id", "left_anti")
-    read = {n: (layer, spark.read.parquet(path), columns) for n, (layer, path, columns, _) in tables.items()}
+    held: dict[str, list[str] | None] = {}
+    for name, (_, path, columns, partition_by) in tables.items():
+        held[name] = None
+        if name in (indexes or {}):
+            if not partition_by:
+                finish_swaps(spark, path)
+            file_index.refresh(spark, path, columns, indexes[name])
+            held[name] = file_index.candidates(spark, path, indexes[name], pending(requests))
+    read = {
+        n: (layer, spark.read.parquet(path) if held[n] is None else read_files(spark, path, held[n]), columns)
+        for n, (layer, path, columns, _) in tables.items()
+    }
     counted = erasure_counts(read, fresh).withColumns(
         {"operator": F.lit(operator), "status": F.lit("IN_PROGRESS"), "completed_at": F.lit(None)}
     )
     append(materialize(conform(counted, ERASURE_SCHEMA)), audit_path)
-    for _, path, columns, partition_by in tables.values():
-        rewrite_without(spark, path, columns, pending(requests), partition_by)
+    for name, (_, path, columns, partition_by) in tables.items():
+        rewrite_without(spark, path, columns, pending(requests), partition_by, held[name])
     done = materialize(
         stored().withColumns(
             {"status": F.lit("COMPLETED"), "completed_at": F.coalesce("completed_at", F.current_timestamp())}

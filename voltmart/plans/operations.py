@@ -261,12 +261,14 @@ def erasure_audit(spark, sf):
     return ops.erasure_counts(tables, erasure_requests(spark, sf)).drop("requested_at", "completed_at")
 
 
-@query(oracle("""SELECT 'prices' AS table_name, zone, count(*) AS row_count FROM prices WHERE zone NOT IN ('NL', 'FR')
+_ERASED = """SELECT 'prices' AS table_name, zone, count(*) AS row_count FROM prices WHERE zone NOT IN ('NL', 'FR')
     GROUP BY ALL UNION ALL SELECT 'flows', zone_from, count(*) FROM s_flows
     WHERE zone_from NOT IN ('NL', 'FR') AND zone_to NOT IN ('NL', 'FR') GROUP BY ALL
     UNION ALL SELECT 'requests ' || status, 'any', count(*) FROM (SELECT DISTINCT zone, 'COMPLETED' AS status FROM prices)
-    GROUP BY ALL"""))
-def erasure_cascade(spark, sf):
+    GROUP BY ALL"""
+
+
+def _cascade(spark: SparkSession, sf: str, indexed: bool) -> DataFrame:
     root = scratch_path(spark, "erasure")
     paths = {n: f"{root}/{n}" for n in ("prices", "flows", "requests", "audit")}
     sinks.append_bronze(views.prices(spark, sf), paths["prices"])
@@ -281,6 +283,7 @@ def erasure_cascade(spark, sf):
             "flows": ("silver", paths["flows"], ["zone_from", "zone_to"], ["event_date"]),
         },
         paths["requests"], paths["audit"], "operator",
+        {n: f"{root}/{n}_index" for n in ("prices", "flows")} if indexed else None,
     )
 
     def left(name: str, zone: str) -> DataFrame:
@@ -295,6 +298,17 @@ def erasure_cascade(spark, sf):
     return left("prices", "zone").unionByName(left("flows", "zone_from")).unionByName(requests)
 
 
+@query(oracle(_ERASED))
+def erasure_cascade(spark, sf):
+    return _cascade(spark, sf, False)
+
+
+@query(oracle(_ERASED))
+def erasure_cascade_indexed(spark, sf):
+    """The same rows stay when only the files that an index names are read."""
+    return _cascade(spark, sf, True)
+
+
 _PII_TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()

@@ -55,6 +55,24 @@ def exists(spark: SparkSession, path: str) -> bool:
         raise
 
 
+def table_files(spark: SparkSession, path: str) -> DataFrame:
+    """``file``: the files of a table as Spark lists them, named as by ``input_file_name``; contents are not read."""
+    return spark.createDataFrame([(f,) for f in spark.read.parquet(path).inputFiles()], "file string")
+
+
+def read_files(spark: SparkSession, path: str, files: Sequence[str]) -> DataFrame:
+    """Some files of a table, with the table's columns and partition values; no files are no rows."""
+    schema = spark.read.parquet(path).schema
+    if not files:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*[_listed(spark, f).toString() for f in files])
+
+
+def _listed(spark: SparkSession, file: str):
+    """Path of a file by its listed name, in which spaces and other characters are escaped."""
+    return spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(file))
+
+
 def read_like(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
     """Read a table with the schema of ``df``, so partition values keep their types."""
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
@@ -122,7 +140,7 @@ def finish_swaps(spark: SparkSession, path: str) -> None:
         lines = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         stream.close()
         for old in lines.split("\n") if lines else []:
-            fs.delete(hadoop.Path(old), False)
+            fs.delete(_listed(spark, old), False)
         staged = hadoop.Path(place, journal.getName().removesuffix(".journal"))
         for file in [s.getPath() for s in fs.listStatus(staged)] if fs.exists(staged) else []:
             if file.getName().startswith("part-"):
@@ -204,22 +222,28 @@ def replace_window(df: DataFrame, path: str, date_column: str, cutoff: str | Col
 
 
 def rewrite_without(
-    spark: SparkSession, path: str, columns: Sequence[str], ids: DataFrame, partition_by: Sequence[str] = ()
+    spark: SparkSession, path: str, columns: Sequence[str], ids: DataFrame, partition_by: Sequence[str] = (),
+    files: Sequence[str] | None = None,
 ) -> None:
     """Delete the rows that name one of ``ids`` (column ``entity_id``) in any of ``columns``.
 
     With ``partition_by`` only partitions holding such rows are read in full and rewritten; emptied ones are removed.
+    ``files``, from an index, are all that can hold such rows: only they are searched, and without partitions only they are
+    replaced.
     """
+    if files is not None and not files:
+        return
     ids = materialize(ids.select("entity_id").distinct())
     if not partition_by:
         finish_swaps(spark, path)
-        table = spark.read.parquet(path)
+        table = spark.read.parquet(path) if files is None else read_files(spark, path, files)
         swap_files(without(table, columns, ids), path, table.inputFiles())
         return
     table = spark.read.parquet(path)
+    searched = table if files is None else read_files(spark, path, files)
     touched = None
     for column in columns:
-        named = table.join(ids, table[column] == ids["entity_id"], "left_semi").select(*partition_by)
+        named = searched.join(ids, searched[column] == ids["entity_id"], "left_semi").select(*partition_by)
         touched = named if touched is None else touched.unionByName(named)
     touched = materialize(touched.distinct())
     affected = _in_partitions(table, touched, partition_by).select(*table.columns)
