@@ -132,9 +132,10 @@ def test_interleaved_layout_skips_files_by_each_column(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "mixed")).exceptAll(df).count() == 0
     assert spark.read.parquet(str(tmp_path / "mixed")).count() == 20000
     assert skipped(tmp_path / "sorted", "b", 10)[0] == 0
-    for column, value in (("a", 60), ("b", 10)):
-        out, files = skipped(tmp_path / "mixed", column, value)
-        assert out >= files / 2, (column, out, files)
+    # Bounds of the files are sampled and differ from run to run, so the share is taken over values all along the column.
+    for column, values in (("a", range(4, 137, 8)), ("b", range(10, 1000, 60))):
+        found = [skipped(tmp_path / "mixed", column, value) for value in values]
+        assert sum(out for out, _ in found) >= sum(files for _, files in found) / 2, (column, found)
 
 
 def test_interleaving_orders_bits_and_takes_nulls_and_texts(spark, tmp_path):
