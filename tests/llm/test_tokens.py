@@ -67,6 +67,39 @@ def test_coder_round_trip():
         token_files.read_container(bytes(data))
 
 
+def test_groups_of_blocks_stand_alone(monkeypatch):
+    ids = np.minimum(np.random.default_rng(1).zipf(1.2, 3000), 65535).astype("<u4")
+    whole = token_files.write_container([7], [ids.tobytes()], block_tokens=100)
+    monkeypatch.setattr(token_files, "GROUP_BLOCKS", 4)
+    assert token_files.write_container([7], [ids.tobytes()], block_tokens=100) == whole
+    assert token_files.read_container(whole) == ([7], [ids.tobytes()])
+
+
+def test_rare_and_flat_ids_round_trip():
+    rng = np.random.default_rng(2)
+    for ids in (rng.permutation(65536)[:9000], rng.integers(0, 65536, 9000), np.tile([0, 65535, 1], 3000)):
+        raw = ids.astype("<u4").tobytes()
+        assert token_files.read_container(token_files.write_container([None], [raw])) == ([None], [raw])
+
+
+def test_coded_bytes_are_fewer_than_deflated(sample):
+    with open(tokenizer_path("word_bpe_49k.json")) as file:
+        raws = Encoder(file.read()).encode([t for _, t in texts_of(sample)])
+    ids = np.frombuffer(b"".join(raws), "<u4")
+    step = token_files.BLOCK_TOKENS
+    deflated = sum(len(zlib.compress(ids[i : i + step].astype("<u2").tobytes(), 9)) for i in range(0, len(ids), step))
+    assert len(token_files.write_container([1], [ids.tobytes()])) < 0.9 * deflated
+
+
+def test_a_shared_id_is_dealt_to_many_tasks(spark, tmp_path):
+    docs = spark.range(4000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "concat('word ', id) AS text")
+    token_files.write(docs, str(tmp_path / "t"), container_tokens=500)
+    rows = token_files.read(spark, str(tmp_path / "t"))
+    assert spark.read.parquet(str(tmp_path / "t")).select("part").distinct().count() > 1
+    assert rows.count() == 4000 and rows.select("start").distinct().count() == 4000
+    assert rows.selectExpr("max(start + n_tokens) = sum(n_tokens)").first()[0]
+
+
 def test_files_hold_all_documents_in_order(spark, odd_docs, no_docs, tmp_path):
     token_files.write(odd_docs, str(tmp_path / "t"), container_tokens=500)
     rows = token_files.read(spark, str(tmp_path / "t")).orderBy("start").collect()

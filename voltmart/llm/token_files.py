@@ -18,65 +18,118 @@ from voltmart.llm.common import END_ID, id_text, map_batches, pieces
 from voltmart.llm.encode import Encoder, send_tokenizer, tokenizer_path
 from voltmart.session import materialize, scratch_path
 
-BLOCK_TOKENS = 2048
+BLOCK_TOKENS = 4096
+#: Blocks that are coded side by side; their models take some 250 MB, whatever the length of the texts.
+GROUP_BLOCKS = 512
 #: Ids per container, about; a longer document makes a longer one.
 CONTAINER_TOKENS = 2_000_000
 MAGIC = b"TOKC"
 
-_ONE, _TWO = 2048, 4096  # slots of the tables of order-1 and order-2 predictions
+_ONE, _TWO = 1 << 13, 1 << 14  # slots of the tables of order-1 and order-2 predictions
+_STEP = 24  # what one more occurrence adds to a count
+_BELOW = np.tri(16, k=-1, dtype=np.float32)  # row g: 1 for all before g
 _U = np.uint64
 _LOW32, _TOP = _U(0xFFFFFFFF), _U(1 << 32)
 
 
+class _Bytes:
+    """Adaptive frequencies of byte values in many contexts, kept with the sums of groups of 16 values.
+
+    A prefix sum is 16 sums of groups and 16 counts within one, whatever the values seen. Counts only grow, and a block's
+    ids keep every total below 2 ** 18, so sums of 32-bit floats are exact in any order.
+    """
+
+    def __init__(self, first: np.ndarray, contexts: int):
+        counts = first.astype(np.float32).reshape(16, 16)
+        self.counts = np.tile(counts, (contexts, 1))
+        self.groups = np.tile(counts.sum(axis=1), (contexts, 1))
+        self.totals = np.full(contexts, int(counts.sum()), np.int64)
+
+    def write(self, context: np.ndarray, value: np.ndarray, out: _Writer, rows: np.ndarray) -> None:
+        group, place = value >> 4, value & 15
+        cell, at = context << 4 | group, context << 8 | value
+        before = np.einsum("ij,ij->i", self.groups.take(context, axis=0), _BELOW.take(group, axis=0))
+        before += np.einsum("ij,ij->i", self.counts.take(cell, axis=0), _BELOW.take(place, axis=0))
+        out.code(rows, before, self.counts.ravel().take(at), self.totals.take(context))
+        self._count(context, cell, at)
+
+    def read(self, context: np.ndarray, source: _Reader, rows: np.ndarray) -> np.ndarray:
+        line = np.arange(len(context)) << 4
+        target = source.target(rows, self.totals.take(context)).astype(np.float32)
+        sums = self.groups.take(context, axis=0) @ _BELOW.T
+        group = np.count_nonzero(sums <= target[:, None], axis=1) - 1
+        before = sums.ravel().take(line | group)
+        cell = context << 4 | group
+        inside = self.counts.take(cell, axis=0) @ _BELOW.T
+        place = np.count_nonzero(inside <= (target - before)[:, None], axis=1) - 1
+        at = cell << 4 | place
+        source.take(rows, before + inside.ravel().take(line | place), self.counts.ravel().take(at))
+        self._count(context, cell, at)
+        return group << 4 | place
+
+    def _count(self, context: np.ndarray, cell: np.ndarray, at: np.ndarray) -> None:
+        self.counts.reshape(-1)[at] += _STEP
+        self.groups.reshape(-1)[cell] += _STEP
+        self.totals[context] += _STEP
+
+
 class _Models:
     """Predictions and counts of all blocks of a group; row i belongs to block i. Both directions update it alike.
 
-    Order 2 and order 1 predict the id that last followed the same two or one ids, each with a confidence. The coded
-    symbol says whether order 2 (0), order 1 (1) or neither (2) is right; its frequencies are the sum of the counts
-    kept for the confidence of each order. An id that neither predicts is coded by order-0 frequencies of its high byte
-    and then its low byte.
+    Order 2 and order 1 predict the id that last followed the same two or one ids (by hash), each with a confidence. The
+    coded symbol says whether order 2 (0), order 1 (1) or neither (2) is right; its frequencies are the sum of the counts
+    kept for the confidence of each order. An id that neither predicts is coded by its order-0 frequency: that of its high
+    byte, and that of its low byte among the ids of the same high byte. Tables hold four times the id, plus the confidence.
     """
 
     def __init__(self, rows: int):
-        self.one, self.two = np.zeros((rows, _ONE), np.int32), np.zeros((rows, _TWO), np.int32)
-        self.sure_one, self.sure_two = np.zeros((rows, _ONE), np.int8), np.zeros((rows, _TWO), np.int8)
-        self.by_one = np.tile(np.array([1, 4, 8], np.int32), (rows, 16, 1))
-        self.by_two = np.tile(np.array([4, 1, 8], np.int32), (rows, 16, 1))
-        self.high = np.tile((400 // (np.arange(256, dtype=np.int32) + 3) + 1).astype(np.int32), (rows, 1))
+        self.one, self.two = np.zeros(rows * _ONE, np.int32), np.zeros(rows * _TWO, np.int32)
+        self.by_one = np.tile(np.array([1, 4, 8], np.int32), (rows * 8, 1))
+        self.by_two = np.tile(np.array([4, 1, 8], np.int32), (rows * 8, 1))
+        self.high = _Bytes(400 // (np.arange(256) + 3) + 1, rows)
+        self.low = _Bytes(np.ones(256), rows * 256)
         self.last, self.before = np.zeros(rows, np.int64), np.zeros(rows, np.int64)
         self.rows, self.steps = np.arange(rows), 0
 
     def predict(self, n: int):
-        r = self.rows[:n]
-        self.slot_one = self.last[:n] & (_ONE - 1)
-        self.slot_two = (self.last[:n] * 40503 + self.before[:n] * 7919 >> 4) & (_TWO - 1)
-        self.guess_one, self.guess_two = self.one[r, self.slot_one], self.two[r, self.slot_two]
-        self.c_one, self.c_two = self.sure_one[r, self.slot_one], self.sure_two[r, self.slot_two]
-        both = (self.guess_one == self.guess_two).astype(np.int8) << 2
-        self.k_one, self.k_two = self.c_one | both, self.c_two | both
-        return self.by_one[r, self.k_one] + self.by_two[r, self.k_two]
+        """Frequencies of the three symbols, summed up, of the first ``n`` blocks."""
+        r, last = self.rows[:n], self.last[:n]
+        self.slot_one = r * _ONE + (last & (_ONE - 1))
+        self.slot_two = r * _TWO + ((last * 40503 + self.before[:n] * 7919 >> 4) & (_TWO - 1))
+        one, two = self.one.take(self.slot_one), self.two.take(self.slot_two)
+        self.guess_one, self.guess_two, self.c_one, self.c_two = one >> 2, two >> 2, one & 3, two & 3
+        both = (r << 3) + ((self.guess_one == self.guess_two) << 2)
+        self.k_one, self.k_two = both + self.c_one, both + self.c_two
+        f = self.by_one.take(self.k_one, axis=0)
+        f += self.by_two.take(self.k_two, axis=0)
+        f[:, 1] += f[:, 0]
+        f[:, 2] += f[:, 1]
+        return f
 
     def update(self, ids: np.ndarray, symbol: np.ndarray) -> None:
         n = len(ids)
-        r = self.rows[:n]
-        self.by_one[r, self.k_one, symbol] += 24
-        self.by_two[r, self.k_two, symbol] += 24
-        for table, sure, slot, guess, c in (
-            (self.one, self.sure_one, self.slot_one, self.guess_one, self.c_one),
-            (self.two, self.sure_two, self.slot_two, self.guess_two, self.c_two),
+        for counts, k in ((self.by_one, self.k_one), (self.by_two, self.k_two)):
+            counts.reshape(-1)[k * 3 + symbol] += _STEP
+        for table, slot, guess, c in (
+            (self.one, self.slot_one, self.guess_one, self.c_one), (self.two, self.slot_two, self.guess_two, self.c_two),
         ):
             hit = guess == ids
-            sure[r, slot] = np.where(hit, np.minimum(c + 1, 3), np.maximum(c - 1, 0))
-            table[r, slot] = np.where(hit | (c > 0), guess, ids)
-        self.high[r, ids >> 8] += 24 * (symbol == 2)
+            sure = np.where(hit, np.minimum(c + 1, 3), np.maximum(c - 1, 0))
+            table[slot] = np.where(hit | (c > 0), guess, ids) << 2 | sure
         self.before[:n], self.last[:n] = self.last[:n], ids
         self.steps += 1
-        if self.steps % 512 == 0:  # keeps every total below 2 ** 16
-            for counts in (self.by_one, self.by_two, self.high):
+        if self.steps % 512 == 0:  # the newest symbols weigh most
+            for counts in (self.by_one, self.by_two):
                 counts += 1
                 counts >>= 1
 
 
+def _part(f: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and length of each row's symbol among its summed frequencies."""
+    start = np.where(symbol == 0, 0, np.where(symbol == 1, f[:, 0], f[:, 1]))
+    return start, np.where(symbol == 0, f[:, 0], np.where(symbol == 1, f[:, 1], f[:, 2])) - start
+
+
 class _Writer:
     """Range coders of a group of blocks: 48-bit low and range, 16-bit words; carries are settled at the end."""
 
@@ -84,49 +137,53 @@ class _Writer:
         self.low, self.range = np.zeros(rows, _U), np.full(rows, (1 << 48) - 1, _U)
         self.out, self.used, self.rows = np.zeros((rows, words), np.int32), np.zeros(rows, np.int64), np.arange(rows)
 
-    def code(self, start: np.ndarray, size: np.ndarray, total) -> None:
-        n = len(start)
-        unit = self.range[:n] // total
-        self.low[:n] += unit * start.astype(_U)
-        self.range[:n] = unit * size.astype(_U)
-        small = np.flatnonzero(self.range[:n] < _TOP)
+    def code(self, rows: np.ndarray, start: np.ndarray, size: np.ndarray, total: np.ndarray) -> None:
+        """Narrows the coders of ``rows`` to the part from ``start`` of length ``size`` of ``total``."""
+        unit = self.range[rows] // total.astype(_U)
+        self.low[rows] += unit * start.astype(_U)
+        unit *= size.astype(_U)
+        self.range[rows] = unit
+        small = rows[unit < _TOP]
         if len(small):
             self._shift(small)
             self.range[small] <<= _U(16)
 
     def _shift(self, rows: np.ndarray) -> None:
-        self.out[rows, self.used[rows]] = (self.low[rows] >> _U(32)).astype(np.int32)
+        low = self.low[rows]
+        self.out[rows, self.used[rows]] = low >> _U(32)
         self.used[rows] += 1
-        self.low[rows] = (self.low[rows] & _LOW32) << _U(16)
+        self.low[rows] = (low & _LOW32) << _U(16)
 
     def finish(self) -> list[bytes]:
         for _ in range(3):
             self._shift(self.rows)
-        for k in range(self.out.shape[1] - 1, 0, -1):
-            self.out[:, k - 1] += self.out[:, k] >> 16
-        words = (self.out & 0xFFFF).astype("<u2")
+        out = np.ascontiguousarray(self.out[:, : self.used.max()].T)
+        for k in range(len(out) - 1, 0, -1):
+            out[k - 1] += out[k] >> 16
+        words = np.ascontiguousarray((out & 0xFFFF).astype("<u2").T)
         return [words[i, : self.used[i]].tobytes() for i in range(len(words))]
 
 
 class _Reader:
     def __init__(self, coded: list[bytes]):
         words = max(map(len, coded)) // 2 + 4
-        self.words = np.zeros((len(coded), words), _U)
+        self.words = np.zeros((len(coded), words), np.uint16)
         for row, raw in zip(self.words, coded):
             row[: len(raw) // 2] = np.frombuffer(raw, "<u2")
-        w = self.words
+        w = self.words[:, :3].astype(_U)
         self.code = w[:, 0] << _U(32) | w[:, 1] << _U(16) | w[:, 2]
         self.range, self.used = np.full(len(coded), (1 << 48) - 1, _U), np.full(len(coded), 3, np.int64)
 
-    def target(self, n: int, total):
-        self.unit = self.range[:n] // total
-        return np.minimum(self.code[:n] // self.unit, total - _U(1)).astype(np.int64)
+    def target(self, rows: np.ndarray, total: np.ndarray) -> np.ndarray:
+        total = total.astype(_U)
+        self.unit = self.range[rows] // total
+        return np.minimum(self.code[rows] // self.unit, total - _U(1)).astype(np.int64)
 
-    def take(self, start: np.ndarray, size: np.ndarray) -> None:
-        n = len(start)
-        self.code[:n] -= self.unit * start.astype(_U)
-        self.range[:n] = self.unit * size.astype(_U)
-        small = np.flatnonzero(self.range[:n] < _TOP)
+    def take(self, rows: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
+        self.code[rows] -= self.unit * start.astype(_U)
+        left = self.unit * size.astype(_U)
+        self.range[rows] = left
+        small = rows[left < _TOP]
         if len(small):
             at = np.minimum(self.used[small], self.words.shape[1] - 1)
             self.code[small] = self.code[small] << _U(16) | self.words[small, at]
@@ -143,23 +200,19 @@ def _active(sizes: np.ndarray) -> Iterator[int]:
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     """Coded bytes of each block of ids below 65,536; blocks are given longest first."""
     sizes = np.array([len(b) for b in blocks])
-    ids = np.zeros((sizes[0], len(blocks)), np.int64)
+    ids = np.zeros((sizes[0], len(blocks)), np.uint16)
     for i, b in enumerate(blocks):
         ids[: len(b), i] = b
-    models, out = _Models(len(blocks)), _Writer(len(blocks), 3 * int(sizes[0]) + 8)
+    models, out = _Models(len(blocks)), _Writer(len(blocks), 4 * int(sizes[0]) + 8)
     for step, n in enumerate(_active(sizes)):
-        now, f = ids[step, :n], models.predict(n)
+        now, f, r = ids[step, :n].astype(np.int64), models.predict(n), models.rows[:n]
         symbol = np.where(now == models.guess_two, 0, np.where(now == models.guess_one, 1, 2))
-        r = models.rows[:n]
-        c = np.cumsum(f, axis=1)
-        size = f[r, symbol]
-        out.code(c[r, symbol] - size, size, c[:, 2].astype(_U))
-        rest = symbol == 2
-        top = np.cumsum(models.high[:n], axis=1, dtype=np.int32)
-        total, high = top[:, 255], now >> 8
-        size = models.high[r, high]
-        out.code(np.where(rest, top[r, high] - size, 0), np.where(rest, size, total), total.astype(_U))
-        out.code(np.where(rest, now & 255, 0), np.where(rest, 1, 256), _U(256))
+        out.code(r, *_part(f, symbol), f[:, 2])
+        rest = np.flatnonzero(symbol == 2)
+        if len(rest):
+            value = now[rest]
+            models.high.write(rest, value >> 8, out, rest)
+            models.low.write(rest << 8 | value >> 8, value & 255, out, rest)
         models.update(now, symbol)
     return out.finish()
 
@@ -167,44 +220,31 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
 def decode_blocks(coded: list[bytes], sizes: np.ndarray) -> list[np.ndarray]:
     """Ids of each block, longest first, from their coded bytes."""
     models, source = _Models(len(coded)), _Reader(coded)
-    ids = np.zeros((int(sizes[0]), len(coded)), np.int64)
+    ids = np.zeros((int(sizes[0]), len(coded)), np.uint16)
     for step, n in enumerate(_active(sizes)):
-        f = models.predict(n)
-        r = models.rows[:n]
-        c = np.cumsum(f, axis=1)
-        t = source.target(n, c[:, 2].astype(_U))
-        symbol = (t >= c[:, 0]).astype(np.int64) + (t >= c[:, 1])
-        size = f[r, symbol]
-        source.take(c[r, symbol] - size, size)
-        rest = symbol == 2
-        top = np.cumsum(models.high[:n], axis=1, dtype=np.int32)
-        total = top[:, 255]
-        t = source.target(n, total.astype(_U))
-        high = (top <= t[:, None]).sum(axis=1)
-        size = models.high[r, high]
-        source.take(np.where(rest, top[r, high] - size, 0), np.where(rest, size, total))
-        low = source.target(n, _U(256))
-        source.take(np.where(rest, low, 0), np.where(rest, 1, 256))
-        now = np.where(symbol == 0, models.guess_two, np.where(symbol == 1, models.guess_one, high << 8 | low))
+        f, r = models.predict(n), models.rows[:n]
+        t = source.target(r, f[:, 2])
+        symbol = (t >= f[:, 0]).astype(np.int64) + (t >= f[:, 1])
+        source.take(r, *_part(f, symbol))
+        now = np.where(symbol == 0, models.guess_two, models.guess_one).astype(np.int64)
+        rest = np.flatnonzero(symbol == 2)
+        if len(rest):
+            high = models.high.read(rest, source, rest)
+            now[rest] = high << 8 | models.low.read(rest << 8 | high, source, rest)
         ids[step, :n] = now
         models.update(now, symbol)
     return [ids[:n, i] for i, n in enumerate(sizes.tolist())]
 
 
-def _longest_first(sizes: np.ndarray) -> np.ndarray:
-    return np.argsort(-sizes, kind="stable")
-
-
 def write_container(doc_ids: list[int | None], raws: list[bytes], block_tokens: int = BLOCK_TOKENS) -> bytes:
     """One container of the documents' ids (u32 bytes each, end ids included)."""
     ids = np.frombuffer(b"".join(raws), "<u4")
     if len(ids) and ids.max() > 0xFFFF:
         raise ValueError("the coder takes ids below 65,536")
     blocks = [ids[i : i + block_tokens] for i in range(0, len(ids), block_tokens)]
-    order = _longest_first(np.array([len(b) for b in blocks]))
-    coded: list[bytes] = [b""] * len(blocks)
-    for at, part in zip(order, encode_blocks([blocks[i] for i in order]) if blocks else []):
-        coded[at] = part
+    coded: list[bytes] = []
+    for i in range(0, len(blocks), GROUP_BLOCKS):  # only the container's last block is shorter than the others
+        coded += encode_blocks(blocks[i : i + GROUP_BLOCKS])
     head = [MAGIC, struct.pack("<II", len(raws), len(blocks))]
     head += [struct.pack("<qBI", d or 0, d is not None, len(r) // 4) for d, r in zip(doc_ids, raws)]
     head += [struct.pack("<III", len(b), len(c), zlib.crc32(b.tobytes())) for b, c in zip(blocks, coded)]
@@ -220,13 +260,14 @@ def read_container(data: bytes) -> tuple[list[int | None], list[bytes]]:
     at = 12 + 13 * n_docs
     heads = np.frombuffer(data, "<u4", 3 * n_blocks, at).reshape(-1, 3).astype(np.int64)
     ends = at + 12 * n_blocks + np.cumsum(heads[:, 1])
-    order = _longest_first(heads[:, 0])
-    coded = [data[ends[i] - heads[i, 1] : ends[i]] for i in order]
-    parts: list[bytes] = [b""] * n_blocks
-    for i, block in zip(order, decode_blocks(coded, heads[order, 0]) if n_blocks else []):
-        parts[i] = block.astype("<u4").tobytes()
-        if zlib.crc32(parts[i]) != heads[i, 2]:
-            raise ValueError(f"block {i} is damaged")
+    parts: list[bytes] = []
+    for first in range(0, n_blocks, GROUP_BLOCKS):
+        group = range(first, min(first + GROUP_BLOCKS, n_blocks))
+        coded = [data[ends[i] - heads[i, 1] : ends[i]] for i in group]
+        for i, block in zip(group, decode_blocks(coded, heads[group.start : group.stop, 0])):
+            parts.append(block.astype("<u4").tobytes())
+            if zlib.crc32(parts[-1]) != heads[i, 2]:
+                raise ValueError(f"block {i} is damaged")
     raw, raws, at = b"".join(parts), [], 0
     for _, _, n in docs:
         raws.append(raw[at : at + 4 * n])
@@ -240,10 +281,14 @@ def write(
 ) -> None:
     """Token containers in ascending order of ids as rows (part, number, n_tokens, data) of Parquet files at ``path``.
 
-    Null ids come first; a null or empty text is the end id alone; rows that share an id follow each other in any order.
+    Null ids come first; a null or empty text is the end id alone. Rows that share an id (or have none) may be dealt to
+    several tasks by their text's hash, in whose order they follow; repeated rows are stored each. A document lies whole in
+    one container, so a very long text makes a longer one: it takes memory for its ids and coded bytes, not for more
+    models. An empty table gives no container.
     """
     source = send_tokenizer(docs.sparkSession, tokenizer or tokenizer_path("word_bpe_49k.json"))
-    ordered = id_text(docs, id_col, text_col).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    ordered = id_text(docs, id_col, text_col).repartitionByRange("doc_id", F.xxhash64("text"))
+    ordered = ordered.sortWithinPartitions("doc_id", F.xxhash64("text"))
 
     def run(batches) -> Iterator[dict]:
         from pyspark import TaskContext
