@@ -1,4 +1,6 @@
+import random
 import re
+import time
 
 import zlib
 
@@ -234,3 +236,71 @@ def test_band_finds_what_full_alignment_finds(sample):
             n = len(words)
             exact |= {(name, i, i + n) for i in range(len(ids) - n + 1) if (ids[i : i + n] == words).all()}
         assert got == exact
+
+
+def full_alignment(template, region):
+    """Best local alignment without a band: (score, aligned words)."""
+    best, before = (0, 0), [(0, 0)] * (len(region) + 1)
+    for word in template:
+        row = [(0, 0)]
+        for j, other in enumerate(region):
+            options = [(0, 0), (before[j + 1][0] - 1, before[j + 1][1]), (row[j][0] - 1, row[j][1])]
+            step = (2, 1) if word == other else (-1, 0)
+            options.append((before[j][0] + step[0], before[j][1] + step[1]))
+            top = max(options)
+            row.append(top if top[0] > 0 else (0, 0))
+        best, before = max(best, *row), row
+    return best
+
+
+def test_edited_notices_align_as_without_a_band():
+    rng = random.Random(5)
+    index = licenses.Index(licenses.TEMPLATES)
+    for t, name in enumerate(index.names):
+        words = licenses.words_of(licenses.TEMPLATES[name])
+        for _ in range(4):
+            edited = list(words)
+            for _ in range(max(1, len(words) // 14)):
+                k = rng.randrange(len(edited))
+                edited[k : k + 1] = rng.choice([[], [b"other"], [edited[k], b"more"]])
+            ids = licenses._ids([b"before"] * rng.randrange(40) + edited + [b"after"] * rng.randrange(9))
+            score, aligned = full_alignment(index.words[t].tolist(), ids.tolist())
+            assert licenses.align(index.words[t], ids, -len(words), len(ids))[0] == aligned
+            if aligned >= 0.8 * len(words) and len(words) > 5:
+                found = index._of_template(t, ids, index_hits(index, t, ids), 0.8)
+                assert [m[2] for m in found] == [aligned], name
+
+
+def index_hits(index, t, ids):
+    hits = np.concatenate([p.hits(ids) for p in index.prints])
+    hits = hits[hits[:, 0] == t, 1:]
+    return hits[np.argsort(hits[:, 1], kind="stable")]
+
+
+def test_each_template_is_found_as_itself():
+    known = licenses.templates()
+    index = licenses.Index(known)
+    for name, text in known.items():
+        ids = licenses._ids(licenses.words_of("Some words before. " + text + " And some after it."))
+        found = index.matches(ids, 0.8)
+        assert [(m[0], m[5]) for m in found] == [(name, 1.0)], name
+
+
+def test_repeated_notices_take_linear_time():
+    index = licenses.Index(licenses.templates())
+    one = licenses.words_of("Released under the MIT License.") + [b"x"]
+    begin = time.process_time()
+    found = index.matches(licenses._ids(one * 3000), 0.8)
+    assert [m[1:3] for m in found] == [(6 * i, 6 * i + 5) for i in range(3000)] and {m[0] for m in found} == {"MIT-notice"}
+    text = licenses.words_of(licenses.templates()["GPL-2.0-text"])
+    found = index.matches(licenses._ids(text * 5), 0.8)
+    assert [m[0] for m in found] == ["GPL-2.0-text"] * 5
+    assert time.process_time() - begin < 60
+
+
+def test_rules_are_ordered_by_rejections_per_cost():
+    a, b, c, d = (quality.Rule(n, "1", "false") for n in "abcd")
+    assert quality.ordered((a, b, c, d), [0, 10, 40, 0], [0.1, 0.1, 0.1, 0.01]) == [c, b, d, a]
+    assert quality.ordered((a, b, c, d), [10, 10, 11, 10], [0.8, -0.01, 0.1, 0.1])[0] == b  # cheaper than can be told
+    assert quality.ordered((a, b), [100, 101], [0.1, 0.1]) == [a, b]
+    assert quality.ordered((a, b), [5, 5], [0.0, 0.0]) == [a, b] and quality.ordered((), [], []) == []
