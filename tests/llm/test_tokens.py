@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from tests.llm.conftest import texts_of
-from voltmart.llm import packing, token_files
+from voltmart.llm import encode, packing, token_files
 from voltmart.llm.encode import Encoder, tokenizer_path
 
 TEXTS = [
@@ -28,6 +28,28 @@ def test_cached_encoding_equals_whole_texts(name):
         assert encoder.encode(TEXTS) == [ids_of(name, t).tobytes() for t in TEXTS]
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_latin_words_and_marks_equal_the_plain_call(name):
+    with open(tokenizer_path(name)) as file:
+        encoder = Encoder(file.read())
+    parts = ["École é.", "À,\nÇa.\n ñ", "naïve,coeur", "µm ªº ß ẞ İx Straße", "n.\r\nB", "÷×À", "ſ Ǆ ŉ", "Ab.\nCD,\nef", "a.\n", "'S É's"]
+    texts = [f"{a} {b}" for a in parts for b in parts]
+    assert encoder.encode(texts) == [ids_of(name, t).tobytes() for t in texts]
+
+
+def test_common_words_outlive_a_full_cache_and_the_tokenizer_is_loaded_once(monkeypatch):
+    with open(tokenizer_path("byte_bpe_50k.json")) as file:
+        source = file.read()
+    encoder, asked = Encoder(source, cache_words=3), []
+    encoder.encode(["x one two three", "x four five"])
+    ask = encoder._ask
+    monkeypatch.setattr(encoder, "_ask", lambda words, *rest: (asked.extend(words := list(words)), ask(words, *rest)))
+    encoder.encode(["x one two six"])
+    assert [w for w in asked if w in ("one", "two", "three", "six")] == ["six"]
+    assert "four" not in encoder.words and "one" in encoder.words
+    assert encode.worker_encoder(source) is encode.worker_encoder(source)
+
+
 def test_binary_lengths():
     assert packing.binary_lengths(2048 * 2 + 13, 2048).tolist() == [2048, 2048, 8, 4, 1]
     assert packing.binary_lengths(1, 2048).tolist() == [1]

@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
 from voltmart.llm.common import id_text, map_batches, pieces, ragged, worker_cache
-from voltmart.llm.encode import _RUNS, _SPACE_RUN, _WIDE, send_tokenizer, tokenizer_path
+from voltmart.llm.encode import _RUNS, _SPACE_RUN, _WIDE, byte_alphabet, send_tokenizer, tokenizer_path
 from voltmart.session import materialize
 
 #: A worker's cache of aligned words is emptied when it holds this many.
@@ -32,13 +32,6 @@ _CUT = re.compile(rf"(?<=[^ ])(?= [^\s᠎\x1c-\x1f])|{_LINE.pattern}")
 _WORD = re.compile(r"[ \n][^\s▁᠎\x1c-\x1f](?:[^▁]*[^\s▁᠎\x1c-\x1f])?")
 
 
-def byte_alphabet() -> dict[str, int]:
-    """The byte that each character of a byte-level vocabulary stands for: printable Latin-1 as itself, others from U+0100."""
-    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
-    hidden = [b for b in range(256) if b not in set(shown)]
-    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
-
-
 class Aligner:
     """Tokens of both tokenizers with their byte ends, word by word where both vocabularies allow it."""
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 from collections.abc import Iterable
 
 import numpy as np
@@ -12,8 +13,8 @@ from pyspark.sql import SparkSession
 
 from voltmart.llm.common import worker_cache
 
-#: A cache is emptied when it holds this many words.
-CACHE_WORDS = 900_000
+#: A cache that holds this many words keeps those of the newest batch only, so common ones stay.
+CACHE_WORDS = 200_000
 
 #: A space and another white space after it, in ASCII texts; white space beyond ASCII.
 _RUNS = tuple(" " + c for c in " \n\t\r\x0b\x0c\x1c\x1d\x1e\x1f")
@@ -21,6 +22,13 @@ _WIDE = re.compile("[\x85\xa0\u1680\u180e\u2000-\u200a\u2028\u2029\u202f\u205f\u
 _SPACE_RUN = re.compile(r"(?: [\s᠎\x1c-\x1f])|^ | $")
 _WORD_START = re.compile(r"(?= [^\s᠎\x1c-\x1f])")
 
+#: Letters that NFC leaves alone and lower-casing maps one to one. A run of them is one word to both kinds of pattern, and a
+#: stop, a comma or a line break behind it another.
+_LETTER = "[A-Za-zÀ-ÖØ-öø-ÿ]"
+_LETTERS = re.compile(f"{_LETTER}+")
+_LINES = re.compile(rf"{_LETTER}+[.,]?(?:\n{_LETTER}+[.,]?)*")
+_PARTS = re.compile(rf"{_LETTER}+|[.,\n]")
+
 
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
@@ -34,13 +42,33 @@ def send_tokenizer(spark: SparkSession, path: str) -> Broadcast:
         return spark.sparkContext.broadcast(file.read())
 
 
+def byte_alphabet() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for: printable Latin-1 as itself, others from U+0100."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+
+
+#: The character of a byte-level vocabulary for each byte, bytes as Latin-1.
+BYTE_CHARS = {b: c for c, b in byte_alphabet().items()}
+
+
+def worker_encoder(source: str) -> Encoder:
+    """The worker's encoder for a tokenizer, which is loaded once however many tasks the worker runs."""
+    kept = worker_cache(f"encoder-{hash(source)}")
+    if "encoder" not in kept:
+        kept["encoder"] = Encoder(source)
+    return kept["encoder"]
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes, equal to encoding each text in one call.
 
     Both kinds of vocabulary supported split a text before a space that a non-space follows, whatever stands around it:
     byte-level BPE as its pattern takes such a space as the head of the next word, and BPE with word ends as it drops
-    white space. So a text is cut there, and each different piece is encoded once and then looked up. ASCII words with a
-    final stop or comma are further cut before the mark. Any other tokenizer encodes whole texts, and so are texts that hold
+    white space. So a text is cut there, and each different piece is encoded once and then looked up. Words of Latin letters
+    are further cut before and behind stops, commas and line breaks; as such a word is not cut any more, it goes to the
+    tokenizer's model without its normalizer and pattern. Any other tokenizer encodes whole texts, and so are texts that hold
     the string of a special token: the library's plain call makes it that token's id, and spaces beside it may go with it.
     """
 
@@ -51,7 +79,7 @@ class Encoder:
         shape = {k: shape[k] for k in ("added_tokens", "normalizer", "pre_tokenizer")}
         self.plain = Tokenizer.from_str(source)
         self.specials = [t["content"] for t in shape["added_tokens"]]
-        self.cutting = Tokenizer.from_str(source)
+        self.model = self.plain.model
         self.cut_word, self.cut_id = shape["added_tokens"][-1]["content"], shape["added_tokens"][-1]["id"]
         kind = shape["pre_tokenizer"]["type"]
         byte_level = kind == "ByteLevel" and shape["normalizer"] is None and not shape["pre_tokenizer"]["add_prefix_space"]
@@ -72,27 +100,46 @@ class Encoder:
         return head, rest
 
     def _learn(self, words: Iterable[str], heads: Iterable[str]) -> None:
-        stems, marked = set(), []
+        stems, starts, lines = [], {*heads, ".", ","}, []
         for word in words:
-            if word[-1:] in (".", ",") and word[:-1].isalpha() and word.isascii():
-                marked.append(word)
-                stems.add(word[:-1])
+            if not word.isalpha() and _LINES.fullmatch(word):
+                lines.append(word)
+                if not word[:-1].isalpha():
+                    first, *rest = _PARTS.findall(word)
+                    stems.append(first)
+                    starts.update(rest)
+                else:
+                    stems.append(word[:-1])
             else:
-                stems.add(word)
-        self._ask([s for s in stems if s not in self.words], self.words, " " if self.keep_space else "")
-        self._ask([h for h in {*heads, ".", ","} if h not in self.heads], self.heads, "")
-        for word in marked:
-            self.words[word] = self.words[word[:-1]] + self.heads[word[-1]]
-
-    def _ask(self, words: list[str], cache: dict[str, bytes], lead: str, step: int = 500) -> None:
-        odd = [w for w in words if "<" in w]
+                stems.append(word)
+        self._ask(set(stems).difference(self.words), self.words, " " if self.keep_space else "")
+        self._ask(starts.difference(self.heads), self.heads, "")
+        for word in lines:
+            if word[:-1].isalpha():
+                self.words[word] = self.words[word[:-1]] + self.heads[word[-1]]
+            else:
+                first, *rest = _PARTS.findall(word)
+                self.words[word] = self.words[first] + b"".join([self.heads[r] for r in rest])
+
+    def _ask(self, words: Iterable[str], cache: dict[str, bytes], lead: str, step: int = 500) -> None:
+        begin, tokenize = BYTE_CHARS[ord(lead)] if lead else "", self.model.tokenize
+        odd, others = [], []
+        for word in words:
+            if word.isalpha() and word.isascii():
+                found = tokenize(begin + word if self.keep_space else word.lower())
+            elif _LETTERS.fullmatch(word):
+                spelled = (word if self.keep_space else word.lower()).encode().decode("latin-1").translate(BYTE_CHARS)
+                found = tokenize(begin + spelled)
+            else:
+                (odd if "<" in word else others).append(word)
+                continue
+            cache[word] = struct.pack(f"<{len(found)}I", *[token.id for token in found])
         for word, found in zip(odd, self.plain.encode_batch_fast([lead + w for w in odd], add_special_tokens=False)):
             cache[word] = np.array(found.ids, dtype="<u4").tobytes()
-        words = [w for w in words if "<" not in w]
-        for i in range(0, len(words), step):
-            part = words[i : i + step]
+        for i in range(0, len(others), step):
+            part = others[i : i + step]
             joined = lead + (self.cut_word + lead).join(part)
-            found = self.cutting.encode_batch_fast([joined], add_special_tokens=False)[0]
+            found = self.plain.encode_batch_fast([joined], add_special_tokens=False)[0]
             ids = np.array(found.ids, dtype="<u4")
             cuts = np.flatnonzero(ids == self.cut_id) * 4
             raw = ids.tobytes()
@@ -107,10 +154,12 @@ class Encoder:
         whole, held = self.plain.encode_batch_fast([texts[i] for i in special], add_special_tokens=False), set(special)
         texts = ["" if i in held else t for i, t in enumerate(texts)] if special else texts
         cut = [self._cut(t) if t else ("", []) for t in texts]
+        seen = set().union(*[words for _, words in cut])
         if len(self.words) + len(self.heads) > self.cache_words:
+            kept = {w: self.words[w] for w in seen if w in self.words}
             self.words.clear()
             self.heads.clear()
-        seen = set().union(*[words for _, words in cut])
+            self.words.update(kept)
         self._learn(seen.difference(self.words), {head for head, _ in cut})
         heads, words_of = self.heads, self.words.__getitem__
         out = [heads[head] + b"".join(map(words_of, words)) for head, words in cut]

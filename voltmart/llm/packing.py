@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from voltmart.functions.quantile import join_small
 from voltmart.llm.common import END_ID, id_text, map_batches, pieces
-from voltmart.llm.encode import Encoder, send_tokenizer, tokenizer_path
+from voltmart.llm.encode import send_tokenizer, tokenizer_path, worker_encoder
 from voltmart.session import materialize
 
 
@@ -41,8 +41,8 @@ def pack(
     def run(batches) -> Iterator[dict]:
         from pyspark import TaskContext
 
-        encoder, part, numbers = Encoder(source.value), TaskContext.get().partitionId(), defaultdict(count)
-        for batch in pieces(batches, 6_000_000):
+        encoder, part, numbers = worker_encoder(source.value), TaskContext.get().partitionId(), defaultdict(count)
+        for batch in pieces(batches, 2_000_000):
             doc_ids = batch.column("doc_id").to_pylist()
             out = {k: [] for k in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "within", "ids")}
             for doc_id, raw in zip(doc_ids, encoder.encode(batch.column("text").to_pylist()), strict=True):

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
 from voltmart.llm.common import END_ID, id_text, map_batches, pieces
-from voltmart.llm.encode import Encoder, send_tokenizer, tokenizer_path
+from voltmart.llm.encode import send_tokenizer, tokenizer_path, worker_encoder
 from voltmart.session import materialize, scratch_path
 
 BLOCK_TOKENS = 4096
@@ -293,13 +293,13 @@ def write(
     def run(batches) -> Iterator[dict]:
         from pyspark import TaskContext
 
-        encoder, part = Encoder(source.value), TaskContext.get().partitionId()
+        encoder, part = worker_encoder(source.value), TaskContext.get().partitionId()
         ids, raws, size, number = [], [], 0, 0
 
         def row():
             return {"part": [part], "number": [number], "n_tokens": [size], "data": [write_container(ids, raws)]}
 
-        for batch in pieces(batches, 4_000_000):
+        for batch in pieces(batches, 2_000_000):
             found = encoder.encode(batch.column("text").to_pylist())
             for doc_id, raw in zip(batch.column("doc_id").to_pylist(), found, strict=True):
                 ids.append(doc_id)
