@@ -48,6 +48,8 @@ def test_common_words_outlive_a_full_cache_and_the_tokenizer_is_loaded_once(monk
     assert [w for w in asked if w in ("one", "two", "three", "six")] == ["six"]
     assert "four" not in encoder.words and "one" in encoder.words
     assert encode.worker_encoder(source) is encode.worker_encoder(source)
+    assert encode.worker_encoder(source, 7).cache_words == 7
+    assert encode.worker_encoder(source).cache_words == encode.CACHE_WORDS
 
 
 def test_binary_lengths():

@@ -53,11 +53,12 @@ def byte_alphabet() -> dict[str, int]:
 BYTE_CHARS = {b: c for c, b in byte_alphabet().items()}
 
 
-def worker_encoder(source: str) -> Encoder:
+def worker_encoder(source: str, cache_words: int = CACHE_WORDS) -> Encoder:
     """The worker's encoder for a tokenizer, which is loaded once however many tasks the worker runs."""
     kept = worker_cache(f"encoder-{hash(source)}")
     if "encoder" not in kept:
         kept["encoder"] = Encoder(source)
+    kept["encoder"].cache_words = cache_words
     return kept["encoder"]
 
 

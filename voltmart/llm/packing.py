@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from voltmart.functions.quantile import join_small
 from voltmart.llm.common import END_ID, id_text, map_batches, pieces
-from voltmart.llm.encode import send_tokenizer, tokenizer_path, worker_encoder
+from voltmart.llm.encode import CACHE_WORDS, send_tokenizer, tokenizer_path, worker_encoder
 from voltmart.session import materialize
 
 
@@ -25,14 +25,15 @@ def binary_lengths(n: int, limit: int) -> np.ndarray:
 
 def pack(
     docs: DataFrame, tokenizer: str | None = None, limit: int = 2048, with_ids: bool = False,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", cache_words: int = CACHE_WORDS,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and, if asked for, ids.
 
     A document's ids and the end id are cut into pieces whose lengths are powers of two up to ``limit``. Pieces of equal
     length form one bucket; a batch drawn from a bucket needs no padding, and no sequence crosses documents, so each
     piece is a sequence of its own with offset 0. Sequences are numbered without gaps by bucket, longest first. A null or empty text is the end id alone; repeated rows are packed each; an empty table gives no sequence.
-    ``limit`` must be a power of two.
+    ``limit`` must be a power of two. A worker's cache holds about ``cache_words`` words, some 200 bytes each; the result does
+    not depend on it.
     """
     if limit < 1 or limit & (limit - 1):
         raise ValueError("limit must be a power of two")
@@ -41,7 +42,7 @@ def pack(
     def run(batches) -> Iterator[dict]:
         from pyspark import TaskContext
 
-        encoder, part, numbers = worker_encoder(source.value), TaskContext.get().partitionId(), defaultdict(count)
+        encoder, part, numbers = worker_encoder(source.value, cache_words), TaskContext.get().partitionId(), defaultdict(count)
         for batch in pieces(batches, 2_000_000):
             doc_ids = batch.column("doc_id").to_pylist()
             out = {k: [] for k in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "within", "ids")}
