@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.conftest import texts_of
@@ -37,6 +38,20 @@ def test_latin_words_and_marks_equal_the_plain_call(name):
     assert encoder.encode(texts) == [ids_of(name, t).tobytes() for t in texts]
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+@pytest.mark.parametrize("cache_words", [3, 1000])
+def test_encoding_of_arrays_equals_whole_texts(name, cache_words):
+    with open(tokenizer_path(name)) as file:
+        encoder = Encoder(file.read(), cache_words=cache_words)
+    wide = [f"a {c}b" for c in "\t\n\x0b\x1c\x1f\x85\xa0\u1680\u180e\u2005\u2028\u202f\u205f\u3000"]
+    marks = ["une.\nÉvié&&& le,%%%", "x### y.&&&\nZ*** .,", "a$ b.. c,\n\nd e'% it's.& 3% x%3", "é#́ a&b %a"]
+    texts = [*TEXTS, *wide, *marks, "one two one", "two one " * 50 + "six"]
+    for part in (texts, texts[::-1], ["", None], [" "], ["one two seven"], []):  # later rounds find an over-full cache
+        found = encoder.encode_array(pa.array(part, pa.string()))
+        assert found == [ids_of(name, t).tobytes() for t in part] == encoder.encode(part)
+    assert encoder.encode_array(pa.array(texts)[3:9]) == [ids_of(name, t).tobytes() for t in texts[3:9]]
+
+
 def test_common_words_outlive_a_full_cache_and_the_tokenizer_is_loaded_once(monkeypatch):
     with open(tokenizer_path("byte_bpe_50k.json")) as file:
         source = file.read()
@@ -115,6 +130,39 @@ def test_coded_bytes_are_fewer_than_deflated(sample):
     assert len(token_files.write_container([1], [ids.tobytes()])) < 0.9 * deflated
 
 
+def test_lanes_of_a_block_are_coded_side_by_side_and_share_what_is_learned(sample, monkeypatch):
+    with open(tokenizer_path("word_bpe_49k.json")) as file:
+        raws = Encoder(file.read()).encode([t for _, t in texts_of(sample)])
+    steps, predict = [], token_files._Models.predict
+    monkeypatch.setattr(token_files._Models, "predict", lambda self, n: (steps.append(n), predict(self, n))[1])
+    data = token_files.write_container([None] * len(raws), raws)
+    tokens = sum(map(len, raws)) // 4
+    assert sum(steps) == tokens and len(steps) < 2 * token_files.LANE_TOKENS  # 4,096 steps before
+    assert len(data) - 13 * len(raws) < 1.03 * tokens
+    assert token_files.read_container(data)[1] == raws and len(steps) < 4 * token_files.LANE_TOKENS
+
+
+@pytest.mark.parametrize("tokens", [1, 2, 255, 256, 511, 512, 513, 256 * 4096 + 1, 1 << 20])
+def test_lanes_cover_a_block(tokens):
+    lanes, opened = token_files._lanes(tokens)
+    assert opened.sum() == tokens and opened.max() == lanes <= token_files.LANES and (opened >= lanes - 1).all()
+    ids = np.random.default_rng(tokens).geometric(0.01, tokens).astype("<u4") % 65536
+    assert (token_files.decode_block(token_files.encode_block(ids), tokens) == ids).all()
+
+
+def test_every_damaged_byte_is_found():
+    ids = np.random.default_rng(4).geometric(0.02, 700).astype("<u4")
+    data = token_files.write_container([1], [ids.tobytes()])
+    for at in range(12 + 13 + 12, len(data)):
+        bad = bytearray(data)
+        bad[at] ^= 1 << at % 8
+        if at % 7 == 0 or at > len(data) - 20:
+            with pytest.raises(ValueError, match="damaged"):
+                token_files.read_container(bytes(bad))
+    with pytest.raises(ValueError, match="damaged"):
+        token_files.read_container(data[:-4])
+
+
 def test_a_shared_id_is_dealt_to_many_tasks(spark, tmp_path):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as with partitions of full size
     docs = spark.range(4000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "concat('word ', id) AS text")

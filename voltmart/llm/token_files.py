@@ -1,8 +1,9 @@
 """Token files: ids of whole texts, coded by an adaptive context-mixing range coder in independent, checksummed blocks.
 
-Container layout, all little-endian: ``TOKC``, u32 documents, u32 blocks; per document i64 id, u8 "has an id", u32 tokens; per
-block u32 tokens, u32 bytes, u32 crc32 of its ids; then the blocks' coded bytes. Documents are cut into blocks without regard to
-their bounds. Each block starts from fresh models, so it can be decoded, and found to be damaged, on its own.
+Container layout, all little-endian: ``TOKD``, u32 documents, u32 blocks; per document i64 id, u8 "has an id", u32 tokens; per
+block u32 tokens, u32 bytes, u32 crc32 of its ids and coded bytes; then the blocks' coded bytes. Documents are cut into blocks without regard to
+their bounds. Each block starts from fresh models, so it can be decoded, and found to be damaged, on its own. Inside a block up
+to 4,096 runs of ids, its lanes, are coded side by side with numpy; they share the models, which learn from all lanes.
 """
 
 from __future__ import annotations
@@ -15,225 +16,273 @@ import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
 from voltmart.llm.common import END_ID, id_text, map_batches, pieces
-from voltmart.llm.encode import send_tokenizer, tokenizer_path, worker_encoder
+from voltmart.llm.encode import CACHE_WORDS, send_tokenizer, tokenizer_path, worker_encoder
 from voltmart.session import materialize, scratch_path
 
-BLOCK_TOKENS = 4096
-#: Blocks that are coded side by side; their models take some 250 MB, whatever the length of the texts.
-GROUP_BLOCKS = 512
+BLOCK_TOKENS = 1 << 20
+#: Blocks handed to the coder at a time; each has models of its own, so this changes no byte.
+GROUP_BLOCKS = 16
+#: Runs of consecutive ids of one block that are coded side by side, and the least length of a run.
+LANES, LANE_TOKENS = 4096, 256
 #: Ids per container, about; a longer document makes a longer one.
 CONTAINER_TOKENS = 2_000_000
-MAGIC = b"TOKC"
-
-_ONE, _TWO = 1 << 13, 1 << 14  # slots of the tables of order-1 and order-2 predictions
-_STEP = 24  # what one more occurrence adds to a count
-_BELOW = np.tri(16, k=-1, dtype=np.float32)  # row g: 1 for all before g
+MAGIC = b"TOKD"
+
+_ONE, _TWO = 1 << 16, 1 << 18  # slots of the tables of order-1 and order-2 predictions
+_MIX_BITS, _ID_BITS = 11, 17  # scales of the weights of the orders, and of the order-0 frequencies
+_BITS = _MIX_BITS + _ID_BITS
+_SCALE = 1 << _ID_BITS
+_ALL, _NEW = 1 << 16, (1 << 16) + 1  # entries behind those of the ids: all of order 0, and an id not yet counted
+_KEYS = 128  # confidences of both orders, and whether they agree
 _U = np.uint64
-_LOW32, _TOP = _U(0xFFFFFFFF), _U(1 << 32)
-
+_TOP, _WORD = _U(1 << 32), _U(32)
 
-class _Bytes:
-    """Adaptive frequencies of byte values in many contexts, kept with the sums of groups of 16 values.
+#: What an id's confidence (0 to 7, plus 8 if it was right) becomes, less what it was; and whether another id takes its place.
+_MOVE = np.array([0] + [-1] * 7 + [1] * 7 + [0], np.int64)
+_SWAP = np.array([1] + [0] * 15, np.int64)
 
-    A prefix sum is 16 sums of groups and 16 counts within one, whatever the values seen. Counts only grow, and a block's
-    ids keep every total below 2 ** 18, so sums of 32-bit floats are exact in any order.
-    """
 
-    def __init__(self, first: np.ndarray, contexts: int):
-        counts = first.astype(np.float32).reshape(16, 16)
-        self.counts = np.tile(counts, (contexts, 1))
-        self.groups = np.tile(counts.sum(axis=1), (contexts, 1))
-        self.totals = np.full(contexts, int(counts.sum()), np.int64)
-
-    def write(self, context: np.ndarray, value: np.ndarray, out: _Writer, rows: np.ndarray) -> None:
-        group, place = value >> 4, value & 15
-        cell, at = context << 4 | group, context << 8 | value
-        before = np.einsum("ij,ij->i", self.groups.take(context, axis=0), _BELOW.take(group, axis=0))
-        before += np.einsum("ij,ij->i", self.counts.take(cell, axis=0), _BELOW.take(place, axis=0))
-        out.code(rows, before, self.counts.ravel().take(at), self.totals.take(context))
-        self._count(context, cell, at)
-
-    def read(self, context: np.ndarray, source: _Reader, rows: np.ndarray) -> np.ndarray:
-        line = np.arange(len(context)) << 4
-        target = source.target(rows, self.totals.take(context)).astype(np.float32)
-        sums = self.groups.take(context, axis=0) @ _BELOW.T
-        group = np.count_nonzero(sums <= target[:, None], axis=1) - 1
-        before = sums.ravel().take(line | group)
-        cell = context << 4 | group
-        inside = self.counts.take(cell, axis=0) @ _BELOW.T
-        place = np.count_nonzero(inside <= (target - before)[:, None], axis=1) - 1
-        at = cell << 4 | place
-        source.take(rows, before + inside.ravel().take(line | place), self.counts.ravel().take(at))
-        self._count(context, cell, at)
-        return group << 4 | place
-
-    def _count(self, context: np.ndarray, cell: np.ndarray, at: np.ndarray) -> None:
-        self.counts.reshape(-1)[at] += _STEP
-        self.groups.reshape(-1)[cell] += _STEP
-        self.totals[context] += _STEP
+def _take(table: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return table.take(at, mode="wrap")  # no index is out of range; this mode alone is not checked
 
 
 class _Models:
-    """Predictions and counts of all blocks of a group; row i belongs to block i. Both directions update it alike.
+    """Predictions and counts of one block, learned from all its lanes. Both directions update it alike.
 
-    Order 2 and order 1 predict the id that last followed the same two or one ids (by hash), each with a confidence. The
-    coded symbol says whether order 2 (0), order 1 (1) or neither (2) is right; its frequencies are the sum of the counts
-    kept for the confidence of each order. An id that neither predicts is coded by its order-0 frequency: that of its high
-    byte, and that of its low byte among the ids of the same high byte. Tables hold four times the id, plus the confidence.
+    Order 2 and order 1 predict the id that last followed the same two or one ids (by hash), each with a confidence. An id's
+    probability mixes the three orders: that of order 2 for its id, that of order 1 for its own, and the rest shared out by
+    order-0 frequencies of whole ids. The weights are learned for each pair of confidences. An id not yet counted has the
+    share of new ids among the last ones, and its 16 bits follow. Weights and order-0 frequencies are counted anew after 1,
+    2, 4, .. steps and then every 16 and 64 steps. The tables of both orders hold 64 times the id, plus the confidence in three bits.
     """
 
-    def __init__(self, rows: int):
-        self.one, self.two = np.zeros(rows * _ONE, np.int32), np.zeros(rows * _TWO, np.int32)
-        self.by_one = np.tile(np.array([1, 4, 8], np.int32), (rows * 8, 1))
-        self.by_two = np.tile(np.array([4, 1, 8], np.int32), (rows * 8, 1))
-        self.high = _Bytes(400 // (np.arange(256) + 3) + 1, rows)
-        self.low = _Bytes(np.ones(256), rows * 256)
-        self.last, self.before = np.zeros(rows, np.int64), np.zeros(rows, np.int64)
-        self.rows, self.steps = np.arange(rows), 0
-
-    def predict(self, n: int):
-        """Frequencies of the three symbols, summed up, of the first ``n`` blocks."""
-        r, last = self.rows[:n], self.last[:n]
-        self.slot_one = r * _ONE + (last & (_ONE - 1))
-        self.slot_two = r * _TWO + ((last * 40503 + self.before[:n] * 7919 >> 4) & (_TWO - 1))
-        one, two = self.one.take(self.slot_one), self.two.take(self.slot_two)
-        self.guess_one, self.guess_two, self.c_one, self.c_two = one >> 2, two >> 2, one & 3, two & 3
-        both = (r << 3) + ((self.guess_one == self.guess_two) << 2)
-        self.k_one, self.k_two = both + self.c_one, both + self.c_two
-        f = self.by_one.take(self.k_one, axis=0)
-        f += self.by_two.take(self.k_two, axis=0)
-        f[:, 1] += f[:, 0]
-        f[:, 2] += f[:, 1]
-        return f
-
-    def update(self, ids: np.ndarray, symbol: np.ndarray) -> None:
-        n = len(ids)
-        for counts, k in ((self.by_one, self.k_one), (self.by_two, self.k_two)):
-            counts.reshape(-1)[k * 3 + symbol] += _STEP
-        for table, slot, guess, c in (
-            (self.one, self.slot_one, self.guess_one, self.c_one), (self.two, self.slot_two, self.guess_two, self.c_two),
+    def __init__(self, steps: int, lanes: int):
+        self.one, self.two = np.zeros(_ONE, np.int64), np.zeros(_TWO, np.int64)
+        self.ids = np.zeros((steps + 2, lanes), np.int64)  # two rows of zeros come first
+        self.keys = np.zeros((steps, lanes), np.int16)
+        self.marks = np.repeat(np.array([1, 1, 2], np.int64), _KEYS).reshape(3, _KEYS)
+        self.counts, self.step, self.mixed, self.counted = np.zeros(1 << 16, np.int64), 0, 0, 0
+        self.size, self.start = np.full(_NEW + 1, _SCALE, np.int64), np.zeros(_NEW + 1, np.int64)
+        self.symbol, self.escape = np.full(_SCALE, _NEW, np.int32), 0
+        self._mix()
+
+    def _mix(self) -> None:
+        """Weights of the three orders and their starts, for each key."""
+        if self.step:
+            self.marks += np.bincount(self.keys[self.mixed : self.step].ravel(), minlength=3 * _KEYS).reshape(3, _KEYS)
+            self.mixed = self.step
+        weights = 1 + self.marks * ((1 << _MIX_BITS) - 3) // self.marks.sum(axis=0)
+        weights[2] = (1 << _MIX_BITS) - weights[0] - weights[1]
+        self.weight, self.first = weights.ravel(), ((np.cumsum(weights, axis=0) - weights) << _ID_BITS).ravel()
+        if self.step % 64 == 0:  # the newest symbols weigh most
+            self.marks = self.marks + 1 >> 1
+
+    def _count(self) -> None:
+        """Order-0 frequencies of the ids so far."""
+        new = np.bincount(self.ids[self.counted + 2 : self.step + 2].ravel(), minlength=1 << 16)
+        fresh, n = int(np.count_nonzero(new[self.counts == 0])), int(new.sum())
+        self.counted = self.step
+        self.counts += new
+        ids = np.flatnonzero(self.counts)
+        counts = self.counts[ids]
+        share = min(_SCALE // 4, max(1, _SCALE * fresh // (2 * n)))  # at most a quarter, so every id has a place
+        size = 1 + counts * (_SCALE - len(ids) - share) // counts.sum()
+        ends = np.cumsum(size)
+        self.escape = int(ends[-1])
+        self.size[:] = _SCALE - self.escape
+        self.start[:] = self.escape
+        self.size[ids], self.start[ids] = size, ends - size
+        self.size[_ALL], self.start[_ALL] = _SCALE, 0
+        self.symbol[: self.escape] = np.repeat(ids.astype(np.int32), size)
+        self.symbol[self.escape :] = _NEW
+
+    def predict(self, n: int) -> np.ndarray:
+        """Key of the first ``n`` lanes."""
+        self.last = self.ids[self.step + 1, :n]
+        self.slot = self.last * 40503
+        self.slot += self.ids[self.step, :n]
+        self.slot &= _TWO - 1
+        self.by_one, self.by_two = _take(self.one, self.last), _take(self.two, self.slot)
+        key = self.by_one | self.by_two
+        key &= 63
+        agree = (self.by_one ^ self.by_two) < 64
+        key += agree.astype(np.int64) << 6
+        return key
+
+    def hits(self, now: np.ndarray) -> None:
+        self.cells = now << 6
+        self.hit_one, self.hit_two = (self.by_one ^ self.cells) < 64, (self.by_two ^ self.cells) < 64
+
+    def update(self, key: np.ndarray) -> None:
+        for table, at, old, hit, place in (
+            (self.one, self.last, self.by_one, self.hit_one, 0), (self.two, self.slot, self.by_two, self.hit_two, 3),
         ):
-            hit = guess == ids
-            sure = np.where(hit, np.minimum(c + 1, 3), np.maximum(c - 1, 0))
-            table[slot] = np.where(hit | (c > 0), guess, ids) << 2 | sure
-        self.before[:n], self.last[:n] = self.last[:n], ids
-        self.steps += 1
-        if self.steps % 512 == 0:  # the newest symbols weigh most
-            for counts in (self.by_one, self.by_two):
-                counts += 1
-                counts >>= 1
-
-
-def _part(f: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and length of each row's symbol among its summed frequencies."""
-    start = np.where(symbol == 0, 0, np.where(symbol == 1, f[:, 0], f[:, 1]))
-    return start, np.where(symbol == 0, f[:, 0], np.where(symbol == 1, f[:, 1], f[:, 2])) - start
+            state = old >> place if place else old
+            state = state & 7
+            state += hit.astype(np.int64) << 3
+            other = self.cells - old
+            other *= _take(_SWAP, state)
+            moved = _take(_MOVE, state)
+            if place:
+                moved <<= place
+            other += moved
+            other += old
+            table[at] = other  # of equal slots the last lane's stays
+        self.keys[self.step, : len(key)] = key
+        if len(key) < self.keys.shape[1]:  # the last lane is shorter
+            self.keys[self.step, len(key) :] = key[0]
+        self.step += 1
+        if self.step & (self.step - 1) == 0 or self.step % 16 == 0:
+            self._mix()
+            if self.step & (self.step - 1) == 0 or self.step % 64 == 0:
+                self._count()
 
 
 class _Writer:
-    """Range coders of a group of blocks: 48-bit low and range, 16-bit words; carries are settled at the end."""
-
-    def __init__(self, rows: int, words: int):
-        self.low, self.range = np.zeros(rows, _U), np.full(rows, (1 << 48) - 1, _U)
-        self.out, self.used, self.rows = np.zeros((rows, words), np.int32), np.zeros(rows, np.int64), np.arange(rows)
-
-    def code(self, rows: np.ndarray, start: np.ndarray, size: np.ndarray, total: np.ndarray) -> None:
-        """Narrows the coders of ``rows`` to the part from ``start`` of length ``size`` of ``total``."""
-        unit = self.range[rows] // total.astype(_U)
-        self.low[rows] += unit * start.astype(_U)
-        unit *= size.astype(_U)
-        self.range[rows] = unit
-        small = rows[unit < _TOP]
-        if len(small):
-            self._shift(small)
-            self.range[small] <<= _U(16)
+    """Range coders of a block's lanes: 64-bit low and range, 32-bit words; carries are settled at the end.
 
-    def _shift(self, rows: np.ndarray) -> None:
-        low = self.low[rows]
-        self.out[rows, self.used[rows]] = low >> _U(32)
-        self.used[rows] += 1
-        self.low[rows] = (low & _LOW32) << _U(16)
+    A reader takes each lane's first two words, and one more whenever a lane's range is small; as it does so where the writer
+    shifts, words follow in that order, without lengths.
+    """
 
-    def finish(self) -> list[bytes]:
-        for _ in range(3):
-            self._shift(self.rows)
-        out = np.ascontiguousarray(self.out[:, : self.used.max()].T)
-        for k in range(len(out) - 1, 0, -1):
-            out[k - 1] += out[k] >> 16
-        words = np.ascontiguousarray((out & 0xFFFF).astype("<u2").T)
-        return [words[i, : self.used[i]].tobytes() for i in range(len(words))]
+    def __init__(self, lanes: int, steps: int):
+        self.low, self.range = np.zeros(lanes, _U), np.full(lanes, (1 << 64) - 1, _U)
+        self.words = 2 * steps + 4  # an id takes two words at most, its bits if it is not yet counted included
+        self.out, self.used = np.zeros(lanes * self.words, _U), np.arange(lanes) * self.words
+        self.begin, self.taken = self.used.copy(), []
+
+    def code(self, rows: slice | np.ndarray, start: np.ndarray, size: np.ndarray, bits: int) -> None:
+        """Narrows the coders of ``rows`` to the part from ``start`` of length ``size`` of ``2 ** bits``."""
+        low, left, used = self.low[rows], self.range[rows], self.used[rows]
+        left = left >> _U(bits)
+        moved = start.view(_U) * left
+        moved += low
+        over = np.flatnonzero(moved < low)
+        if len(over):
+            self.out[used[over] - 1] += _U(1)
+        left *= size.view(_U)
+        small = np.flatnonzero(left < _TOP)
+        if len(small):
+            at, cut = used[small], moved[small]
+            self.out[at] = cut >> _WORD
+            self.taken.append(at)
+            used[small] = at + 1
+            moved[small] = cut << _WORD
+            left[small] <<= _WORD
+        self.low[rows], self.range[rows], self.used[rows] = moved, left, used
+
+    def finish(self) -> bytes:
+        end = self.low + (_TOP - _U(1))
+        over = np.flatnonzero(end < self.low)
+        self.out[self.used[over] - 1] += _U(1)
+        self.out[self.used] = end >> _WORD
+        words = self.out.reshape(-1, self.words)
+        for k in range(int((self.used - self.begin).max()), 0, -1):
+            words[:, k - 1] += words[:, k] >> _WORD
+        at = np.concatenate([self.begin, self.begin + 1, *[at + 2 for at in self.taken]])
+        return self.out[at].astype("<u4").tobytes()
 
 
 class _Reader:
-    def __init__(self, coded: list[bytes]):
-        words = max(map(len, coded)) // 2 + 4
-        self.words = np.zeros((len(coded), words), np.uint16)
-        for row, raw in zip(self.words, coded):
-            row[: len(raw) // 2] = np.frombuffer(raw, "<u2")
-        w = self.words[:, :3].astype(_U)
-        self.code = w[:, 0] << _U(32) | w[:, 1] << _U(16) | w[:, 2]
-        self.range, self.used = np.full(len(coded), (1 << 48) - 1, _U), np.full(len(coded), 3, np.int64)
-
-    def target(self, rows: np.ndarray, total: np.ndarray) -> np.ndarray:
-        total = total.astype(_U)
-        self.unit = self.range[rows] // total
-        return np.minimum(self.code[rows] // self.unit, total - _U(1)).astype(np.int64)
-
-    def take(self, rows: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
-        self.code[rows] -= self.unit * start.astype(_U)
-        left = self.unit * size.astype(_U)
-        self.range[rows] = left
-        small = rows[left < _TOP]
+    def __init__(self, coded: bytes, lanes: int):
+        self.words, self.used = np.frombuffer(coded, "<u4").astype(_U), 2 * lanes
+        if len(self.words) < self.used:
+            raise ValueError("the coded bytes are damaged")
+        self.code = self.words[:lanes] << _WORD | self.words[lanes : self.used]
+        self.range = np.full(lanes, (1 << 64) - 1, _U)
+
+    def unit(self, rows: slice | np.ndarray, bits: int) -> np.ndarray:
+        return self.range[rows] >> _U(bits)
+
+    def take(self, rows: slice | np.ndarray, code: np.ndarray, left: np.ndarray) -> None:
+        small = np.flatnonzero(left < _TOP)
         if len(small):
-            at = np.minimum(self.used[small], self.words.shape[1] - 1)
-            self.code[small] = self.code[small] << _U(16) | self.words[small, at]
-            self.range[small] <<= _U(16)
-            self.used[small] += 1
-
-
-def _active(sizes: np.ndarray) -> Iterator[int]:
-    """Blocks (longest first) that are still open at each step."""
-    ends = np.searchsorted(-sizes, -np.arange(sizes[0]), side="left")
-    yield from ends.tolist()
-
-
-def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
-    """Coded bytes of each block of ids below 65,536; blocks are given longest first."""
-    sizes = np.array([len(b) for b in blocks])
-    ids = np.zeros((sizes[0], len(blocks)), np.uint16)
-    for i, b in enumerate(blocks):
-        ids[: len(b), i] = b
-    models, out = _Models(len(blocks)), _Writer(len(blocks), 4 * int(sizes[0]) + 8)
-    for step, n in enumerate(_active(sizes)):
-        now, f, r = ids[step, :n].astype(np.int64), models.predict(n), models.rows[:n]
-        symbol = np.where(now == models.guess_two, 0, np.where(now == models.guess_one, 1, 2))
-        out.code(r, *_part(f, symbol), f[:, 2])
-        rest = np.flatnonzero(symbol == 2)
-        if len(rest):
-            value = now[rest]
-            models.high.write(rest, value >> 8, out, rest)
-            models.low.write(rest << 8 | value >> 8, value & 255, out, rest)
-        models.update(now, symbol)
+            words = self.words[self.used : self.used + len(small)]
+            if len(words) < len(small):
+                raise ValueError("the coded bytes are damaged")
+            self.used += len(small)
+            code[small] = code[small] << _WORD | words
+            left[small] <<= _WORD
+        self.code[rows], self.range[rows] = code, left
+
+
+def _lanes(tokens: int) -> tuple[int, np.ndarray]:
+    """Steps of a block, and the lanes that are open at each; only the last one may be shorter."""
+    lanes = max(1, min(LANES, tokens // LANE_TOKENS))
+    steps = -(-tokens // lanes)
+    lanes = -(-tokens // steps)
+    return lanes, np.where(np.arange(steps) < tokens - (lanes - 1) * steps, lanes, lanes - 1)
+
+
+def encode_block(ids: np.ndarray) -> bytes:
+    """Coded bytes of a block of ids below 65,536."""
+    lanes, opened = _lanes(len(ids))
+    steps = len(opened)
+    models, out = _Models(steps, lanes), _Writer(lanes, steps)
+    whole = np.zeros(steps * lanes, np.int64)
+    whole[: len(ids)] = ids
+    models.ids[2:] = whole.reshape(lanes, steps).T
+    for step, n in enumerate(opened.tolist()):
+        now, key = models.ids[step + 2, :n], models.predict(n)
+        models.hits(now)
+        symbol = (1 - models.hit_two.view(np.int8)) * (2 - models.hit_one.view(np.int8))  # order 2, order 1 or neither
+        key += symbol.astype(np.int64) << 7
+        entry = now - _ALL
+        entry *= symbol >> 1
+        entry += _ALL
+        weight, within = _take(models.weight, key), _take(models.start, entry)
+        start = within * weight
+        start += _take(models.first, key)
+        weight *= _take(models.size, entry)
+        out.code(slice(0, n), start, weight, _BITS)
+        new = np.flatnonzero(within == models.escape)
+        new = new[entry[new] < _ALL]
+        if len(new):
+            out.code(new, now[new], np.ones(len(new), np.int64), 16)
+        models.update(key)
     return out.finish()
 
 
-def decode_blocks(coded: list[bytes], sizes: np.ndarray) -> list[np.ndarray]:
-    """Ids of each block, longest first, from their coded bytes."""
-    models, source = _Models(len(coded)), _Reader(coded)
-    ids = np.zeros((int(sizes[0]), len(coded)), np.uint16)
-    for step, n in enumerate(_active(sizes)):
-        f, r = models.predict(n), models.rows[:n]
-        t = source.target(r, f[:, 2])
-        symbol = (t >= f[:, 0]).astype(np.int64) + (t >= f[:, 1])
-        source.take(r, *_part(f, symbol))
-        now = np.where(symbol == 0, models.guess_two, models.guess_one).astype(np.int64)
-        rest = np.flatnonzero(symbol == 2)
-        if len(rest):
-            high = models.high.read(rest, source, rest)
-            now[rest] = high << 8 | models.low.read(rest << 8 | high, source, rest)
-        ids[step, :n] = now
-        models.update(now, symbol)
-    return [ids[:n, i] for i, n in enumerate(sizes.tolist())]
+def decode_block(coded: bytes, tokens: int) -> np.ndarray:
+    """Ids of a block from its coded bytes; bytes that cannot be such raise ValueError."""
+    lanes, opened = _lanes(tokens)
+    steps = len(opened)
+    models, source = _Models(steps, lanes), _Reader(coded, lanes)
+    guesses, line = np.zeros((3, lanes), np.int64), np.arange(lanes)
+    for step, n in enumerate(opened.tolist()):
+        key, rows = models.predict(n), slice(0, n)
+        unit, code = source.unit(rows, _BITS), source.code[rows]
+        symbol = (code >= unit * _take(models.first, key + _KEYS).view(_U)).view(np.int8)
+        symbol = symbol + (code >= unit * _take(models.first, key + 2 * _KEYS).view(_U)).view(np.int8)
+        wide = symbol.astype(np.int64)
+        key += wide << 7
+        code = code - unit * _take(models.first, key).view(_U)
+        unit *= _take(models.weight, key).view(_U)
+        place = np.minimum(code // unit, _U(_SCALE - 1)).view(np.int64)
+        found = _take(models.symbol, place)
+        entry = found.astype(np.int64)
+        entry -= _ALL
+        entry *= symbol >> 1
+        entry += _ALL
+        code -= unit * _take(models.start, entry).view(_U)
+        unit *= _take(models.size, entry).view(_U)
+        source.take(rows, code, unit)
+        np.right_shift(models.by_two, 6, out=guesses[0, :n])
+        np.right_shift(models.by_one, 6, out=guesses[1, :n])
+        guesses[2, :n] = found
+        wide *= lanes
+        wide += line[:n]
+        now = models.ids[step + 2, :n]
+        now[:] = _take(guesses.ravel(), wide)
+        new = np.flatnonzero(entry == _NEW)
+        if len(new):
+            unit = source.unit(new, 16)
+            value = np.minimum(source.code[new] // unit, _U(0xFFFF))
+            source.take(new, source.code[new] - unit * value, unit)
+            now[new] = value
+        models.hits(now)
+        models.update(key)
+    return models.ids[2:].T.ravel()[:tokens].astype(np.uint32)
 
 
 def write_container(doc_ids: list[int | None], raws: list[bytes], block_tokens: int = BLOCK_TOKENS) -> bytes:
@@ -243,11 +292,11 @@ def write_container(doc_ids: list[int | None], raws: list[bytes], block_tokens:
         raise ValueError("the coder takes ids below 65,536")
     blocks = [ids[i : i + block_tokens] for i in range(0, len(ids), block_tokens)]
     coded: list[bytes] = []
-    for i in range(0, len(blocks), GROUP_BLOCKS):  # only the container's last block is shorter than the others
-        coded += encode_blocks(blocks[i : i + GROUP_BLOCKS])
+    for i in range(0, len(blocks), GROUP_BLOCKS):
+        coded += [encode_block(block) for block in blocks[i : i + GROUP_BLOCKS]]
     head = [MAGIC, struct.pack("<II", len(raws), len(blocks))]
     head += [struct.pack("<qBI", d or 0, d is not None, len(r) // 4) for d, r in zip(doc_ids, raws)]
-    head += [struct.pack("<III", len(b), len(c), zlib.crc32(b.tobytes())) for b, c in zip(blocks, coded)]
+    head += [struct.pack("<III", len(b), len(c), zlib.crc32(c, zlib.crc32(b.tobytes()))) for b, c in zip(blocks, coded)]
     return b"".join(head + coded)
 
 
@@ -261,13 +310,14 @@ def read_container(data: bytes) -> tuple[list[int | None], list[bytes]]:
     heads = np.frombuffer(data, "<u4", 3 * n_blocks, at).reshape(-1, 3).astype(np.int64)
     ends = at + 12 * n_blocks + np.cumsum(heads[:, 1])
     parts: list[bytes] = []
-    for first in range(0, n_blocks, GROUP_BLOCKS):
-        group = range(first, min(first + GROUP_BLOCKS, n_blocks))
-        coded = [data[ends[i] - heads[i, 1] : ends[i]] for i in group]
-        for i, block in zip(group, decode_blocks(coded, heads[group.start : group.stop, 0])):
-            parts.append(block.astype("<u4").tobytes())
-            if zlib.crc32(parts[-1]) != heads[i, 2]:
-                raise ValueError(f"block {i} is damaged")
+    for i, (tokens, size, crc) in enumerate(heads.tolist()):
+        block = data[ends[i] - size : ends[i]]
+        try:
+            parts.append(decode_block(block, tokens).astype("<u4").tobytes())
+        except ValueError as error:
+            raise ValueError(f"block {i} is damaged") from error
+        if zlib.crc32(block, zlib.crc32(parts[-1])) != crc:
+            raise ValueError(f"block {i} is damaged")
     raw, raws, at = b"".join(parts), [], 0
     for _, _, n in docs:
         raws.append(raw[at : at + 4 * n])
@@ -277,7 +327,7 @@ def read_container(data: bytes) -> tuple[list[int | None], list[bytes]]:
 
 def write(
     docs: DataFrame, path: str, tokenizer: str | None = None, container_tokens: int = CONTAINER_TOKENS,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", cache_words: int = CACHE_WORDS,
 ) -> None:
     """Token containers in ascending order of ids as rows (part, number, n_tokens, data) of Parquet files at ``path``.
 
@@ -293,14 +343,14 @@ def write(
     def run(batches) -> Iterator[dict]:
         from pyspark import TaskContext
 
-        encoder, part = worker_encoder(source.value), TaskContext.get().partitionId()
+        encoder, part = worker_encoder(source.value, cache_words), TaskContext.get().partitionId()
         ids, raws, size, number = [], [], 0, 0
 
         def row():
             return {"part": [part], "number": [number], "n_tokens": [size], "data": [write_container(ids, raws)]}
 
-        for batch in pieces(batches, 2_000_000):
-            found = encoder.encode(batch.column("text").to_pylist())
+        for batch in pieces(batches, 8_000_000):
+            found = encoder.encode_array(batch.column("text"))
             for doc_id, raw in zip(batch.column("doc_id").to_pylist(), found, strict=True):
                 ids.append(doc_id)
                 raws.append(raw + END_ID.to_bytes(4, "little"))
@@ -354,8 +404,8 @@ def _read(spark, path: str, with_ids: bool) -> DataFrame:
     )
 
 
-def round_trip(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+def round_trip(docs: DataFrame, tokenizer: str | None = None, cache_words: int = CACHE_WORDS) -> DataFrame:
     """``digest`` of ``docs`` after writing them to a new folder of the shared directory."""
     path = scratch_path(docs.sparkSession, "tokens")
-    write(docs, path, tokenizer)
+    write(docs, path, tokenizer, cache_words=cache_words)
     return digest(docs.sparkSession, path)
