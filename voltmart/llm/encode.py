@@ -33,7 +33,7 @@ _RUN_IN_ARROW = (
 #: run of marks or a line break behind it another.
 _LETTER = "[A-Za-zÀ-ÖØ-öø-ÿ]"
 _LETTERS = re.compile(f"{_LETTER}+")
-_MARK = "[.,#$%&*]"
+_MARK = "[.,!?:;#$%&*]"
 _LINES = re.compile(rf"{_LETTER}+{_MARK}*(?:\n{_LETTER}+{_MARK}*)*")
 _PARTS = re.compile(rf"{_LETTER}+|{_MARK}+|\n")
 
@@ -138,15 +138,17 @@ class Encoder:
         begin, tokenize = BYTE_CHARS[ord(lead)] if lead else "", self.model.tokenize
         odd, others = [], []
         for word in words:
-            if word.isalpha() and word.isascii():
-                found = tokenize(begin + word if self.keep_space else word.lower())
-            elif _LETTERS.fullmatch(word):
-                spelled = (word if self.keep_space else word.lower()).encode().decode("latin-1").translate(BYTE_CHARS)
-                found = tokenize(begin + spelled)
-            else:
+            ascii = word.isalpha() and word.isascii()
+            if not (ascii or _LETTERS.fullmatch(word)):
                 (odd if "<" in word else others).append(word)
                 continue
-            cache[word] = struct.pack(f"<{len(found)}I", *[token.id for token in found])
+            plain = word if self.keep_space else word.lower()
+            raw = cache.get(plain)
+            if raw is None:
+                spelled = plain if ascii else plain.encode().decode("latin-1").translate(BYTE_CHARS)
+                found = tokenize(begin + spelled)
+                cache[plain] = raw = struct.pack(f"<{len(found)}I", *[token.id for token in found])
+            cache[word] = raw
         for word, found in zip(odd, self.plain.encode_batch_fast([lead + w for w in odd], add_special_tokens=False)):
             cache[word] = np.array(found.ids, dtype="<u4").tobytes()
         for i in range(0, len(others), step):
@@ -176,9 +178,7 @@ class Encoder:
         if self.whole:
             return self.encode(texts.to_pylist())
         texts = pc.fill_null(texts.cast(pa.string()), "")
-        odd = pc.match_substring_regex(texts, _RUN_IN_ARROW)
-        for special in self.specials:
-            odd = pc.or_(odd, pc.match_substring(texts, special))
+        odd = pc.match_substring_regex(texts, "|".join([_RUN_IN_ARROW, *map(re.escape, self.specials)]))
         out: list[bytes] = [b""] * len(texts)
         others = np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist()
         for i, found in zip(others, self.encode(texts.filter(odd).to_pylist()) if others else []):
@@ -208,11 +208,12 @@ class Encoder:
         """Places in ``known`` of different words, after learning them and the heads."""
         known, lengths, ids = self.known
         found = pc.index_in(words, known)
-        if max(len(known), len(self.words)) > self.cache_words:
+        if len(known) > self.cache_words:
             kept = pc.drop_null(found).to_numpy()
             ids = ids[ragged((np.cumsum(lengths) - lengths)[kept], lengths[kept])]
             known, lengths = known.take(pa.array(kept)), lengths[kept]
             found = pc.index_in(words, known)
+        if len(self.words) > self.cache_words:
             self.words.clear()
             self.heads.clear()
         fresh = words.filter(pc.is_null(found))
@@ -220,6 +221,10 @@ class Encoder:
         self._learn([w for w in new if w not in self.words], set(heads))
         entries = [self.words[w] for w in new]
         sizes = np.fromiter(map(len, entries), np.int64, len(entries)) >> 2
+        needed = set(heads)
+        for w in new:  # the dict keeps what other words are made of
+            if not w.isalpha() and w not in needed:
+                del self.words[w]
         self.known[:] = (
             pa.concat_arrays([known, fresh]), np.concatenate([lengths, sizes]),
             np.concatenate([ids, np.frombuffer(b"".join(entries), "<u4")]),

@@ -40,6 +40,7 @@ _TOP, _WORD = _U(1 << 32), _U(32)
 #: What an id's confidence (0 to 7, plus 8 if it was right) becomes, less what it was; and whether another id takes its place.
 _MOVE = np.array([0] + [-1] * 7 + [1] * 7 + [0], np.int64)
 _SWAP = np.array([1] + [0] * 15, np.int64)
+_MOVES, _SWAPS = (_MOVE, np.repeat(_MOVE << 3, 8)), (_SWAP, np.repeat(_SWAP, 8))  # of order 1, and of order 2 three bits higher
 
 
 def _take(table: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -114,18 +115,16 @@ class _Models:
         self.hit_one, self.hit_two = (self.by_one ^ self.cells) < 64, (self.by_two ^ self.cells) < 64
 
     def update(self, key: np.ndarray) -> None:
-        for table, at, old, hit, place in (
-            (self.one, self.last, self.by_one, self.hit_one, 0), (self.two, self.slot, self.by_two, self.hit_two, 3),
+        for table, at, old, hit, place, move, swap in (
+            (self.one, self.last, self.by_one, self.hit_one, 0, _MOVES[0], _SWAPS[0]),
+            (self.two, self.slot, self.by_two, self.hit_two, 3, _MOVES[1], _SWAPS[1]),
         ):
-            state = old >> place if place else old
-            state = state & 7
-            state += hit.astype(np.int64) << 3
+            state = hit.astype(np.int64)
+            state <<= place + 3
+            state |= old & (7 << place)
             other = self.cells - old
-            other *= _take(_SWAP, state)
-            moved = _take(_MOVE, state)
-            if place:
-                moved <<= place
-            other += moved
+            other *= _take(swap, state)
+            other += _take(move, state)
             other += old
             table[at] = other  # of equal slots the last lane's stays
         self.keys[self.step, : len(key)] = key
