@@ -1,10 +1,12 @@
 """Payload parsing and table writers."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from voltmart.plans import inputs
 from voltmart.sinks import tables as sinks
 from voltmart.sources import payloads, series, tables
 from voltmart.streaming import streams
@@ -161,3 +163,35 @@ def test_late_rows_read_one_mark_however_many_batches(spark, tmp_path):
     read = lambda name: {r.id for r in spark.read.schema("id int").parquet(paths[name]).collect()}
     assert read("late") == {k for k, v in want.items() if v} and read("ok") == {k for k, v in want.items() if not v}
     assert len([p for p in (tmp_path / "marks").iterdir() if p.name.startswith("batch=")]) == 2
+
+
+def reading_tables(spark, path, n):
+    """Line items, suppliers and parts of ``n`` generation readings, every 89th without a value."""
+    spark.range(n).selectExpr(
+        "id AS l_orderkey", "id % 7 AS l_partkey", "id % 5 AS l_suppkey", "1 AS l_linenumber",
+        "CAST(id % 50 AS DOUBLE) AS l_quantity", "TIMESTAMP_NTZ'1996-01-01' + make_dt_interval(id % 30) AS l_shipdate",
+    ).write.parquet(f"{path}/lineitem.parquet")
+    spark.range(5).selectExpr("id AS s_suppkey", "CAST(id AS INT) AS s_nationkey").write.parquet(f"{path}/supplier.parquet")
+    spark.range(7).selectExpr("id AS p_partkey", "'LARGE' AS p_type").write.parquet(f"{path}/part.parquet")
+    return str(path)
+
+
+def landed_bytes(path):
+    return sum(f.stat().st_size for f in Path(path.removeprefix("file:")).rglob("part-*"))
+
+
+def test_landed_xml_is_compressed_in_documents_of_bounded_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(inputs, "DOCUMENT_SERIES", 100, raising=False)
+    landed = inputs._land_series_xml(spark, reading_tables(spark, tmp_path, 2000))
+    assert landed_bytes(landed) < 100 * 2000  # plain XML takes some 500 bytes a reading
+    rows = payloads.generation_points(spark, landed, "NL").collect()
+    got = {r["series_id"]: r["quantity"] for r in rows}
+    want = {f"{(k * 10 + 1) * 64 + k % 50}" + f"-{float(k % 50)}" * bool(k % 89): float(k % 50) if k % 89 else None for k in range(2000)}
+    assert got == want and len(rows) == 2000
+    documents = [r["source_file"] for r in rows]
+    assert max(documents.count(d) for d in set(documents)) <= 100
+
+
+def test_no_readings_land_no_series(spark, tmp_path):
+    landed = inputs._land_series_xml(spark, reading_tables(spark, tmp_path, 0))
+    assert payloads.generation_points(spark, landed, "NL").count() == 0
