@@ -165,9 +165,9 @@ def test_late_rows_read_one_mark_however_many_batches(spark, tmp_path):
     assert len([p for p in (tmp_path / "marks").iterdir() if p.name.startswith("batch=")]) == 2
 
 
-def reading_tables(spark, path, n):
+def reading_tables(spark, path, n, files=8):
     """Line items, suppliers and parts of ``n`` generation readings, every 89th without a value."""
-    spark.range(n).selectExpr(
+    spark.range(0, n, 1, files).selectExpr(
         "id AS l_orderkey", "id % 7 AS l_partkey", "id % 5 AS l_suppkey", "1 AS l_linenumber",
         "CAST(id % 50 AS DOUBLE) AS l_quantity", "TIMESTAMP_NTZ'1996-01-01' + make_dt_interval(id % 30) AS l_shipdate",
     ).write.parquet(f"{path}/lineitem.parquet")
@@ -195,3 +195,18 @@ def test_landed_xml_is_compressed_in_documents_of_bounded_size(spark, tmp_path,
 def test_no_readings_land_no_series(spark, tmp_path):
     landed = inputs._land_series_xml(spark, reading_tables(spark, tmp_path, 0))
     assert payloads.generation_points(spark, landed, "NL").count() == 0
+
+
+def test_readings_of_many_splits_are_landed_where_they_are(spark, tmp_path):
+    sf, cores = reading_tables(spark, tmp_path, 2000, 40), spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        landed = inputs._land_series_xml(spark, sf)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert landed_bytes(landed) < 100 * 2000
+    rows = payloads.price_points(spark, landed, "NL").collect()
+    assert len({r["source_file"] for r in rows}) == 40 > cores
+    want = [(k * 10 + 1) * 64 + k % 50 for k in range(2000)]
+    got = {int(r["series_id"].split("-")[0]): r["price_eur_mwh"] for r in rows}
+    assert len(rows) == 2000 and got == {i: (k % 50 * 2.0 - 5 if k % 89 else None) for k, i in enumerate(want)}

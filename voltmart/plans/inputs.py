@@ -24,9 +24,13 @@ DOCUMENT_SERIES = 250_000
 def _land_series_xml(spark: SparkSession, sf: str) -> str:
     """Every generation reading as a one-point time series, in gzipped XML documents of ``DOCUMENT_SERIES`` at most.
 
-    Plain XML takes some 500 bytes a reading, thirty times its table. A document is read by one task.
+    Plain XML takes some 500 bytes a reading, thirty times its table. A document is read by one task. Readings of few splits are
+    dealt to all cores; others are written where they are, as an exchange keeps one more copy of them on disk.
     """
-    rows = views.generation(spark, sf).repartition(spark.sparkContext.defaultParallelism).withColumn(
+    rows, cores = views.generation(spark, sf), spark.sparkContext.defaultParallelism
+    if views.table(spark, sf, "lineitem").rdd.getNumPartitions() < 2 * cores:
+        rows = rows.repartition(cores)
+    rows = rows.withColumn(
         "position", (F.hour("timestamp_utc") * 4 + F.floor(F.minute("timestamp_utc") / 15) + 1).cast("int")
     )
     point = F.struct(
